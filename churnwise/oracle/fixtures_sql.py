@@ -141,7 +141,7 @@ fx_payments AS (
     FROM fx_events WHERE event_type = 'purchase'
 ),
 fx_orderlines AS (
-    SELECT o_custkey AS account_id, 'LCPR' AS org_id, 'PR' AS org_cntry, 'COMPLETE' AS order_status,
+    SELECT o_custkey AS account_id, 'OPCO' AS org_id, 'PR' AS org_cntry, 'COMPLETE' AS order_status,
            CASE WHEN l_linenumber % 2 = 1 THEN 'CONNECT' ELSE 'CHANGE' END AS command_id,
            o_orderdate AS order_start_date, l_shipdate AS completed_date
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey

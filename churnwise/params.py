@@ -40,6 +40,8 @@ class RunParams:
     slow_install_days: int = 6
     payment_windows: tuple = (30, 60, 85)
     payment_lookback_days: int = 50
+    install_org: str = "OPCO"
+    install_country: str = "PR"
     funnel_day1: int = 30
     funnel_soft: int = 50
     # Reference quirks reproduced by default; each can be switched off.

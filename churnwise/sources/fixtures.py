@@ -258,7 +258,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     return o.join(li, o.o_orderkey == li.l_orderkey).select(
         F.col("o_custkey").alias("account_id"),
-        F.lit("LCPR").alias("org_id"),
+        F.lit("OPCO").alias("org_id"),
         F.lit("PR").alias("org_cntry"),
         F.lit("COMPLETE").alias("order_status"),
         F.when(F.col("l_linenumber") % 2 == 1, "CONNECT").otherwise("CHANGE").alias("command_id"),
