@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from churnwise.oracle.fixtures_sql import FIXTURE_CTES
-from churnwise.oracle import fixed_sql
+from churnwise.oracle import fixed_sql, mobile_sql
 from churnwise.params import RunParams
-from churnwise.plans import fixed
+from churnwise.plans import fixed, mobile
 from churnwise.sources.fixtures import FIXTURE_MONTH, FixtureSources
 
 P = RunParams(FIXTURE_MONTH)
@@ -31,9 +31,19 @@ def q_fixed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.fixed_table(_src(spark, sf_dir), P)
 
 
+def q_mobile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mobile.mobile_table(_src(spark, sf_dir), P)
+
+
+def q_mobile_quick_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mobile.quick_check(mobile.mobile_table(_src(spark, sf_dir), P))
+
+
 QUERIES = {
     "fixed_movement": q_fixed_movement,
     "fixed_table": q_fixed_table,
+    "mobile_table": q_mobile_table,
+    "mobile_quick_check": q_mobile_quick_check,
 }
 
 
@@ -42,8 +52,11 @@ def _with(*ctes: str, body: str) -> str:
 
 
 _FIXED = fixed_sql.fixed_ctes(P)
+_MOBILE = mobile_sql.mobile_ctes(P)
 
 ORACLE = {
     "fixed_movement": _with(_FIXED, body=fixed_sql.fixed_movement_sql(P)),
     "fixed_table": _with(_FIXED, body="SELECT * FROM fixed_table"),
+    "mobile_table": _with(_MOBILE, body="SELECT * FROM mobile_table"),
+    "mobile_quick_check": _with(_MOBILE, body=mobile_sql.QUICK_CHECK),
 }
