@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from churnwise.oracle.fixtures_sql import FIXTURE_CTES
-from churnwise.oracle import fixed_sql, mobile_sql
+from churnwise.oracle import converged_sql, fixed_sql, mobile_sql
 from churnwise.params import RunParams
-from churnwise.plans import fixed, mobile
+from churnwise.operators.materialize import materialize
+from churnwise.plans import contracts, converged, fixed, mobile
 from churnwise.sources.fixtures import FIXTURE_MONTH, FixtureSources
 
 P = RunParams(FIXTURE_MONTH)
@@ -39,11 +40,32 @@ def q_mobile_quick_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mobile.quick_check(mobile.mobile_table(_src(spark, sf_dir), P))
 
 
+def stage_tables(spark: SparkSession, sf_dir: str, p: RunParams = P):
+    """T1 (fixed) and T2 (mobile, converged names) of month ``p.month``,
+    checkpointed: they are the stage tables the converged base reads."""
+    src = _src(spark, sf_dir)
+    t1 = materialize(fixed.fixed_table(src, p))
+    t2 = materialize(contracts.mobile_for_converged(mobile.mobile_table(src, p)))
+    return src, t1, t2
+
+
+def q_converged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, t1, t2 = stage_tables(spark, sf_dir)
+    return converged.converged_table(t1, t2, src.prepaid_master(), src.fmc_bill_codes(), P)
+
+
+def q_fixed_mobile_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, t1, t2 = stage_tables(spark, sf_dir)
+    return converged.fixed_mobile_links(t1, t2.drop("mob_s_dim_month"))
+
+
 QUERIES = {
     "fixed_movement": q_fixed_movement,
     "fixed_table": q_fixed_table,
     "mobile_table": q_mobile_table,
     "mobile_quick_check": q_mobile_quick_check,
+    "converged_table": q_converged_table,
+    "fixed_mobile_links": q_fixed_mobile_links,
 }
 
 
@@ -53,10 +75,14 @@ def _with(*ctes: str, body: str) -> str:
 
 _FIXED = fixed_sql.fixed_ctes(P)
 _MOBILE = mobile_sql.mobile_ctes(P)
+_CONVERGED = converged_sql.converged_ctes(P)
 
 ORACLE = {
     "fixed_movement": _with(_FIXED, body=fixed_sql.fixed_movement_sql(P)),
     "fixed_table": _with(_FIXED, body="SELECT * FROM fixed_table"),
     "mobile_table": _with(_MOBILE, body="SELECT * FROM mobile_table"),
     "mobile_quick_check": _with(_MOBILE, body=mobile_sql.QUICK_CHECK),
+    "converged_table": _with(_FIXED, _MOBILE, _CONVERGED, body="SELECT * FROM converged_table"),
+    "fixed_mobile_links": _with(_FIXED, _MOBILE, _CONVERGED, body=(
+        "SELECT fixed_account AS fix_s_att_account, mobile_account AS mob_s_att_account, src FROM co_keep")),
 }

@@ -1,0 +1,18 @@
+"""Broadcast only behind a measured size bound.
+
+``broadcast_if_small`` counts at most ``max_rows + 1`` rows of a lookup
+(a bounded job: it stops reading once the bound is passed) and hints a
+broadcast only when the lookup is provably within the bound; otherwise the
+join is left to the planner (sort-merge join, or an AQE broadcast when the
+runtime size turns out small).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
