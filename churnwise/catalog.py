@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from churnwise.oracle.fixtures_sql import FIXTURE_CTES
-from churnwise.oracle import converged_sql, fixed_sql, mobile_sql
+from churnwise.oracle import converged_sql, fixed_sql, mobile_sql, reports_sql
 from churnwise.params import RunParams
 from churnwise.operators.materialize import materialize
-from churnwise.plans import contracts, converged, fixed, mobile
+from churnwise.plans import contracts, converged, fixed, involuntary, mobile, sales
 from churnwise.sources.fixtures import FIXTURE_MONTH, FixtureSources
 
 P = RunParams(FIXTURE_MONTH)
@@ -59,6 +59,60 @@ def q_fixed_mobile_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return converged.fixed_mobile_links(t1, t2.drop("mob_s_dim_month"))
 
 
+def converged_stage(spark: SparkSession, sf_dir: str, p: RunParams = P):
+    """The converged table under the report column names, checkpointed."""
+    src, t1, t2 = stage_tables(spark, sf_dir, p)
+    t3 = converged.converged_table(t1, t2, src.prepaid_master(), src.fmc_bill_codes(), p)
+    return src, materialize(contracts.converged_for_reports(t3))
+
+
+def q_sales_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, t3 = converged_stage(spark, sf_dir)
+    return sales.sales_drivers(t3, src.daily_snapshot(), src.interactions(), src.truckrolls(), src.payments(), P)
+
+
+NEVER_PAID_COLUMNS = ["fix_s_att_account", "first_installation_date", "first_bill_created",
+                      "max_delinquency_days_first_bill", "max_mrc_first_bill", "diff_mrc", "first_payment_date",
+                      "first_payment_amt", "first_payment_above_date", "first_payment_above", "last_pay_date",
+                      "total_payments_30_days", "total_payments_60_days", "total_payments_85_days",
+                      "days_between_payment", "fixed_days_unpaid_bill", "npn_30_flag", "npn_60_flag", "npn_85_flag"]
+
+
+def q_never_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _src(spark, sf_dir)
+    nc_rows, _ = sales.new_customer_rows(src.daily_snapshot(), P)
+    fc = sales.first_cycle(nc_rows)
+    return sales.never_paid(fc, sales.first_cycle_payments(fc, src.payments(), P), P).select(*NEVER_PAID_COLUMNS)
+
+
+def q_early_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _src(spark, sf_dir)
+    _, new = sales.new_customer_rows(src.daily_snapshot(), P)
+    typed = sales.interactions_in_window(src.interactions(), src.truckrolls(), P)
+    return sales.early_tickets(new, typed, P)
+
+
+def q_slow_installs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _src(spark, sf_dir)
+    _, new = sales.new_customer_rows(src.daily_snapshot(), P)
+    return sales.slow_installs(new, src.order_lines(), P)
+
+
+def q_involuntary_equation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, t3 = converged_stage(spark, sf_dir)
+    return involuntary.involuntary_equation(t3, src.daily_snapshot(), P)
+
+
+def q_involuntary_fast_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, t3 = converged_stage(spark, sf_dir)
+    return involuntary.fast_check(t3, src.daily_snapshot(), P)
+
+
+def q_involuntary_churn_type_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, t3 = converged_stage(spark, sf_dir)
+    return involuntary.churn_type_check(t3, src.daily_snapshot(), P)
+
+
 QUERIES = {
     "fixed_movement": q_fixed_movement,
     "fixed_table": q_fixed_table,
@@ -66,6 +120,13 @@ QUERIES = {
     "mobile_quick_check": q_mobile_quick_check,
     "converged_table": q_converged_table,
     "fixed_mobile_links": q_fixed_mobile_links,
+    "sales_drivers": q_sales_drivers,
+    "never_paid": q_never_paid,
+    "early_tickets": q_early_tickets,
+    "slow_installs": q_slow_installs,
+    "involuntary_equation": q_involuntary_equation,
+    "involuntary_fast_check": q_involuntary_fast_check,
+    "involuntary_churn_type_check": q_involuntary_churn_type_check,
 }
 
 
@@ -76,6 +137,9 @@ def _with(*ctes: str, body: str) -> str:
 _FIXED = fixed_sql.fixed_ctes(P)
 _MOBILE = mobile_sql.mobile_ctes(P)
 _CONVERGED = converged_sql.converged_ctes(P)
+_SALES = reports_sql.sales_ctes(P)
+_INVOL = reports_sql.involuntary_ctes(P)
+_CHAIN = (_FIXED, _MOBILE, _CONVERGED)
 
 ORACLE = {
     "fixed_movement": _with(_FIXED, body=fixed_sql.fixed_movement_sql(P)),
@@ -85,4 +149,11 @@ ORACLE = {
     "converged_table": _with(_FIXED, _MOBILE, _CONVERGED, body="SELECT * FROM converged_table"),
     "fixed_mobile_links": _with(_FIXED, _MOBILE, _CONVERGED, body=(
         "SELECT fixed_account AS fix_s_att_account, mobile_account AS mob_s_att_account, src FROM co_keep")),
+    "sales_drivers": _with(*_CHAIN, _SALES, body="SELECT * FROM sales_drivers"),
+    "never_paid": _with(*_CHAIN, _SALES, body=reports_sql.NEVER_PAID),
+    "early_tickets": _with(*_CHAIN, _SALES, body=reports_sql.EARLY_TICKETS),
+    "slow_installs": _with(*_CHAIN, _SALES, body="SELECT * FROM sa_slow"),
+    "involuntary_equation": _with(*_CHAIN, _INVOL, body="SELECT * FROM involuntary_equation"),
+    "involuntary_fast_check": _with(*_CHAIN, _INVOL, body=reports_sql.fast_check_sql()),
+    "involuntary_churn_type_check": _with(*_CHAIN, _INVOL, body=reports_sql.CHURN_TYPE_CHECK),
 }
