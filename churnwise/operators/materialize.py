@@ -1,19 +1,26 @@
 """Cutting lineage of shared intermediates.
 
-A relation read by several branches of one plan is materialised once with a
-reliable ``checkpoint()`` into the cluster's shared ``spark.checkpoint.dir``
-(never a machine-local folder, never ``localCheckpoint``): later stages read
-the checkpoint files, and a lost executor costs a re-read, not a recompute of
-the daily snapshot scan.
+A relation read by several branches of one plan is written once as a parquet
+table under the cluster's shared ``spark.checkpoint.dir`` and read back
+(never a machine-local folder, never ``localCheckpoint``). Compared with
+``Dataset.checkpoint()`` this is a single pass (an RDD checkpoint of an
+unpersisted plan computes it twice: once for the job, once for the
+checkpoint write) and the result is columnar, compressed and
+column-prunable. Later stages read the files, so a lost executor costs a
+re-read, not a recompute of the daily snapshot scan.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from churnwise.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -249,7 +249,7 @@ def fixed_table(src, p: RunParams, summary: DataFrame | None = None) -> DataFram
     snap = src.daily_snapshot()
     M, prev, nxt = p.month, p.prev_month, p.next_month
     # one pass over the snapshot window, read by five branches below
-    summary = summary if summary is not None else materialize(account_month_summary(snap, p))
+    summary = summary if summary is not None else materialize(account_month_summary(snap, p), "account_month")
     acct = account_facts(summary)
     subs = subsidized_flags(snap, p)
 
