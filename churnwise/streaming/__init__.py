@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The monthly subscriber scripts are batch jobs: every input is a daily or
+monthly snapshot or an event log read for a closed month, with no watermark,
+late data or state carried between runs. Month-over-month state lives in the
+month-partitioned stage tables (``churnwise.sinks``), rerun idempotently.
+"""
