@@ -9,6 +9,7 @@ same result independently from the same tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from churnwise.oracle.fixtures_sql import FIXTURE_CTES
 from churnwise.oracle import converged_sql, fixed_sql, mobile_sql, reports_sql
@@ -113,6 +114,72 @@ def q_involuntary_churn_type_check(spark: SparkSession, sf_dir: str) -> DataFram
     return involuntary.churn_type_check(t3, src.daily_snapshot(), P)
 
 
+# ---- operator-level queries (one reusable operator each, month M) ----------
+
+STATUS_COLUMNS = ["fix_s_dim_month", "fix_s_att_account", "fix_b_fla_active", "fix_e_fla_active",
+                  "fix_s_att_contact_phone1", "fix_s_att_contact_phone2", "fix_b_mes_num_rgus", "fix_e_mes_num_rgus",
+                  "fix_b_fla_tenure", "fix_e_fla_tenure", "fix_b_fla_subsidized", "fix_e_fla_subsidized",
+                  "fix_b_mes_mrc", "fix_e_mes_mrc", "fix_s_fla_main_movement", "fix_s_fla_spin_movement"]
+
+
+def q_fixed_customer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-01..OP-05: opening/closing base with tenure, mix units, movement, spin."""
+    return fixed.fixed_status_month(_src(spark, sf_dir), P).select(*STATUS_COLUMNS)
+
+
+def _fixed_month_inputs(spark: SparkSession, sf_dir: str):
+    src = _src(spark, sf_dir)
+    summary = fixed.account_month_summary(src.daily_snapshot(), P)
+    return src, summary
+
+
+def q_fixed_voluntary_churners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-08: voluntary churners of month M."""
+    src, summary = _fixed_month_inputs(spark, sf_dir)
+    status = fixed.fixed_status_month(src, P)
+    orders = fixed.disconnect_orders(src.service_orders(), (P.month,))
+    return fixed.voluntary_churners(status, orders, summary.where(F.col("month") == F.lit(P.month)))
+
+
+def q_fixed_involuntary_churners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-09: involuntary churners of month M."""
+    _, summary = _fixed_month_inputs(spark, sf_dir)
+    return (fixed.involuntary_churners(summary.where(F.col("month").isin(P.prev_month, P.month)), P)
+            .where(F.col("month") == F.lit(P.month)))
+
+
+def q_mobile_reinstated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-12: subscribers whose latest cancellation reason is not a real churn."""
+    return mobile.false_churns(_src(spark, sf_dir).postpaid_cancellations(), P)
+
+
+def q_mobile_mrc_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-11: parent MRC split over active subscribers, opening and closing."""
+    src = _src(spark, sf_dir)
+    fake = mobile.false_churns(src.postpaid_cancellations(), P)
+    adj = materialize(mobile.adjusted_master(src.postpaid_master(), fake, P), "adjusted_master")
+    st = mobile.with_mrc(mobile.customer_status(adj, P), src.postpaid_mrc(), P)
+    return st.select("mob_s_att_account", "mob_s_att_ParentAccount", "mob_b_fla_active", "mob_e_fla_active",
+                     "mob_b_mes_MRC", "mob_e_mes_MRC", "mob_b_mes_tenure_days", "mob_e_mes_tenure_days")
+
+
+def q_mobile_disconnections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cancellations of month M that are churn, typed by reason patterns."""
+    return mobile.disconnections(_src(spark, sf_dir).postpaid_cancellations(), P)
+
+
+def q_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts installed in month M with their first bill date."""
+    _, new = sales.new_customer_rows(_src(spark, sf_dir).daily_snapshot(), P)
+    return new
+
+
+def q_interaction_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-17, S07-S12: one interaction per key tuple, typed truck roll / tech call."""
+    src = _src(spark, sf_dir)
+    return sales.interactions_in_window(src.interactions(), src.truckrolls(), P)
+
+
 QUERIES = {
     "fixed_movement": q_fixed_movement,
     "fixed_table": q_fixed_table,
@@ -127,6 +194,14 @@ QUERIES = {
     "involuntary_equation": q_involuntary_equation,
     "involuntary_fast_check": q_involuntary_fast_check,
     "involuntary_churn_type_check": q_involuntary_churn_type_check,
+    "fixed_customer_status": q_fixed_customer_status,
+    "fixed_voluntary_churners": q_fixed_voluntary_churners,
+    "fixed_involuntary_churners": q_fixed_involuntary_churners,
+    "mobile_reinstated": q_mobile_reinstated,
+    "mobile_mrc_split": q_mobile_mrc_split,
+    "mobile_disconnections": q_mobile_disconnections,
+    "new_customers": q_new_customers,
+    "interaction_types": q_interaction_types,
 }
 
 
@@ -140,6 +215,7 @@ _CONVERGED = converged_sql.converged_ctes(P)
 _SALES = reports_sql.sales_ctes(P)
 _INVOL = reports_sql.involuntary_ctes(P)
 _CHAIN = (_FIXED, _MOBILE, _CONVERGED)
+_M = f"DATE '{P.month.isoformat()}'"
 
 ORACLE = {
     "fixed_movement": _with(_FIXED, body=fixed_sql.fixed_movement_sql(P)),
@@ -156,4 +232,23 @@ ORACLE = {
     "involuntary_equation": _with(*_CHAIN, _INVOL, body="SELECT * FROM involuntary_equation"),
     "involuntary_fast_check": _with(*_CHAIN, _INVOL, body=reports_sql.fast_check_sql()),
     "involuntary_churn_type_check": _with(*_CHAIN, _INVOL, body=reports_sql.CHURN_TYPE_CHECK),
+    "fixed_customer_status": _with(_FIXED, body=fixed_sql.status_sql(P)),
+    "fixed_voluntary_churners": _with(_FIXED, body=(
+        f"SELECT mon AS month, acct AS fix_s_att_account, ctype AS churn_type FROM fo_vol WHERE mon = {_M}")),
+    "fixed_involuntary_churners": _with(_FIXED, body=(
+        f"SELECT mon AS month, acct AS fix_s_att_account, ctype AS churn_type FROM fo_invol WHERE mon = {_M}")),
+    "mobile_reinstated": _with(_MOBILE, body="SELECT subsrptn_id FROM mo_fake"),
+    "mobile_mrc_split": _with(_MOBILE, body=(
+        "SELECT acct AS mob_s_att_account, parent AS mob_s_att_ParentAccount, b_act AS mob_b_fla_active, "
+        "e_act AS mob_e_fla_active, b_mrc AS mob_b_mes_MRC, e_mrc AS mob_e_mes_MRC, "
+        "CAST(b_days AS INTEGER) AS mob_b_mes_tenure_days, CAST(e_days AS INTEGER) AS mob_e_mes_tenure_days "
+        "FROM mo_status2")),
+    "mobile_disconnections": _with(_MOBILE, body="SELECT acct AS mob_s_att_account, dxtype AS churn_type FROM mo_dx"),
+    "new_customers": _with(*_CHAIN, _SALES, body=(
+        "SELECT DISTINCT n.acct AS fix_s_att_account, n.maxstart AS fix_b_att_maxstart, b.first_bill AS "
+        "first_bill_created, n.install_month FROM sa_nc n JOIN sa_bills b ON n.acct = b.acct")),
+    "interaction_types": _with(*_CHAIN, _SALES, body=(
+        "SELECT DISTINCT a_interaction_date AS interaction_date, a_account_id AS account_id, "
+        "interaction_channel, interaction_agent_id, interaction_purpose_descrip, customer_id, interaction_type "
+        "FROM (SELECT interaction_date AS a_interaction_date, account_id AS a_account_id, * FROM sa_full)")),
 }
