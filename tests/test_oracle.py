@@ -9,6 +9,9 @@ from scripts.oracle_check import digest, duck
 
 SF = "/root/testdata/sf0.001"
 KEYS = sorted(entry.queries())
+TYPES = {"int": "int", "bigint": "bigint", "double": "double", "string": "string", "date": "date",
+         "timestamp": "ts", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+         "DATE": "date", "TIMESTAMP": "ts"}
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +34,11 @@ def test_query_matches_oracle(spark, con, key):
     assert sorted(c.lower() for c in df.columns) == sorted(c.lower() for c in cols)
     assert len(rows) == len(drows)
     assert digest(df.columns, rows)[0] == digest(cols, drows)[0]
+    # same type per column (Spark simple type vs DuckDB type)
+    spark_types = {f.name.lower(): TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {r[0].lower(): TYPES.get(r[1].split("(")[0], r[1]) for r in con.execute("DESCRIBE " + sql).fetchall()}
+    assert spark_types == duck_types
 
 
 def test_every_query_has_an_oracle():
