@@ -52,9 +52,9 @@ def invalid_cancellation(acct_reason: str = "acct_sts_rsn_desc", susp_reason: st
 def false_churns(cancels: DataFrame, p: RunParams) -> DataFrame:
     """Subscribers whose latest cancellation of the six previous months has a
     reason that is not a real churn (OP-12, first half)."""
-    lo, hi = p.shift(-p.mobile_lookback_months), p.shift(-1)
-    month = F.trunc(F.col("dt"), "month")
-    rows = cancels.where(month.between(F.lit(lo), F.lit(hi)))
+    lo, hi = p.shift(-p.mobile_lookback_months), p.month
+    # months M-6 .. M-1, written as a range on the raw column so it reaches the scan
+    rows = cancels.where((F.col("dt") >= F.lit(lo)) & (F.col("dt") < F.lit(hi)))
     invalid = F.coalesce(invalid_cancellation(), F.lit(False))
     latest = rows.groupBy("subsrptn_id").agg(
         # latest status date wins; on a tie an invalid reason wins

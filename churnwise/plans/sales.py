@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
+from churnwise.operators.materialize import materialize
 from churnwise.operators.rollup import distinct_flag_rollup
 from churnwise.params import RunParams
 
@@ -38,6 +39,9 @@ def new_customer_rows(snapshot: DataFrame, p: RunParams) -> tuple[DataFrame, Dat
     rows = rows.select(F.col("sub_acct_no_sbb").alias(ACCOUNT), "dt", "bill_from_dte_sbb", "delinquency_days",
                        (F.col("video_chrg") + F.col("hsd_chrg") + F.col("voice_chrg")).alias("fi_tot_mrc_amt"),
                        F.to_date("connect_dte_sbb").alias("_connect"))
+    # The connect-date filter is the only bound on this scan (all snapshot days
+    # qualify), so the qualifying rows are written once and read by every branch.
+    rows = materialize(rows, "new_customer_rows")
     per_acct = rows.groupBy(ACCOUNT).agg(
         F.max_by("_connect", "dt").alias("fix_b_att_maxstart"),
         F.min_by("bill_from_dte_sbb", "dt").alias("first_bill_created"))
@@ -69,6 +73,13 @@ def first_cycle_payments(fc: DataFrame, payments: DataFrame, p: RunParams) -> Da
     below 30/60/85 days after the bill (payments before it included).
     Ties on a date are broken by the smaller amount."""
     fb = F.col("first_bill_created")
+    # The per-account window implies a global date range: push it to the
+    # payments scan (prunes a dt-partitioned table). One tiny job over the
+    # new-customer table; exact, since the residual filter below still applies.
+    lo, hi = fc.agg(F.min(fb), F.max(fb)).first()
+    if lo is not None:
+        payments = payments.where(F.col("dt").between(F.lit(lo - _dt.timedelta(days=p.payment_lookback_days)),
+                                                      F.lit(hi + _dt.timedelta(days=85))))
     pay = (payments.select(F.col("account_id").alias(ACCOUNT), F.to_date("dt").alias("pay_dt"),
                            F.col("payment_amt_usd").cast("double").alias("amt"))
            .join(fc.select(ACCOUNT, "first_bill_created", "max_mrc_first_bill"), ACCOUNT)
