@@ -105,9 +105,10 @@ def converged_base(fixed: DataFrame, mobile: DataFrame, prepaid: DataFrame, bill
     joined = joined.withColumn(
         "mob_s_att_duplicates",
         F.row_number().over(Window.partitionBy("mob_s_att_account").orderBy(*order)))
-    for c in mobile.columns:  # fixed-only rows carry no mobile columns
-        alone = alone.withColumn(c, F.lit(None).cast(mobile.schema[c].dataType))
-    base = joined.unionByName(alone.withColumn("mob_s_att_duplicates", F.lit(1)), allowMissingColumns=False)
+    # fixed-only rows carry no mobile columns (one select, not a column-by-column loop)
+    alone = alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in mobile.schema.fields],
+                         F.lit(1).alias("mob_s_att_duplicates"))
+    base = joined.unionByName(alone)
     base = base.drop("_mobile")
 
     # prepaid phones (opening and closing base) and converged bill codes
