@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwise.oracle.fixtures_sql import FIXTURE_CTES
-from churnwise.oracle import converged_sql, fixed_sql, mobile_sql, reports_sql
+from churnwise.oracle import converged_sql, fixed_sql, mobile_sql, primitives_sql, reports_sql
 from churnwise.params import RunParams
 from churnwise.operators.materialize import materialize
-from churnwise.plans import contracts, converged, fixed, involuntary, mobile, sales
+from churnwise.plans import contracts, converged, fixed, involuntary, mobile, primitives, sales
 from churnwise.sources.fixtures import FIXTURE_MONTH, FixtureSources
 
 P = RunParams(FIXTURE_MONTH)
@@ -202,6 +202,12 @@ QUERIES = {
     "mobile_disconnections": q_mobile_disconnections,
     "new_customers": q_new_customers,
     "interaction_types": q_interaction_types,
+    "orders_last_in_month": primitives.orders_last_in_month,
+    "orders_top2_per_customer": primitives.orders_top2_per_customer,
+    "customer_first_orders": primitives.customer_first_orders,
+    "customer_orders_open_close": primitives.customer_orders_open_close,
+    "lineitem_ship_window": primitives.lineitem_ship_window,
+    "orders_distinct_rollup": primitives.orders_distinct_rollup,
 }
 
 
@@ -251,4 +257,10 @@ ORACLE = {
         "SELECT DISTINCT a_interaction_date AS interaction_date, a_account_id AS account_id, "
         "interaction_channel, interaction_agent_id, interaction_purpose_descrip, customer_id, interaction_type "
         "FROM (SELECT interaction_date AS a_interaction_date, account_id AS a_account_id, * FROM sa_full)")),
+    "orders_last_in_month": primitives_sql.ORDERS_LAST_IN_MONTH,
+    "orders_top2_per_customer": primitives_sql.ORDERS_TOP2,
+    "customer_first_orders": primitives_sql.CUSTOMER_FIRST_ORDERS,
+    "customer_orders_open_close": primitives_sql.CUSTOMER_OPEN_CLOSE,
+    "lineitem_ship_window": primitives_sql.LINEITEM_SHIP_WINDOW,
+    "orders_distinct_rollup": primitives_sql.ORDERS_DISTINCT_ROLLUP,
 }
