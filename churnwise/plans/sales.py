@@ -26,7 +26,9 @@ ACCOUNT = "fix_s_att_account"
 
 
 def _ts(d: _dt.date):
-    return F.lit(_dt.datetime(d.year, d.month, d.day))
+    """Midnight of ``d`` as a timestamp in the session time zone (the same
+    conversion Spark applies to the data, whatever the zone)."""
+    return F.lit(d).cast("timestamp")
 
 
 def new_customer_rows(snapshot: DataFrame, p: RunParams) -> tuple[DataFrame, DataFrame]:

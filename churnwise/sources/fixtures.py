@@ -301,7 +301,11 @@ class FixtureSources:
         root = ensure_checkpoint_dir(self.spark).rstrip("/")
         tag = self.sf_dir.rstrip("/").replace("/", "_")
         path = f"{root}/fixtures/{tag}/{name}"
-        key = (self.spark.sparkContext.applicationId, path)
+        try:
+            app = self.spark.sparkContext.applicationId
+        except Exception:  # Spark Connect: no SparkContext on the client
+            app = id(self.spark)
+        key = (app, path)
         if key not in _WRITTEN:
             df = self._BUILDERS[name](self.spark, self.sf_dir)
             part = _MATERIALIZED[name]
