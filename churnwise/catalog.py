@@ -41,13 +41,27 @@ def q_mobile_quick_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mobile.quick_check(mobile.mobile_table(_src(spark, sf_dir), P))
 
 
+_STAGES: dict = {}
+
+
+def _app(spark: SparkSession):
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return id(spark)
+
+
 def stage_tables(spark: SparkSession, sf_dir: str, p: RunParams = P):
-    """T1 (fixed) and T2 (mobile, converged names) of month ``p.month``,
-    checkpointed: they are the stage tables the converged base reads."""
+    """T1 (fixed) and T2 (mobile, converged names) of month ``p.month``: the
+    stage tables the converged base reads. As in the monthly chain they are
+    written once (per session and data folder) and scanned by later steps."""
     src = _src(spark, sf_dir)
-    t1 = materialize(fixed.fixed_table(src, p))
-    t2 = materialize(contracts.mobile_for_converged(mobile.mobile_table(src, p)))
-    return src, t1, t2
+    key = ("t1t2", _app(spark), sf_dir, p.month)
+    if key not in _STAGES:
+        t1 = materialize(fixed.fixed_table(src, p), "fixed_table")
+        t2 = materialize(contracts.mobile_for_converged(mobile.mobile_table(src, p)), "mobile_table")
+        _STAGES[key] = (t1, t2)
+    return (src, *_STAGES[key])
 
 
 def q_converged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +75,14 @@ def q_fixed_mobile_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def converged_stage(spark: SparkSession, sf_dir: str, p: RunParams = P):
-    """The converged table under the report column names, checkpointed."""
+    """The converged table under the report column names, written once
+    (per session and data folder) and scanned by the reports."""
     src, t1, t2 = stage_tables(spark, sf_dir, p)
-    t3 = converged.converged_table(t1, t2, src.prepaid_master(), src.fmc_bill_codes(), p)
-    return src, materialize(contracts.converged_for_reports(t3))
+    key = ("t3", _app(spark), sf_dir, p.month)
+    if key not in _STAGES:
+        t3 = converged.converged_table(t1, t2, src.prepaid_master(), src.fmc_bill_codes(), p)
+        _STAGES[key] = materialize(contracts.converged_for_reports(t3), "converged_table")
+    return src, _STAGES[key]
 
 
 def q_sales_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:

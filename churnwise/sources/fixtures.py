@@ -36,7 +36,10 @@ def _d(s: str) -> Column:
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer keys, spread over the session's task slots before they are
     expanded into daily or monthly rows (the customer file is one split)."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        n = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).repartition(n, "k")
 
 
