@@ -44,11 +44,3 @@ def best_links(links: DataFrame, left_key: str, right_key: str, top_right: int =
     top_l = links.withColumn("_rn", F.row_number().over(by_left)).where(F.col("_rn") == 1).drop("_rn")
     top_r = links.withColumn("_rn", F.row_number().over(by_right)).where(F.col("_rn") <= top_right).drop("_rn")
     return top_l.join(top_r, [left_key, right_key, "src"])
-
-
-def rank_within_right(kept: DataFrame, left_key: str, right_key: str, name: str) -> DataFrame:
-    """1 for the highest left key per right entity, 2 for the others (the
-    kept set has at most ``top_right`` rows per right entity)."""
-    best = kept.groupBy(right_key).agg(F.max(left_key).alias("_best"))
-    return (kept.join(best, right_key)
-            .withColumn(name, F.when(F.col(left_key) == F.col("_best"), 1).otherwise(2)).drop("_best"))
