@@ -104,6 +104,18 @@ def q_never_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.never_paid(fc, sales.first_cycle_payments(fc, src.payments(), P), P).select(*NEVER_PAID_COLUMNS)
 
 
+def q_first_cycle_mrc_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _src(spark, sf_dir)
+    nc_rows, _ = sales.new_customer_rows(src.daily_snapshot(), P)
+    return sales.first_cycle_mrc_values(nc_rows)
+
+
+def q_first_cycle_payment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _src(spark, sf_dir)
+    nc_rows, _ = sales.new_customer_rows(src.daily_snapshot(), P)
+    return sales.first_cycle_payment_rows(sales.first_cycle(nc_rows), src.payments(), P)
+
+
 def q_early_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _src(spark, sf_dir)
     _, new = sales.new_customer_rows(src.daily_snapshot(), P)
@@ -207,6 +219,8 @@ QUERIES = {
     "fixed_mobile_links": q_fixed_mobile_links,
     "sales_drivers": q_sales_drivers,
     "never_paid": q_never_paid,
+    "first_cycle_mrc_values": q_first_cycle_mrc_values,
+    "first_cycle_payment_rows": q_first_cycle_payment_rows,
     "early_tickets": q_early_tickets,
     "slow_installs": q_slow_installs,
     "involuntary_equation": q_involuntary_equation,
@@ -251,6 +265,8 @@ ORACLE = {
         "SELECT fixed_account AS fix_s_att_account, mobile_account AS mob_s_att_account, src FROM co_keep")),
     "sales_drivers": _with(*_CHAIN, _SALES, body="SELECT * FROM sales_drivers"),
     "never_paid": _with(*_CHAIN, _SALES, body=reports_sql.NEVER_PAID),
+    "first_cycle_mrc_values": _with(*_CHAIN, _SALES, body=reports_sql.FIRST_CYCLE_MRC_VALUES),
+    "first_cycle_payment_rows": _with(*_CHAIN, _SALES, body=reports_sql.FIRST_CYCLE_PAYMENT_ROWS),
     "early_tickets": _with(*_CHAIN, _SALES, body=reports_sql.EARLY_TICKETS),
     "slow_installs": _with(*_CHAIN, _SALES, body="SELECT * FROM sa_slow"),
     "involuntary_equation": _with(*_CHAIN, _INVOL, body="SELECT * FROM involuntary_equation"),

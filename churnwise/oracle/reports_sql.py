@@ -175,6 +175,25 @@ SELECT acct AS fix_s_att_account, first_installation_date, first_bill_created, m
        days_between_payment, fixed_days_unpaid_bill, npn_30_flag, npn_60_flag, npn_85_flag
 FROM sa_npn"""
 
+# the ordered arrays of the source, unnested back into rows
+FIRST_CYCLE_MRC_VALUES = """
+SELECT acct AS fix_s_att_account, unnest(mrc_values) AS mrc
+FROM (SELECT nc.acct, list(DISTINCT mrc ORDER BY mrc DESC) AS mrc_values
+      FROM sa_nc nc JOIN sa_bills bi
+        ON nc.acct = bi.acct AND nc.dt BETWEEN bi.first_bill AND CAST(bi.first_bill + INTERVAL 3 MONTH AS DATE)
+      GROUP BY nc.acct) a"""
+
+FIRST_CYCLE_PAYMENT_ROWS = """
+SELECT acct AS fix_s_att_account, unnest(pay_dates) AS pay_dt, unnest(amounts) AS amt,
+       CAST(unnest(offsets) AS INTEGER) AS days_from_bill
+FROM (SELECT p.account_id AS acct,
+             list(p.dt ORDER BY p.dt, p.payment_amt_usd) AS pay_dates,
+             list(p.payment_amt_usd ORDER BY p.dt, p.payment_amt_usd) AS amounts,
+             list(date_diff('day', fc.first_bill_created, p.dt) ORDER BY p.dt, p.payment_amt_usd) AS offsets
+      FROM fx_payments p JOIN sa_fc fc ON fc.acct = p.account_id
+      WHERE p.dt BETWEEN fc.first_bill_created - 50 AND fc.first_bill_created + 85
+      GROUP BY p.account_id) a"""
+
 EARLY_TICKETS = """
 SELECT fix_s_att_account, install_month, fix_b_att_maxstart, min(min_interaction_date) AS first_ticket_date,
        max(early_ticket_flag) AS early_ticket_flag

@@ -100,6 +100,26 @@ def first_cycle_payments(fc: DataFrame, payments: DataFrame, p: RunParams) -> Da
         *totals)
 
 
+def first_cycle_mrc_values(nc_rows: DataFrame) -> DataFrame:
+    """The distinct MRC values of each new customer within three months of the
+    first bill (the content of the source's ordered distinct array), as rows:
+    no group is collected into one value."""
+    fb = F.col("first_bill_created")
+    return (nc_rows.where(F.col("dt").between(fb, F.add_months(fb, 3)))
+            .select(ACCOUNT, F.col("fi_tot_mrc_amt").alias("mrc")).distinct())
+
+
+def first_cycle_payment_rows(fc: DataFrame, payments: DataFrame, p: RunParams) -> DataFrame:
+    """Every payment of the first bill window with its day offset from the
+    bill (the content of the source's date-ordered payment arrays), as rows."""
+    fb = F.col("first_bill_created")
+    return (payments.select(F.col("account_id").alias(ACCOUNT), F.to_date("dt").alias("pay_dt"),
+                            F.col("payment_amt_usd").cast("double").alias("amt"))
+            .join(fc.select(ACCOUNT, "first_bill_created"), ACCOUNT)
+            .where(F.col("pay_dt").between(F.date_sub(fb, p.payment_lookback_days), F.date_add(fb, 85)))
+            .select(ACCOUNT, "pay_dt", "amt", F.datediff("pay_dt", fb).alias("days_from_bill")))
+
+
 def never_paid(fc: DataFrame, pb: DataFrame, p: RunParams) -> DataFrame:
     """Never-paid flags: the account when nothing, or less than the first
     bill's MRC, was paid within 30/60/85 days."""
