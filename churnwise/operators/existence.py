@@ -33,3 +33,19 @@ def semi(df: DataFrame, keys: DataFrame, on) -> DataFrame:
 def anti(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """``WHERE key NOT IN (subquery)`` for NULL-free keys."""
     return df.join(keys, on, "left_anti")
+
+
+def left_join_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` for a right side that may hold
+    many rows per key (a fan-out join).
+
+    AQE can split a skewed partition only on the preserved side of an outer
+    join, so a hot key on the right of a left join would land in one task.
+    Stated as an inner join (either side splittable) plus the unmatched left
+    rows (an anti join, which keeps NULL keys as a left join does), the
+    result is the same rows.
+    """
+    matched = left.join(right, key)
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
+    unmatched = left.join(right.select(key), key, "left_anti").select(*left.columns, *extra)
+    return matched.unionByName(unmatched)

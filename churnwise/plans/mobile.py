@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
-from churnwise.operators.existence import anti, with_membership
+from churnwise.operators.existence import anti, left_join_fanout, with_membership
 from churnwise.operators.materialize import materialize
 from churnwise.params import RunParams
 
@@ -188,7 +188,7 @@ def mobile_table(src, p: RunParams) -> DataFrame:
                           .when(same & (d < 0), L.MOBILE_SPIN[2]).otherwise(L.MOBILE_SPIN[3])))
 
     churn = disconnections(cancels, p).withColumn("_churner", F.lit(1))
-    status = status.join(churn, ACCOUNT, "left")
+    status = left_join_fanout(status, churn, ACCOUNT)  # one row per cancellation of the month
     status = (status.withColumn("mob_s_fla_churn", F.when(F.col("_churner").isNotNull(), L.MOB_CHURNER)
                                 .otherwise(L.MOB_NONCHURNER))
               .withColumn("mob_s_dim_churn_type",

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
+from churnwise.operators.existence import left_join_fanout
 from churnwise.operators.materialize import materialize
 from churnwise.operators.rollup import distinct_flag_rollup
 from churnwise.params import RunParams
@@ -177,7 +178,7 @@ def slow_installs(new: DataFrame, order_lines: DataFrame, p: RunParams) -> DataF
     inst = inst.select(F.col("account_id").alias(ACCOUNT), F.to_date("order_start_date").alias("order_start_date"),
                        F.to_date("completed_date").alias("completed_date"))
     out = new.select(ACCOUNT, "fix_b_att_maxstart", F.col(ACCOUNT).alias("new_sales_flag"), "install_month")
-    out = out.join(inst, ACCOUNT, "left")
+    out = left_join_fanout(out, inst, ACCOUNT)  # an account may have very many order lines
     slow = F.datediff("completed_date", "order_start_date") > p.slow_install_days
     return out.withColumn("outlier_install_flag", F.when(slow, F.col(ACCOUNT))).distinct()
 

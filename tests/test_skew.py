@@ -41,3 +41,12 @@ def test_rollup_and_top_k_with_a_hot_group(spark):
     top = top_k_per_group(df, "g", [F.col("v").desc(), F.col("id").asc()], 3).where(F.col("g") == "hot")
     expect = sorted(((v, i) for g, i, v in rows if g == "hot"), key=lambda x: (-x[0], x[1]))[:3]
     assert [(r.v, r.id) for r in top.orderBy("rank").collect()] == expect
+
+
+def test_left_join_fanout_equals_left_join(spark):
+    from churnwise.operators.existence import left_join_fanout
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (4, "d")], "k long, x string")
+    right = spark.createDataFrame([(1, 10.0)] * 50 + [(2, 20.0), (3, 30.0), (None, 0.0)], "k long, y double")
+    got = sorted(tuple(r) for r in left_join_fanout(left, right, "k").select("k", "x", "y").collect())
+    ref = sorted(tuple(r) for r in left.join(right, "k", "left").select("k", "x", "y").collect())
+    assert got == ref
