@@ -47,6 +47,7 @@ def test_left_join_fanout_equals_left_join(spark):
     from churnwise.operators.existence import left_join_fanout
     left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (4, "d")], "k long, x string")
     right = spark.createDataFrame([(1, 10.0)] * 50 + [(2, 20.0), (3, 30.0), (None, 0.0)], "k long, y double")
-    got = sorted(tuple(r) for r in left_join_fanout(left, right, "k").select("k", "x", "y").collect())
-    ref = sorted(tuple(r) for r in left.join(right, "k", "left").select("k", "x", "y").collect())
+    key = lambda r: tuple((v is None, v if v is not None else 0) for v in r)
+    got = sorted((tuple(r) for r in left_join_fanout(left, right, "k").select("k", "x", "y").collect()), key=key)
+    ref = sorted((tuple(r) for r in left.join(right, "k", "left").select("k", "x", "y").collect()), key=key)
     assert got == ref
