@@ -199,3 +199,19 @@ def test_materialize_writes_under_checkpoint_dir(spark):
     df = materialize(spark.range(5), "t")
     assert df.count() == 5
     assert spark.conf.get("spark.checkpoint.dir") in df.inputFiles()[0]
+
+
+def test_account_in_both_churn_populations_gives_two_rows(spark):
+    # BB only, gone on 06-01; overdue 60 at the end of April rising to 91 on 05-31 (involuntary),
+    # and a completed disconnect order for its one product in May (voluntary)
+    rows = [snap_row(d, 5, overdue=60 + (d - D(1998, 4, 30)).days, phone2=100)
+            for d in days(D(1998, 3, 31), D(1998, 5, 31))]
+    rows += [snap_row(d, 6, phone2=101) for d in days(D(1998, 3, 31), D(1998, 6, 1))]
+    orders = [(5, D(1998, 5, 26), D(1998, 5, 26), D(1998, 5, 24), "CUS", "CUSTOMER REQUEST", "V_DISCO", "RES",
+               "COMPLETE", 0, 1, 0)]
+    out = fixed.fixed_table(ListSources(spark, rows, orders), P).collect()
+    five = sorted((r.fix_s_fla_churn_type, r.fix_e_fla_active, r.fix_s_fla_main_movement) for r in out
+                  if r.fix_s_att_account == 5)
+    assert five == [(L.FIX_VOLUNTARY, 0, L.NULL_LAST_DAY), (L.FIX_INVOLUNTARY, 0, L.NULL_LAST_DAY)]
+    phones = {r.fix_s_att_account: r.fix_s_att_contact_phone2 for r in out}
+    assert phones == {5: None, 6: 101}
