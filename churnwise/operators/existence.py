@@ -25,6 +25,22 @@ def with_membership(df: DataFrame, keys: DataFrame, key: str, name: str, keys_ke
             .withColumn(name, F.coalesce(F.col(name), F.lit(False))))
 
 
+def with_memberships(df: DataFrame, sets: dict, key: str) -> DataFrame:
+    """Add one boolean per named key set (``name`` = df.key IN set), never
+    NULL, with a single join: the sets are tagged, unioned and collapsed to
+    one row per key first (partial aggregation removes duplicates before the
+    shuffle)."""
+    parts = [ks.select(key).where(F.col(key).isNotNull()).withColumn("_set", F.lit(name))
+             for name, ks in sets.items()]
+    tagged = parts[0]
+    for part in parts[1:]:
+        tagged = tagged.unionByName(part)
+    flags = tagged.groupBy(key).agg(*[F.max(F.col("_set") == name).alias(name) for name in sets])
+    out = df.join(flags, key, "left")
+    return out.select(*[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in sets else F.col(c)
+                        for c in out.columns])
+
+
 def semi(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """``WHERE key IN (subquery)``: never multiplies rows."""
     return df.join(keys, on, "left_semi")

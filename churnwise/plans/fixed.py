@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
-from churnwise.operators.existence import with_membership
+from churnwise.operators.existence import with_memberships
 from churnwise.operators.materialize import materialize
 from churnwise.params import RunParams
 
@@ -250,19 +250,15 @@ def fixed_table(src, p: RunParams, summary: DataFrame | None = None) -> DataFram
     M, prev, nxt = p.month, p.prev_month, p.next_month
     # one pass over the snapshot window, read by five branches below
     summary = summary if summary is not None else materialize(account_month_summary(snap, p), "account_month")
-    acct = account_facts(summary)
-    subs = subsidized_flags(snap, p)
-
-    day1 = (day_one_rows(snap, (prev, M, nxt))
-            .join(acct.withColumnRenamed(ACCOUNT, "sub_acct_no_sbb"), "sub_acct_no_sbb", "left")
-            .join(subs.withColumnRenamed(ACCOUNT, "sub_acct_no_sbb"), "sub_acct_no_sbb", "left"))
+    day1 = day_one_rows(snap, (prev, M, nxt)).join(
+        per_account_inputs(summary, snap, p).withColumnRenamed(ACCOUNT, "sub_acct_no_sbb"), "sub_acct_no_sbb", "left")
     # opening row of month m is its first day; closing row is the first day of m+1
     opening = day1.where(F.col("dt").isin(prev, M)).withColumn("_month", F.col("dt"))
     closing = day1.where(F.col("dt").isin(M, nxt)).withColumn("_month", F.add_months("dt", -1))
     status_all = customer_status(opening, closing, p)
     status = with_movements(status_all.where(F.col(MONTH) == F.lit(M)))
 
-    # churn populations of month M
+    # churn populations of month M (an account in both keeps two rows)
     orders = disconnect_orders(src.service_orders(), (M,))
     vol = voluntary_churners(status, orders, summary.where(F.col("month") == F.lit(M)))
     invol = involuntary_churners(summary.where(F.col("month").isin(prev, M)), p).where(F.col("month") == F.lit(M))
@@ -275,48 +271,56 @@ def fixed_table(src, p: RunParams, summary: DataFrame | None = None) -> DataFram
          .otherwise(L.FIX_NONCHURNER).alias("fix_s_fla_ChurnFlag"),
         F.when(F.col("_churner").isNotNull(), F.col("churn_type")).alias("fix_s_fla_churn_type"))
 
-    # rejoiners: active at opening and gone at closing of M-1, back in M
-    left_prev = (status_all.where((F.col(MONTH) == F.lit(prev)) & (F.col("fix_b_fla_active") == 1)
-                                  & (F.col("fix_e_fla_active") == 0)).select(ACCOUNT))
-    flagged = with_membership(flagged, left_prev, ACCOUNT, "_left_prev")
-    flagged = flagged.withColumn(
-        "fix_s_fla_Rejoiner", C.flag(F.col("_left_prev") & (mv == L.COME_BACK))).drop("_left_prev")
-
-    # early-disconnect / migration flags: one row per distinct flag pair
-    reasons = orders.groupBy(ACCOUNT).agg(
-        F.max(F.col("dx_type") == L.DX_INVOLUNTARY).alias("_inv"),
-        F.max(F.col("dx_type") == L.DX_MIGRATION).alias("_mig"),
-        F.max(~F.col("dx_type").isin(L.DX_INVOLUNTARY, L.DX_MIGRATION)).alias("_oth"))
-    flagged = flagged.join(reasons, ACCOUNT, "left")
+    # every single-valued per-account fact of month M, attached with one join:
+    # left the base in M-1 (rejoiners), disconnect-order reason classes,
+    # seen with no product (0P) and completed relocation orders
+    so = src.service_orders()
+    dx = F.col("dx_type")
+    flagged = with_memberships(flagged, {
+        "_left_prev": status_all.where((F.col(MONTH) == F.lit(prev)) & (F.col("fix_b_fla_active") == 1)
+                                       & (F.col("fix_e_fla_active") == 0)),
+        "_inv": orders.where(dx == L.DX_INVOLUNTARY),
+        "_mig": orders.where(dx == L.DX_MIGRATION),
+        "_oth": orders.where(~dx.isin(L.DX_INVOLUNTARY, L.DX_MIGRATION)),
+        "_0p": summary.where((F.col("month") == F.lit(M)) & (F.col("seen_0p") == 1)),
+        "_transfer": so.where((F.trim("order_type") == L.RELOCATION) & (F.col("account_type") == "RES")
+                              & (F.col("order_status") == "COMPLETE")
+                              & (F.to_date("dt") >= F.lit(M)) & (F.to_date("dt") < F.lit(nxt)))
+                       .select(F.col("account_id").alias(ACCOUNT)),
+    }, ACCOUNT)
+    flagged = flagged.withColumn("fix_s_fla_Rejoiner", C.flag(F.col("_left_prev") & (mv == L.COME_BACK)))
+
+    # early-disconnect / migration flags: one row per distinct flag pair over
+    # the account's disconnect orders of M (one (0, 0) row when it has none)
     churned_now = (F.col("fix_s_fla_ChurnFlag") == L.FIX_CHURNER) & (F.col("fix_e_fla_active") == 0)
-    has = lambda c: F.coalesce(F.col(c), F.lit(False))
+    inv, mig, oth = F.col("_inv"), F.col("_mig"), F.col("_oth")
     pair = lambda e, m: F.struct(F.lit(e).alias("early_dx_flag"), F.lit(m).alias("migrt_flag"))
     pairs = F.filter(F.array(
-        F.when(churned_now & has("_inv"), pair(1, 0)),
-        F.when(churned_now & has("_mig"), pair(0, 1)),
-        F.when(has("_oth") | F.col("_inv").isNull() | (~churned_now & (has("_inv") | has("_mig"))), pair(0, 0)),
+        F.when(churned_now & inv, pair(1, 0)),
+        F.when(churned_now & mig, pair(0, 1)),
+        F.when(oth | ~(inv | mig | oth) | (~churned_now & (inv | mig)), pair(0, 0)),
     ), lambda x: x.isNotNull())
     flagged = (flagged.withColumn("_pair", F.explode(pairs))
                .withColumn("Gap", F.when((F.col("fix_s_fla_ChurnFlag") == L.FIX_NONCHURNER)
                                          & (F.col("fix_e_fla_active") == 0), L.CHURNER_GAP))
                .withColumn("early_dx_flag", F.col("_pair.early_dx_flag"))
                .withColumn("migrt_flag", F.col("_pair.migrt_flag"))
-               .drop("_pair", "_inv", "_mig", "_oth"))
-
-    # prepaid (0P) churners and transfers of M
-    zero_play = summary.where((F.col("month") == F.lit(M)) & (F.col("seen_0p") == 1)).select(ACCOUNT)
-    flagged = with_membership(flagged, zero_play, ACCOUNT, "_0p")
-    flagged = flagged.withColumn(
-        "churn0p", F.when(F.col("fix_b_dim_mix_code_adj").isNotNull() & F.col("_0p"), L.CHURNER_0P)).drop("_0p")
-    so = src.service_orders()
-    transfers = (so.where((F.trim("order_type") == L.RELOCATION) & (F.col("account_type") == "RES")
-                          & (F.col("order_status") == "COMPLETE")
-                          & (F.to_date("dt") >= F.lit(M)) & (F.to_date("dt") < F.lit(nxt)))
-                 .select(F.col("account_id").alias(ACCOUNT)))
-    flagged = with_membership(flagged, transfers, ACCOUNT, "_transfer")
+               .withColumn("churn0p", F.when(F.col("fix_b_dim_mix_code_adj").isNotNull() & F.col("_0p"),
+                                             L.CHURNER_0P)))
     return final_flags(flagged).where(F.col("fix_b_fla_active") + F.col("fix_e_fla_active") >= 1)
 
 
+def per_account_inputs(summary: DataFrame, snapshot: DataFrame, p: RunParams) -> DataFrame:
+    """Connect date on the latest record and the two subsidy flags, one row
+    per account (two sources collapsed by one aggregation, joined once)."""
+    acct = account_facts(summary).select(ACCOUNT, "max_start", F.lit(None).cast("int").alias("_sub_b"),
+                                         F.lit(None).cast("int").alias("_sub_e"))
+    subs = subsidized_flags(snapshot, p).select(ACCOUNT, F.lit(None).cast("date").alias("max_start"),
+                                                "_sub_b", "_sub_e")
+    return acct.unionByName(subs).groupBy(ACCOUNT).agg(
+        F.max("max_start").alias("max_start"), F.max("_sub_b").alias("_sub_b"), F.max("_sub_e").alias("_sub_e"))
+
+
 def final_flags(df: DataFrame) -> DataFrame:
     """Last overrides; every expression reads the *input* columns."""
     c = F.col
@@ -361,11 +365,8 @@ def fixed_status_month(src, p: RunParams) -> DataFrame:
     """Opening/closing base of month M with movement and spin."""
     snap = src.daily_snapshot()
     summary = account_month_summary(snap, p)
-    acct = account_facts(summary)
-    subs = subsidized_flags(snap, p)
-    day1 = (day_one_rows(snap, (p.month, p.next_month))
-            .join(acct.withColumnRenamed(ACCOUNT, "sub_acct_no_sbb"), "sub_acct_no_sbb", "left")
-            .join(subs.withColumnRenamed(ACCOUNT, "sub_acct_no_sbb"), "sub_acct_no_sbb", "left"))
+    day1 = day_one_rows(snap, (p.month, p.next_month)).join(
+        per_account_inputs(summary, snap, p).withColumnRenamed(ACCOUNT, "sub_acct_no_sbb"), "sub_acct_no_sbb", "left")
     opening = day1.where(F.col("dt") == F.lit(p.month)).withColumn("_month", F.col("dt"))
     closing = day1.where(F.col("dt") == F.lit(p.next_month)).withColumn("_month", F.add_months("dt", -1))
     return with_movements(customer_status(opening, closing, p))
