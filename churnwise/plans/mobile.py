@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
-from churnwise.operators.existence import anti, left_join_fanout, with_membership
+from churnwise.operators.existence import anti, left_join_fanout, with_memberships
 from churnwise.operators.materialize import materialize
 from churnwise.params import RunParams
 
@@ -166,10 +166,23 @@ def mobile_table(src, p: RunParams) -> DataFrame:
     adj = materialize(adjusted_master(src.postpaid_master(), fake, p))
     status = with_mrc(customer_status(adj, p), src.postpaid_mrc(), p)
 
+    # every membership test of the month, attached with one join: seen active in
+    # the six previous months (new vs come back), reinstated, rejoiner candidate
+    # (active at M-2, not cancelled while active at M-1), and cleaning (active
+    # at M-1 and not suspended during M-1)
     lo = p.shift(-p.mobile_lookback_months)
-    seen_before = adj.where(F.col("dt").between(F.lit(lo), F.lit(prev)) & active_residential())
-    status = with_membership(status, seen_before.select(F.col("subsrptn_id").alias(ACCOUNT)), ACCOUNT, "_seen")
-    status = with_membership(status, fake.select(F.col("subsrptn_id").alias(ACCOUNT)), ACCOUNT, "_fake")
+    act = active_residential()
+    susp = F.trim("lst_susp_dt")
+    susp_month = F.trunc(F.to_date(F.when(F.length(susp) == 10, susp).otherwise(F.lit("1900-01-01"))), "month")
+    cancelled_prev = cancels.where((F.col("dt") == F.lit(prev)) & act).select("subsrptn_id")
+    ids = lambda df: df.select(F.col("subsrptn_id").alias(ACCOUNT))
+    status = with_memberships(status, {
+        "_seen": ids(adj.where(F.col("dt").between(F.lit(lo), F.lit(prev)) & act)),
+        "_fake": ids(fake),
+        "_rejoin": ids(anti(adj.where((F.col("dt") == F.lit(p.shift(-2))) & act), cancelled_prev, "subsrptn_id")),
+        "_clean": ids(adj.where((F.col("dt") == F.lit(prev)) & act & (F.col("flg_susp_curr_mo") == 0)
+                                & (susp_month != F.lit(prev)))),
+    }, ACCOUNT)
 
     b, e = F.col("mob_b_mes_rgus"), F.col("mob_e_mes_rgus")
     fake_c, new_c = F.col("_fake"), ~F.col("_seen")
@@ -194,18 +207,6 @@ def mobile_table(src, p: RunParams) -> DataFrame:
               .withColumn("mob_s_dim_churn_type",
                           F.when(F.col("churn_type") == "Involuntary", L.MOB_INVOLUNTARY)
                           .when(F.col("churn_type") == "Voluntary", L.MOB_VOLUNTARY)))
-
-    # rejoiner candidates: active at M-2 and not cancelled while active at M-1
-    cancelled_prev = cancels.where((F.col("dt") == F.lit(prev)) & active_residential()).select("subsrptn_id")
-    rejoin = anti(adj.where((F.col("dt") == F.lit(p.shift(-2))) & active_residential()), cancelled_prev,
-                  "subsrptn_id")
-    status = with_membership(status, rejoin.select(F.col("subsrptn_id").alias(ACCOUNT)), ACCOUNT, "_rejoin")
-    # cleaning: active at M-1 and not suspended during M-1
-    susp = F.trim("lst_susp_dt")
-    susp_month = F.trunc(F.to_date(F.when(F.length(susp) == 10, susp).otherwise(F.lit("1900-01-01"))), "month")
-    clean = adj.where((F.col("dt") == F.lit(prev)) & active_residential() & (F.col("flg_susp_curr_mo") == 0)
-                      & (susp_month != F.lit(prev)))
-    status = with_membership(status, clean.select(F.col("subsrptn_id").alias(ACCOUNT)), ACCOUNT, "_clean")
     return final_flags(status).where(F.col("mob_b_fla_active") + F.col("mob_e_fla_active") >= 1)
 
 
