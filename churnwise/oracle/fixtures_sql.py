@@ -118,7 +118,7 @@ fx_prepaid AS (
     FROM customer WHERE c_custkey % 9 = 4
 ),
 fx_billcodes AS (
-    SELECT unnest(['B0', 'B1']) AS bill_code
+    SELECT unnest(['B0', 'B1', 'B4']) AS bill_code
 ),
 fx_events AS (
     SELECT event_id, user_id, event_type, value, ts - INTERVAL 9376 DAY AS ts FROM events

@@ -26,7 +26,7 @@ SPINE_LAST = _dt.date(1998, 6, 1)
 PHONE_BASE = 7870000000
 EVENT_SHIFT_DAYS = 9376          # 2024-01-01 -> 1998-05-01
 MASTER_FIRST = _dt.date(1997, 11, 1)   # fixture month - 6 months
-FMC_BILL_CODES = ("B0", "B1")
+FMC_BILL_CODES = ("B0", "B1", "B4")
 
 
 def _d(s: str) -> Column:
