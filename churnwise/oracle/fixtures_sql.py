@@ -58,7 +58,8 @@ fx_orders AS (
                       WHEN c_custkey % 10 = 1 THEN (CASE WHEN c_custkey % 3 = 0 THEN 'MIG COAX TO FIB'
                                                         ELSE 'CUSTOMER REQUEST' END) END AS reason
           FROM customer
-          WHERE c_custkey % 10 IN (1, 8) OR (c_custkey % 10 = 3 AND c_custkey % 20 = 3)) s
+          WHERE c_custkey % 10 = 1 OR (c_custkey % 10 = 8 AND c_custkey % 20 <> 18)
+             OR (c_custkey % 10 = 3 AND c_custkey % 20 = 3)) s
     UNION ALL
     SELECT o_custkey, CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) - 3,
            substr(reason, 1, 3), reason, 'V_DISCO', 'RES',

@@ -101,7 +101,8 @@ def service_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     accounts, and every row of ``orders`` as a disconnect order."""
     k = F.col("k")
     s = k % 10
-    synth = _customers(spark, sf_dir).where((s == 1) | (s == 8) | ((s == 3) & (k % 20 == 3)))
+    # class 8 accounts with k % 20 = 18 leave without an order (a loss with no churn reason)
+    synth = _customers(spark, sf_dir).where((s == 1) | ((s == 8) & (k % 20 != 18)) | ((s == 3) & (k % 20 == 3)))
     completed = F.when(s == 1, _d("1998-05-21")).when(s == 8, _d("1998-05-19")).otherwise(_d("1998-05-05"))
     reason = (F.when(s == 8, "NON-PAY")
               .when(s == 1, F.when(k % 3 == 0, "MIG COAX TO FIB").otherwise("CUSTOMER REQUEST")))
