@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from churnwise import sinks
+from churnwise.operators import materialize as materialize_mod
 from churnwise.params import RunParams
 from churnwise.plans import contracts, converged, fixed, involuntary, mobile, sales
 
@@ -64,7 +65,12 @@ class MonthlyRun:
         }
         return out
 
-    def run(self) -> dict[str, DataFrame]:
+    def run(self, release_intermediates: bool = True) -> dict[str, DataFrame]:
+        before = set(materialize_mod.created())
         t1, t2 = self.fixed(), self.mobile()
         t3 = self.converged(t1, t2)
-        return {T1: t1, T2: t2, T3: t3, **self.reports(t3)}
+        out = {T1: t1, T2: t2, T3: t3, **self.reports(t3)}
+        if release_intermediates:
+            # every result above is read from its stage table, not from these
+            materialize_mod.release(self.spark, [p for p in materialize_mod.created() if p not in before])
+        return out

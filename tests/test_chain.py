@@ -31,7 +31,22 @@ def test_chain_over_table_sources(spark, scratch_dir):
             df = df.withColumn("bill_from_dte_sbb", df["bill_from_dte_sbb"].cast("string"))
         df.write.mode("overwrite").parquet(path)
         locations[name] = path
-    out = MonthlyRun(spark, TableSources(spark, locations), P, f"{scratch_dir}/stage").run()
+    from churnwise.operators import materialize
+    before = set(materialize.created())
+    seen = []
+    orig = materialize.release
+
+    def spy(spark_, paths):
+        seen.extend(paths)
+        return orig(spark_, paths)
+
+    materialize.release = spy
+    try:
+        out = MonthlyRun(spark, TableSources(spark, locations), P, f"{scratch_dir}/stage").run()
+    finally:
+        materialize.release = orig
+    assert seen and not any(os.path.exists(p) for p in seen)   # intermediates of the run are removed
+    assert before <= set(materialize.created())                # earlier ones are untouched
     for table, key in (("fixed_table", "fixed_table"), ("sales_drivers", "sales_drivers"),
                        ("involuntary_equation", "involuntary_equation")):
         ref = entry.queries()[key](spark, SF)
