@@ -13,7 +13,9 @@ Plan shape (why it scales):
   days involuntary tests are conditional aggregates, so no daily row is joined
   back to a per-account table.
 * All month-M joins are keyed on the account alone, so the joined table keeps
-  one hash partitioning and only the (small) right sides move.
+  one hash partitioning and only the (small) right sides move; the
+  single-valued per-account facts (rejoiner, order reasons, 0P, transfers)
+  arrive in one join.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from churnwise.functions import columns as C
 from churnwise.functions import labels as L
 from churnwise.operators.existence import with_memberships
 from churnwise.operators.materialize import materialize
-from churnwise.params import RunParams
+from churnwise.params import RunParams, add_months
 
 ACCOUNT = "fix_s_att_account"
 MONTH = "fix_s_dim_month"
@@ -191,7 +193,6 @@ def disconnect_orders(orders: DataFrame, months) -> DataFrame:
     """Completed residential disconnect orders completed in ``months``, with
     the reason class and the number of products each order removes."""
     lo, hi = min(months), max(months)
-    from churnwise.params import add_months
     end = F.to_date("completed_date")
     dx = (F.when(F.col("cease_reason_desc") == L.DX_MIGRATION_REASON, L.DX_MIGRATION)
           .when(F.col("cease_reason_desc") == L.DX_NONPAY_REASON, L.DX_INVOLUNTARY)
