@@ -144,6 +144,18 @@ def q_involuntary_churn_type_check(spark: SparkSession, sf_dir: str) -> DataFram
     return involuntary.churn_type_check(t3, src.daily_snapshot(), P)
 
 
+def q_fixed_table_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1 / SRC-2: T1 written as a month-partitioned stage table (dynamic
+    partition overwrite) and read back for month M (partition-pruned)."""
+    import uuid
+    from churnwise import sinks
+    from churnwise.session import stage_root
+    _, t1, _ = stage_tables(spark, sf_dir)
+    path = f"{stage_root(spark).rstrip('/')}/registry-{uuid.uuid4().hex[:8]}/fixed_table"
+    sinks.write_month(t1, path, "fix_s_dim_month")
+    return sinks.read_month(spark, path, "fix_s_dim_month", P.month)
+
+
 # ---- operator-level queries (one reusable operator each, month M) ----------
 
 STATUS_COLUMNS = ["fix_s_dim_month", "fix_s_att_account", "fix_b_fla_active", "fix_e_fla_active",
@@ -213,6 +225,7 @@ def q_interaction_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "fixed_movement": q_fixed_movement,
     "fixed_table": q_fixed_table,
+    "fixed_table_stage": q_fixed_table_stage,
     "mobile_table": q_mobile_table,
     "mobile_quick_check": q_mobile_quick_check,
     "converged_table": q_converged_table,
@@ -258,6 +271,7 @@ _M = f"DATE '{P.month.isoformat()}'"
 ORACLE = {
     "fixed_movement": _with(_FIXED, body=fixed_sql.fixed_movement_sql(P)),
     "fixed_table": _with(_FIXED, body="SELECT * FROM fixed_table"),
+    "fixed_table_stage": _with(_FIXED, body="SELECT * FROM fixed_table"),
     "mobile_table": _with(_MOBILE, body="SELECT * FROM mobile_table"),
     "mobile_quick_check": _with(_MOBILE, body=mobile_sql.QUICK_CHECK),
     "converged_table": _with(_FIXED, _MOBILE, _CONVERGED, body="SELECT * FROM converged_table"),
