@@ -83,7 +83,8 @@ fx_master AS (
           FROM customer) m
     WHERE CASE k % 8 WHEN 2 THEN dt <> DATE '1998-05-01'
                      WHEN 3 THEN dt = DATE '1998-05-01'
-                     WHEN 4 THEN dt NOT IN (DATE '1998-04-01', DATE '1998-03-01')
+                     WHEN 4 THEN CASE WHEN k % 16 = 4 THEN dt <> DATE '1998-04-01'
+                                      ELSE dt NOT IN (DATE '1998-04-01', DATE '1998-03-01') END
                      WHEN 5 THEN dt NOT IN (DATE '1998-05-01', DATE '1998-04-01')
                      WHEN 6 THEN dt <> DATE '1998-05-01'
                      ELSE TRUE END

@@ -148,7 +148,9 @@ def postpaid_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     m, m1, m2 = F.lit(FIXTURE_MONTH), _d("1998-04-01"), _d("1998-03-01")
     rows = _customers(spark, sf_dir).select(
         "k", F.explode(F.sequence(F.lit(MASTER_FIRST), m, F.expr("INTERVAL 1 MONTH"))).alias("dt"))
-    present = (F.when(q == 2, dt != m).when(q == 3, dt == m).when(q == 4, ~dt.isin(m1, m2))
+    # class 4 misses M-1 and M-2, except k % 16 = 4 which misses only M-1 (mobile rejoiners)
+    present = (F.when(q == 2, dt != m).when(q == 3, dt == m)
+               .when(q == 4, F.when(k % 16 == 4, dt != m1).otherwise(~dt.isin(m1, m2)))
                .when(q == 5, ~dt.isin(m, m1)).when(q == 6, dt != m).otherwise(F.lit(True)))
     idx = F.months_between(dt, F.lit(MASTER_FIRST)).cast("int")
     activation = F.date_add(F.date_sub(_d("1998-04-20"), (F.lit(20) + (k * 11) % 900).cast("int")),
