@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
-from churnwise.operators.existence import left_join_fanout
+from churnwise.operators.existence import left_join_fanout, with_memberships
 from churnwise.operators.materialize import materialize
 from churnwise.operators.rollup import distinct_flag_rollup
 from churnwise.params import RunParams
@@ -193,28 +193,26 @@ def sales_drivers(fmc: DataFrame, snapshot: DataFrame, interactions: DataFrame,
     fc = first_cycle(nc_rows)
     npn = never_paid(fc, first_cycle_payments(fc, payments, p), p)
     early = early_tickets(new, interactions_in_window(interactions, truckrolls, p), p)
-    # one row of flags per account, joined once into the report base
-    flags = (new.select(ACCOUNT, F.col(ACCOUNT).alias("new_sales_flag"))
-             .join(npn.select(ACCOUNT, *[f"npn_{n}_flag" for n in p.payment_windows]), ACCOUNT, "full_outer")
-             .join(early.groupBy(ACCOUNT).agg(F.max("early_ticket_flag").alias("early_ticket_flag")),
-                   ACCOUNT, "full_outer"))
-    rows = (base.where((F.col("fmc_s_fla_churnflag") != "Fixed Churner")
-                       & ~F.col("fmc_s_fla_waterfall").isin(*L.SALES_EXCLUDED_WATERFALL)
-                       & (F.col("fix_s_fla_mainmovement") != L.NULL_LAST_DAY))
-            .join(flags, ACCOUNT, "left"))
+    # every flag is the account or NULL: attach them as set memberships, one join
+    acct = F.col(ACCOUNT)
+    sets = {"_new": new.select(ACCOUNT),
+            "_early": early.where(F.col("early_ticket_flag").isNotNull()).select(ACCOUNT)}
+    for n in p.payment_windows:
+        sets[f"_npn{n}"] = npn.where(F.col(f"npn_{n}_flag").isNotNull()).select(ACCOUNT)
+    rows = with_memberships(
+        base.where((F.col("fmc_s_fla_churnflag") != "Fixed Churner")
+                   & ~F.col("fmc_s_fla_waterfall").isin(*L.SALES_EXCLUDED_WATERFALL)
+                   & (F.col("fix_s_fla_mainmovement") != L.NULL_LAST_DAY)), sets, ACCOUNT)
     dims = {"opd_s_dim_month": "fmc_s_dim_month", "opd_e_fla_final_tech": "fmc_e_fla_tech",
             "opd_e_fla_opd_segment": "fmc_e_fla_fmcsegment", "opd_e_fla_opd_type": "fmc_e_fla_fmc",
             "opd_e_fla_final_tenure": "fmc_e_fla_tenure"}
-    rows = rows.select(*[F.col(v).alias(k) for k, v in dims.items()], ACCOUNT, "fix_e_att_active",
-                       "new_sales_flag", "npn_30_flag", "npn_60_flag", "npn_85_flag", "early_ticket_flag")
+    rows = rows.select(*[F.col(v).alias(k) for k, v in dims.items()], ACCOUNT, "fix_e_att_active", *sets)
     counts = {
-        "opd_s_mes_active_base": F.when(F.col("fix_e_att_active") == 1, F.col(ACCOUNT)),
-        "opd_s_mes_soft_dx": F.col(ACCOUNT),
-        "opd_s_mes_sales": F.col("new_sales_flag"),
-        "opd_s_mes_never_paid_30_days": F.col("npn_30_flag"),
-        "opd_s_mes_never_paid_60_days": F.col("npn_60_flag"),
-        "opd_s_mes_never_paid_85_days": F.col("npn_85_flag"),
-        "opd_s_mes_uni_early_tickets": F.col("early_ticket_flag"),
+        "opd_s_mes_active_base": F.when(F.col("fix_e_att_active") == 1, acct),
+        "opd_s_mes_soft_dx": acct,
+        "opd_s_mes_sales": F.when(F.col("_new"), acct),
+        **{f"opd_s_mes_never_paid_{n}_days": F.when(F.col(f"_npn{n}"), acct) for n in p.payment_windows},
+        "opd_s_mes_uni_early_tickets": F.when(F.col("_early"), acct),
     }
     out = distinct_flag_rollup(rows, list(dims), ACCOUNT, counts)
     return out.orderBy(*[F.col(k).asc_nulls_last() for k in dims])
