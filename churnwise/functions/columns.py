@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -108,14 +108,3 @@ def like_any(text, patterns: Sequence[str]) -> Column:
 
 def lower_like_any(text, patterns: Sequence[str]) -> Column:
     return like_any(F.lower(col(text)), patterns)
-
-
-def any_of(conds: Iterable[Column]) -> Column:
-    out = None
-    for c in conds:
-        out = c if out is None else (out | c)
-    return out
-
-
-def month_end(d) -> Column:
-    return F.last_day(col(d))

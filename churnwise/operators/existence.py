@@ -13,18 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def key_set(keys: DataFrame, key: str) -> DataFrame:
-    """Distinct non-NULL keys (partial aggregation before the shuffle)."""
-    return keys.select(key).where(F.col(key).isNotNull()).distinct()
-
-
-def with_membership(df: DataFrame, keys: DataFrame, key: str, name: str, keys_key: str | None = None) -> DataFrame:
-    """Add boolean ``name`` = (df.key IN keys); never NULL."""
-    ks = key_set(keys.withColumnRenamed(keys_key, key) if keys_key else keys, key)
-    return (df.join(ks.withColumn(name, F.lit(True)), key, "left")
-            .withColumn(name, F.coalesce(F.col(name), F.lit(False))))
-
-
 def with_memberships(df: DataFrame, sets: dict, key: str) -> DataFrame:
     """Add one boolean per named key set (``name`` = df.key IN set), never
     NULL, with a single join: the sets are tagged, unioned and collapsed to
@@ -41,11 +29,6 @@ def with_memberships(df: DataFrame, sets: dict, key: str) -> DataFrame:
                         for c in out.columns])
 
 
-def semi(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    """``WHERE key IN (subquery)``: never multiplies rows."""
-    return df.join(keys, on, "left_semi")
-
-
 def anti(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """``WHERE key NOT IN (subquery)`` for NULL-free keys."""
     return df.join(keys, on, "left_anti")
