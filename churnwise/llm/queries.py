@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import decontaminate, mix
+from churnwise.llm import decontaminate, minhash, mix
 from churnwise.llm.tables import table
 
 
+def op1_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.report(table(spark, sf_dir, "documents"))
 
@@ -18,10 +22,32 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_groups": op1_minhash_groups,
     "op3_mix_sources": op3_mix_sources,
     "op9_decontaminate": op9_decontaminate,
 }
 
+OP1_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (
+    SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+inter AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM inter JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * inter.n >= 85 * (x.n + y.n - inter.n)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN component USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
 OP3_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -79,6 +105,7 @@ FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN covered USING (doc_id
 """
 
 ORACLE_SQL = {
+    "op1_minhash_groups": OP1_SQL,
     "op3_mix_sources": OP3_SQL,
     "op9_decontaminate": OP9_SQL,
 }

@@ -8,11 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import decontaminate, mix
+from churnwise.llm import decontaminate, minhash, mix
 from churnwise.llm.common import cut
 from churnwise.llm.tables import table
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates, the document with the smallest id stays."""
+    return minhash.drop_near_duplicates(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -24,6 +29,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("near_dedup", near_dedup),
     ("decontamination", benchmark_decontamination),
     ("mixing", source_mixing),
 ]
