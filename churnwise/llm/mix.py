@@ -27,7 +27,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 #: Rows aimed at in one key range of one source; the number of ranges grows with the table.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 1_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
