@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import decontaminate, minhash, mix
+from churnwise.llm import decontaminate, minhash, mix, pii
 from churnwise.llm.tables import table
 
 
@@ -16,6 +16,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.report(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("spans")
@@ -24,6 +28,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_groups": op1_minhash_groups,
     "op3_mix_sources": op3_mix_sources,
+    "op6_personal_data": op6_personal_data,
     "op9_decontaminate": op9_decontaminate,
 }
 

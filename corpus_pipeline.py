@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import decontaminate, minhash, mix
+from churnwise.llm import decontaminate, minhash, mix, pii
 from churnwise.llm.common import cut
 from churnwise.llm.tables import table
 
@@ -23,6 +23,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked in place; every document stays."""
+    return pii.mask(docs)
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed corpus: a row for each epoch of each document that the mix takes."""
     return mix.materialize(docs)
@@ -31,6 +36,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("near_dedup", near_dedup),
     ("decontamination", benchmark_decontamination),
+    ("personal_data", personal_data),
     ("mixing", source_mixing),
 ]
 
