@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import decontaminate, minhash, mix, pii
+from churnwise.llm import ann, decontaminate, minhash, mix, pii, toxicity
 from churnwise.llm.tables import table
 
 
@@ -12,10 +12,18 @@ def op1_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.report(table(spark, sf_dir, "documents"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.report(table(spark, sf_dir, "embeddings"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.report(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -27,7 +35,9 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_groups": op1_minhash_groups,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_mix_sources": op3_mix_sources,
+    "op5_toxicity": op5_toxicity,
     "op6_personal_data": op6_personal_data,
     "op9_decontaminate": op9_decontaminate,
 }

@@ -8,11 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import decontaminate, minhash, mix, pii
+from churnwise.llm import decontaminate, minhash, mix, pii, toxicity
 from churnwise.llm.common import cut
 from churnwise.llm.tables import table
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.3 or more go. Training reads labels of docs only, as it does in the operator."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document with the smallest id stays."""
     return minhash.drop_near_duplicates(docs)
@@ -34,6 +39,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("toxicity", toxicity_filter),
     ("near_dedup", near_dedup),
     ("decontamination", benchmark_decontamination),
     ("personal_data", personal_data),
