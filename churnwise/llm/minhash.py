@@ -1,19 +1,19 @@
 """Near-duplicate groups by b-bit MinHash.
 
-1. One pass over the texts gives, per document, the hash of its word sequence, the size of its shingle set, 24
-   band keys (each the hash of 5 minima) and the packed low 4 bits of all 120 minima (60 bytes). Documents with
-   equal word sequences form a class; from here on a class counts once, under its smallest document.
-2. Classes that share a band key are candidates. Their similarity is estimated from the packed signatures: the
-   share of equal 4-bit fields, corrected for the 1 in 16 that agree by chance. Pairs estimated under `cutoff`
-   go; the rest are confirmed on their full shingle sets.
+1. One pass over the texts gives, per document, the hash of its word sequence, the size of its shingle set and
+   24 band keys, each the hash of 5 minima. Documents with equal word sequences form a class; from here on a
+   class counts once, under its smallest document.
+2. Classes that share a band key are candidates. Of their 512 minima the low 4 bits are retained and packed (256
+   bytes). A pair's similarity is estimated from the bits: the share of equal 4-bit fields, corrected for the 1
+   in 16 that agree by chance. Pairs estimated under `cutoff` go; the rest are confirmed on full shingle sets.
 3. No bucket's pairs are all emitted. First each member is held against its bucket's smallest member. Then
    components are built, and only buckets that still span several components are looked at again: members
    outside the bucket's largest component are held against the members of other components, in blocks of
-   bounded size, the best estimates first. The last round has no limit on partners, so a link can only be
-   skipped where its two ends are connected already.
+   bounded size, the best estimates first, each pair only in the first band it shares. The last round has no
+   limit on partners, so a link can only be skipped where its two ends are connected already.
 
 At a similarity of 0.85 a pair shares no band with probability 8e-7, and the cutoff is 4.5 standard
-deviations under it. Shingles and word sequences are compared by 64- and 128-bit hashes.
+deviations of the estimate under it. Shingles and word sequences are compared by 64- and 128-bit hashes.
 
 Defined results: a document without words has an empty set, links with nothing and is its own component; rows
 that repeat a doc_id with another text each get the component of their own text, and are one node where both
@@ -34,9 +34,10 @@ from churnwise.llm.common import chunks, cut, fold, mixed, shingle_hashes, signe
 from churnwise.llm.components import components
 
 WORDS = 5
-ROWS, BANDS, BITS = 5, 24, 4
-K = ROWS * BANDS
-CUTOFF = 0.70
+ROWS, BANDS = 5, 24
+#: Minima in a signature, and the low bits kept of each.
+K, BITS = 512, 4
+CUTOFF = 0.775
 #: Members of one bucket that meet in one block.
 BLOCK = 512
 #: Partners of a member, per block, in each round after the first; None: all.
@@ -67,11 +68,11 @@ def _sets(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np
             yield hashes[a:b], np.zeros(0, np.uint64)
 
 
-def _minima(shingles: np.ndarray) -> np.ndarray:
-    low = np.full(K, 2**32 - 1, np.uint32)
+def _minima(shingles: np.ndarray, k: int) -> np.ndarray:
+    low = np.full(k, 2**32 - 1, np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(x), 2048):
-        np.minimum(low, (_MULT[:, None] * x[None, at : at + 2048] + _PLUS[:, None]).min(axis=1), out=low)
+    for at in range(0, len(x), 1024):
+        np.minimum(low, (_MULT[:k, None] * x[None, at : at + 1024] + _PLUS[:k, None]).min(axis=1), out=low)
     return low
 
 
@@ -94,36 +95,36 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, offsets = text_bytes(batch.column("text"))
         for a, b in chunks(offsets):
             part, at = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            minima, sizes, keys = np.zeros((b - a, K), np.uint32), np.zeros(b - a, np.int64), np.zeros((b - a, 2), np.uint64)
+            minima, sizes, keys = np.zeros((b - a, ROWS * BANDS), np.uint32), np.zeros(b - a, np.int64), np.zeros((b - a, 2), np.uint64)
             for i, (hashes, shingles) in enumerate(_sets(part, at)):
                 sizes[i] = len(shingles)
                 keys[i] = fold(hashes), fold(mixed(hashes))
-                minima[i] = _minima(shingles)
+                minima[i] = _minima(shingles, ROWS * BANDS)
             bands = np.zeros((b - a, BANDS), np.uint64)
             for r in range(ROWS):
                 bands = mixed(bands * np.uint64(0x9E3779B97F4A7C15) + minima[:, r::ROWS].astype(np.uint64) + np.arange(BANDS, dtype=np.uint64))
             some = sizes > 0
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(signed(bands[some].ravel())))
-            packed = pack(minima)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(a, b - a), batch.column("node").slice(a, b - a), pa.array(signed(keys[:, 0])), pa.array(signed(keys[:, 1])), pa.array(sizes), lists, pa.array([packed[i].tobytes() for i in range(b - a)], pa.binary())],
-                ["doc_id", "node", "k1", "k2", "n_shingles", "bands", "sig"],
+                [batch.column("doc_id").slice(a, b - a), batch.column("node").slice(a, b - a), pa.array(signed(keys[:, 0])), pa.array(signed(keys[:, 1])), pa.array(sizes), lists],
+                ["doc_id", "node", "k1", "k2", "n_shingles", "bands"],
             )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, k1, k2, n_shingles, bands, sig) of each row of docs."""
+    """(doc_id, node, k1, k2, n_shingles, bands) of each row of docs."""
     text = F.col("text").cast("string")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_id(F.col("doc_id"), text).alias("node"), text.alias("text"))
-    return narrow.mapInArrow(_sign, "doc_id long, node long, k1 long, k2 long, n_shingles long, bands array<long>, sig binary")
+    return narrow.mapInArrow(_sign, "doc_id long, node long, k1 long, k2 long, n_shingles long, bands array<long>")
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = text_bytes(batch.column("text"))
         for a, b in chunks(offsets):
-            sets = [s.tobytes() for _, s in _sets(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])]
-            yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), pa.array(sets, pa.binary())], ["node", "shingles"])
+            sets = [s for _, s in _sets(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])]
+            packed = [pack(_minima(s, K)).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(packed, pa.binary())], ["node", "shingles", "sig"])
 
 
 def _estimated(batches: Iterator[pa.RecordBatch], cutoff: float) -> Iterator[pa.RecordBatch]:
@@ -153,6 +154,7 @@ def _across(batches: Iterator[pa.RecordBatch], cutoff: float, most: int | None)
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, comp, out = (rows.column(c).to_numpy() for c in ("node", "component", "outlier"))
         sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, K // 2)
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         keys = np.stack([rows.column(c).to_numpy() for c in ("bkey", "ob", "mb")])
         bounds = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         left, right = [], []
@@ -162,6 +164,8 @@ def _across(batches: Iterator[pa.RecordBatch], cutoff: float, most: int | None)
                 other = members[comp[members] != comp[o]]
                 close = estimate(sig[o], sig[other]) if len(other) else np.zeros(0)
                 at = np.flatnonzero(close >= cutoff)
+                first = (bands[o] == bands[other[at]]).argmax(axis=1)
+                at = at[bands[o][first] == keys[0, a]]
                 if most is not None and len(at) > most:
                     at = at[np.lexsort((ids[other[at]], -close[at]))[:most]]
                 left.append(np.full(len(at), ids[o]))
@@ -197,10 +201,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cutoff: float = CUTOFF,
     shared = banded.groupBy("bkey").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot != last").select("bkey", "pivot")
     members = cut(banded.join(shared, "bkey").distinct(), "minhash-members")
     ids = cut(members.select("node").distinct(), "minhash-ids")
-    sigs = cut(reps.join(ids, "node", "left_semi").select("node", "sig"), "minhash-sigs")
     text = F.col("text").cast("string")
     texts = docs.select(node_id(F.col("doc_id"), text).alias("node"), text.alias("text")).join(ids, "node", "left_semi")
-    sets = cut(texts.mapInArrow(_shingles, "node long, shingles binary"), "minhash-sets")
+    sets = cut(texts.mapInArrow(_shingles, "node long, shingles binary, sig binary"), "minhash-sets")
+    sigs = sets.select("node", "sig")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa")), "a")
@@ -215,14 +219,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cutoff: float = CUTOFF,
         placed = members.join(found, "node", "left").select("bkey", "node", F.coalesce("component", "node").alias("component"))
         parts = placed.groupBy("bkey", "component").agg(F.count("*").alias("n"))
         open_buckets = parts.groupBy("bkey").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("n"), F.max("n").alias("inside")).where("n > inside")
-        rows = placed.join(open_buckets, "bkey").join(sigs, "node").withColumn("outlier", F.col("component") != F.col("largest"))
+        rows = placed.join(open_buckets, "bkey").join(sigs.join(reps.select("node", "bands"), "node"), "node").withColumn("outlier", F.col("component") != F.col("largest"))
         blocks = {"no": F.ceil((F.col("n") - F.col("inside")) / block).cast("int"), "nm": F.ceil(F.col("n") / block).cast("int")}
         rows = rows.withColumns(blocks)
         cell = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
         span = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
         held = rows.where("outlier").withColumn("ob", cell("no")).withColumn("mb", span("nm"))
         against = rows.withColumn("outlier", F.lit(False)).withColumn("mb", cell("nm")).withColumn("ob", span("no"))
-        cells = held.unionByName(against).select("bkey", "ob", "mb", "node", "component", "sig", "outlier")
+        cells = held.unionByName(against).select("bkey", "ob", "mb", "node", "component", "sig", "bands", "outlier")
         cells = cells.repartition("bkey", "ob", "mb").sortWithinPartitions("bkey", "ob", "mb")
         pairs = cells.mapInArrow(lambda x, most=most: _across(x, cutoff, most), "a long, b long").distinct()
         pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
