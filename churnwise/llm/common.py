@@ -67,7 +67,7 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
 
 _RNG = np.random.default_rng(20240229)
 _BASE = np.uint64(_RNG.integers(1, 2**63, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-_CODES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+CODES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS = np.ones(1, np.uint64)
 #: Bytes that separate words of the two word patterns in use.
 SPACES = np.zeros(256, bool)
@@ -106,7 +106,7 @@ def words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES)
     if not len(starts):
         return starts, starts, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     lengths = np.add.reduceat(inside, starts, dtype=np.int64)
-    codes = np.where(separators, np.uint64(0), _CODES[LOWER])
+    codes = np.where(separators, np.uint64(0), CODES[LOWER])
     place = np.arange(starts[0], len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw))))
     np.minimum(place, lengths.max(), out=place)
     values = codes[raw[starts[0] :]] * powers(int(lengths.max()) + 1)[place]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import ann, decontaminate, minhash, mix, pii, toxicity
+from churnwise.llm import ann, decontaminate, minhash, mix, pii, tokens, toxicity, urls
 from churnwise.llm.tables import table
 
 
@@ -20,6 +20,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.report(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.report(table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,6 +32,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("spans")
@@ -37,8 +45,10 @@ QUERIES = {
     "op1_minhash_groups": op1_minhash_groups,
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_mix_sources": op3_mix_sources,
+    "op4_url_filters": op4_url_filters,
     "op5_toxicity": op5_toxicity,
     "op6_personal_data": op6_personal_data,
+    "op7_token_counts": op7_token_counts,
     "op9_decontaminate": op9_decontaminate,
 }
 
@@ -91,6 +101,32 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+OP4_SQL = r"""
+WITH p AS (
+  SELECT page_id, url, DATE '2024-01-01' + (('0x' || substr(md5('fetch' || page_id::VARCHAR), 1, 8))::BIGINT % 360)::INT AS day,
+         nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') AS host,
+         string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/') AS steps
+  FROM pages),
+k AS (
+  SELECT DISTINCT page_id, day, host, unnest(
+    list_transform(generate_series(1, greatest(len(string_split(host, '.')) - 1, 1)), lambda i: array_to_string(string_split(host, '.')[i:], '.'))
+    || list_transform(generate_series(1, len(steps) - 2), lambda i: host || '/' || array_to_string(steps[2 : i + 1], '/') || '/')) AS key
+  FROM p WHERE host IS NOT NULL),
+n AS (SELECT key, ('0x' || substr(md5('list' || key), 1, 8))::BIGINT AS n FROM (SELECT DISTINCT key FROM k)),
+e AS (
+  SELECT key, n, unnest([0, 60, 120]) AS after, DATE '2024-01-01' + ((n // 30) % 240)::INT AS start FROM n WHERE n % 3 = 0),
+entries AS (
+  SELECT key, ['adult', 'malware', 'phishing', 'spam'][((n // 7) % 4 + 1)::INT] AS category, after <> 60 AS adds, start + after::INT AS day
+  FROM e WHERE after = 0 OR (after = 60 AND n % 2 = 0) OR (after = 120 AND n % 5 = 0)),
+answers AS (SELECT k.*, entries.category, entries.adds, entries.day AS since FROM k ASOF JOIN entries ON k.key = entries.key AND k.day >= entries.day),
+best AS (
+  SELECT page_id, count(DISTINCT key) AS n_listed, arg_min(struct_pack(key := key, category := category, since := since), (-length(key), key)) AS b
+  FROM answers WHERE adds GROUP BY page_id)
+SELECT p.page_id, p.day, p.host, coalesce(n_listed, 0) > 0 AS blocked, coalesce(n_listed, 0)::BIGINT AS n_listed,
+       b.key AS listed_key, b.category, b.since
+FROM p LEFT JOIN best USING (page_id)
+"""
+
 OP9_SQL = r"""
 WITH words AS (
   SELECT doc_id, w, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM (
@@ -122,5 +158,6 @@ FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN covered USING (doc_id
 ORACLE_SQL = {
     "op1_minhash_groups": OP1_SQL,
     "op3_mix_sources": OP3_SQL,
+    "op4_url_filters": OP4_SQL,
     "op9_decontaminate": OP9_SQL,
 }
