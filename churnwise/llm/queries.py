@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import ann, decontaminate, minhash, mix, pii, tokens, toxicity, urls
+from churnwise.llm import ann, decontaminate, minhash, mix, pii, ppm, tokens, toxicity, urls
 from churnwise.llm.tables import table
 
 
@@ -36,6 +36,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count(table(spark, sf_dir, "documents"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.report(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("spans")
@@ -49,6 +53,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_personal_data": op6_personal_data,
     "op7_token_counts": op7_token_counts,
+    "op8_language_model": op8_language_model,
     "op9_decontaminate": op9_decontaminate,
 }
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnwise.llm.common import LOWER, chunks, text_bytes, words
+from churnwise.llm.common import LOWER, chunks, cut, text_bytes, words
 
 #: Rows of each label that training may use, and the longest of their texts in characters.
 SAMPLE, SAMPLE_CHARS = 2000, 8000
@@ -311,10 +311,14 @@ def _calibrated(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from a bounded sample of the labelled documents that are not held out."""
     marks = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(~held_out(F.col("doc_id")))
-    rows = docs.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("text").cast("string").alias("text")).join(marks, "doc_id")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    sized = docs.select("doc_id", F.length(text).alias("size")).where(~held_out(F.col("doc_id")))  # texts stay where they are
     counts = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
-    fits = rows.where(F.length("text") <= SAMPLE_CHARS).withColumn("key", F.xxhash64(F.lit("toxic"), "doc_id"))
-    sample = [r for k in (0, 1) for r in fits.where(F.col("toxic") == k).orderBy("key", "doc_id", "text").limit(SAMPLE).collect()]
+    fits = sized.where(F.col("size") <= SAMPLE_CHARS).join(marks, "doc_id").withColumn("key", F.xxhash64(F.lit("toxic"), "doc_id"))
+    picked = fits.where("toxic = 0").orderBy("key", "doc_id").limit(SAMPLE).unionByName(fits.where("toxic = 1").orderBy("key", "doc_id").limit(SAMPLE))
+    picked = F.broadcast(cut(picked.select("doc_id", "toxic").distinct(), "toxicity-sample"))  # at most two samples of ids
+    rows = docs.select("doc_id", text.alias("text")).where(F.length("text") <= SAMPLE_CHARS).join(picked, "doc_id")
+    sample = rows.orderBy("toxic", F.xxhash64("doc_id"), "doc_id", "text").limit(4 * SAMPLE).collect()
     return Model([r["text"] for r in sample], [r["toxic"] for r in sample], [max(1, counts.get(k, 0)) for k in (0, 1)])
 
 
