@@ -8,7 +8,8 @@ never uses, so scores of whole texts are probabilities of whole texts.
 The trie keeps its `STATES` most frequent contexts (ties: the shorter, then the smaller), which is closed under
 leaving off a first or last byte. Escapes are estimated by the number of distinct symbols seen (t of n + t), and
 symbols of longer contexts are excluded from shorter ones. Contexts become states of an automaton with a table of
-next states and a table of log10 probabilities, both bounded by STATES rows of 256; they are what is broadcast.
+next states and a table of log10 probabilities, both of at most STATES rows of 256. What is broadcast is the counts
+of the kept contexts, which has the same bound.
 All texts of a block step through it together; a long text is cut in segments that each read the ORDER bytes
 before them, which fixes the state, so segments add up to the whole text exactly.
 
@@ -81,55 +82,71 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """The automaton of the kept contexts."""
+    """The automaton of the kept contexts. Only the counts travel; each worker builds its tables once."""
 
     def __init__(self, order: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, depth: int = ORDER):
         """Rows (order, context, symbol, n) of the kept contexts; contexts are packed bytes."""
         self.depth = depth
-        keys, at = np.unique(np.stack([order.astype(np.int64), context.astype(np.int64)]), axis=1, return_inverse=True)
-        if not keys.shape[1]:
-            keys = np.zeros((2, 1), np.int64)
-        state = {(int(j), int(c)): s for s, (j, c) in enumerate(keys.T)}
-        size = keys.shape[1]
-        counts = np.zeros((size, 256))
-        np.add.at(counts, (at.reshape(-1), symbol.astype(np.int64)), n)
-        seen = counts > 0
-        children: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        suffix = np.zeros(size, np.int64)
-        for s, (j, c) in enumerate(keys.T.tolist()):
+        self.rows = (order.astype(np.int8), context.astype(np.int64), symbol.astype(np.uint8), n.astype(np.int64))
+        self._built: tuple[np.ndarray, np.ndarray, int] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_built": None}
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """Next states and log10 probabilities of each state and byte, and the first state."""
+        if self._built is None:
+            self._built = self._build()
+        return self._built
+
+    def _build(self) -> tuple[np.ndarray, np.ndarray, int]:
+        order, context, symbol, n = self.rows
+        # a context's number orders by length, then bytes; the empty context is state 0
+        numbers, at = np.unique(np.append(order.astype(np.int64) << 48 | context, 0), return_inverse=True)
+        size = len(numbers)
+        counts = np.zeros((size, 256), np.float32)
+        counts[at[:-1], symbol] = n
+        level, bytes_of = numbers >> 48, numbers & ((1 << 48) - 1)
+        find = lambda j, c: np.searchsorted(numbers, j << 48 | c)
+        shorter = np.maximum(level - 1, 0)
+        suffix = np.where(level > 0, find(shorter, bytes_of & ((1 << 8 * shorter) - 1)), 0)
+        prefix = np.where(level > 0, find(shorter, bytes_of >> 8), 0)
+        following = np.zeros((size, 256), np.int32)
+        cost = np.zeros((size, 256), np.float32)
+        for j in range(self.depth + 1):  # a state's suffix comes before it
+            here = np.flatnonzero(level == j)
             if j:
-                suffix[s] = state[j - 1, c & ((1 << 8 * (j - 1)) - 1)]
-                children[state[j - 1, c >> 8]].append((c & 255, s))
-        self.next = np.zeros((size, 256), np.int32)
-        self.cost = np.zeros((size, 256), np.float32)
-        for s, j in enumerate(keys[0].tolist()):  # by order: a state's suffix comes before it
-            self.next[s] = self.next[suffix[s]] if j else 0
-            for byte, child in children[s]:
-                self.next[s, byte] = child
-            self.cost[s] = np.log10(np.maximum(self._probabilities(s, j, counts, seen, suffix), 1e-300))
-        self.start = 0
-        for j in range(1, depth + 1):
-            self.start = state.get((j, int.from_bytes(bytes([START]) * j, "big")), self.start)
+                following[here] = following[suffix[here]]
+            children = np.flatnonzero(level == j + 1)
+            following[prefix[children], bytes_of[children] & 255] = children
+            for k in range(0, len(here), 2048):
+                cost[here[k : k + 2048]] = self._probabilities(here[k : k + 2048], j, counts, suffix)
+        start = 0
+        for j in range(1, self.depth + 1):
+            mark = int.from_bytes(bytes([START]) * j, "big")
+            s = int(find(j, mark))
+            start = s if s < size and numbers[s] == j << 48 | mark else start
+        return following, cost, start
 
     @staticmethod
-    def _probabilities(s: int, j: int, counts: np.ndarray, seen: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-        out, left, excluded = np.zeros(256), 1.0, np.zeros(256, bool)
-        while True:
-            new = seen[s] & ~excluded
-            t, n = int(new.sum()), float(counts[s][new].sum())
-            if t:
-                out[new] = left * counts[s][new] / (n + t)
-                left *= t / (n + t)
-                excluded |= new
-            if not j:
-                break
-            s, j = suffix[s], j - 1
-        rest = 256 - int(excluded.sum())
-        out[~excluded] = left / max(1, rest)
-        return out
+    def _probabilities(at: np.ndarray, j: int, counts: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+        """log10 of the blended probabilities of some states of one length."""
+        out, left, excluded = np.zeros((len(at), 256)), np.ones((len(at), 1)), np.zeros((len(at), 256), bool)
+        for _ in range(j + 1):
+            c = np.where(excluded, 0, counts[at]).astype(float)
+            new = c > 0
+            t, n = new.sum(axis=1, keepdims=True), c.sum(axis=1, keepdims=True)
+            some = np.maximum(n + t, 1)
+            out += left * c / some
+            left = np.where(t > 0, left * t / some, left)
+            excluded |= new
+            at = suffix[at]
+        rest = np.maximum(256 - excluded.sum(axis=1, keepdims=True), 1)
+        return np.log10(np.maximum(np.where(excluded, out, left / rest), 1e-300))
 
     def scores(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """log10 probability of each row."""
+        following, cost, start = self.tables()
         n = np.diff(offsets) + 1  # with the end mark
         ends = np.cumsum(n) - 1
         text = np.full(len(raw) + len(n), END, np.uint8)
@@ -141,18 +158,18 @@ class Model:
         length = np.minimum(SEGMENT, ends[row] + 1 - first)
         order = np.argsort(-length, kind="stable")
         row, nth, first, length = row[order], nth[order], first[order], length[order]
-        state = np.where(nth == 0, self.start, 0).astype(np.int64)
+        state = np.where(nth == 0, start, 0).astype(np.int64)
         later = np.flatnonzero(nth)
         for k in range(self.depth, 0, -1):
-            state[later] = self.next[state[later], text[first[later] - k]]
+            state[later] = following[state[later], text[first[later] - k]]
         total = np.zeros(len(row))
-        next_state, cost = self.next.ravel(), self.cost.ravel()
+        following, cost = following.ravel(), cost.ravel()
         alive = np.searchsorted(-length, -np.arange(SEGMENT), "left")  # segments longer than k
         for k in range(int(length.max()) if len(length) else 0):
             m = alive[k]
             at = state[:m] * 256 + text[first[:m] + k]
             total[:m] += cost[at]
-            state[:m] = next_state[at]
+            state[:m] = following[at]
         return np.bincount(row, total, len(n))
 
 
