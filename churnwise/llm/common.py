@@ -43,10 +43,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column and the n + 1 offsets of its rows; null counts as empty."""
+    """Bytes of a string (UTF-8) or binary column and the n + 1 offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = column.cast(pa.large_binary() if binary else pa.large_string()).fill_null(b"" if binary else "")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
@@ -66,7 +67,7 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
 # --- words -----------------------------------------------------------------------------------------------
 
 _RNG = np.random.default_rng(20240229)
-_BASE = np.uint64(_RNG.integers(1, 2**63, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+BASE = np.uint64(_RNG.integers(1, 2**63, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
 CODES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS = np.ones(1, np.uint64)
 #: Bytes that separate words of the two word patterns in use.
@@ -81,7 +82,7 @@ LOWER[0x41:0x5B] += 32
 def powers(n: int) -> np.ndarray:
     global _POWERS
     if len(_POWERS) < n:
-        step = np.full(max(n, 4096), _BASE)
+        step = np.full(max(n, 4096), BASE)
         step[0] = 1
         _POWERS = np.cumprod(step)
     return _POWERS
@@ -120,7 +121,7 @@ def shingle_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     total = np.zeros(len(hashes) - n + 1, np.uint64)
     for k in range(n):
-        total = total * _BASE + hashes[k : len(hashes) - n + 1 + k]
+        total = total * BASE + hashes[k : len(hashes) - n + 1 + k]
     return mixed(total)
 
 

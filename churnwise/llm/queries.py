@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import ann, decontaminate, minhash, mix, pii, ppm, tokens, toxicity, urls
+from churnwise.llm import ann, decontaminate, minhash, mix, pii, ppm, suffixes, tokens, toxicity, urls
 from churnwise.llm.tables import table
 
 
@@ -45,6 +45,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash_groups": op1_minhash_groups,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -55,6 +59,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_language_model": op8_language_model,
     "op9_decontaminate": op9_decontaminate,
+    "op10_repeated_substrings": op10_repeated_substrings,
 }
 
 OP1_SQL = r"""
