@@ -65,12 +65,12 @@ def runs(raw: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> np.ndarray
     return out
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(depth: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for batch in batches:
         raw, offsets = text_bytes(batch.column("text"))
         for a, b in chunks(offsets):
-            keys, n = np.unique(runs(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), return_counts=True)
+            keys, n = np.unique(runs(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], depth), return_counts=True)
             both, at = np.unique(np.concatenate([known, keys]), return_inverse=True)
             counts = np.bincount(at, np.concatenate([counts, n]), len(both)).astype(np.int64)
             known = both
@@ -176,7 +176,7 @@ class Model:
 def train(docs: DataFrame, depth: int = ORDER, states: int = STATES) -> Model:
     """A model of the texts of `docs`."""
     text = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    counted = cut(text.mapInArrow(_count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n")), "ppm-runs")
+    counted = cut(text.mapInArrow(lambda b: _count(depth, b), "run long, n long").groupBy("run").agg(F.sum("n").alias("n")), "ppm-runs")
     levels = []
     rows = counted.select(F.shiftright("run", 8).alias("context"), F.col("run").bitwiseAND(F.lit(255)).cast("int").alias("symbol"), "n")
     for j in range(depth, -1, -1):
