@@ -35,7 +35,7 @@ TREES, LEAF, SAMPLE = 8, 128, 20_000
 #: Rows that a query's leaves hold together, over all trees, as a share of the table.
 EFFORT = 1.2
 #: Classes and queries that meet in one cell.
-CELL_ROWS, CELL_QUERIES = 16_384, 1_024
+CELL_ROWS, CELL_QUERIES = 65_536, 1_024
 _AT_ONCE = 128
 
 
