@@ -37,7 +37,7 @@ from churnwise.llm.common import chunks, cut, signed, text_bytes, words
 ORDER, STATES = 5, 1 << 16
 START, END = 0xFE, 0xFF
 #: Bytes of text in one block of the base counts, and in one segment of a long text.
-BLOCK_BYTES, SEGMENT = 8_000_000, 512
+BLOCK_BYTES, SEGMENT = 2_000_000, 512
 
 
 def held_out(doc_id):
@@ -74,7 +74,7 @@ def _count(depth: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             both, at = np.unique(np.concatenate([known, keys]), return_inverse=True)
             counts = np.bincount(at, np.concatenate([counts, n]), len(both)).astype(np.int64)
             known = both
-            if len(known) > 4_000_000:  # a task's memory is bounded; the sums are made by Spark
+            if len(known) > 1_500_000:  # a task's memory is bounded; the sums are made by Spark
                 yield pa.RecordBatch.from_arrays([pa.array(signed(known)), pa.array(counts)], ["run", "n"])
                 known, counts = known[:0], counts[:0]
     for a in range(0, len(known), 100_000):
@@ -119,8 +119,8 @@ class Model:
                 following[here] = following[suffix[here]]
             children = np.flatnonzero(level == j + 1)
             following[prefix[children], bytes_of[children] & 255] = children
-            for k in range(0, len(here), 2048):
-                cost[here[k : k + 2048]] = self._probabilities(here[k : k + 2048], j, counts, suffix)
+            for k in range(0, len(here), 1024):  # a bounded number of states at a time
+                cost[here[k : k + 1024]] = self._probabilities(here[k : k + 1024], j, counts, suffix)
         start = 0
         for j in range(1, self.depth + 1):
             mark = int.from_bytes(bytes([START]) * j, "big")
