@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from churnwise.llm.common import LOWER, chunks, cut, text_bytes, words
 
 #: Rows of each label that training may use, and the longest of their texts in characters.
-SAMPLE, SAMPLE_CHARS = 2000, 8000
+SAMPLE, SAMPLE_CHARS = 1500, 8000
 LENGTH, STRIDE = 32, 16
 HIDDEN, ATTEND, BYTES, CLASSES = 8, 8, 4, 32
 FEATURES = 5
@@ -39,7 +39,8 @@ PIECE = 4
 EPOCHS, ROUNDS, RATE = 4, 3, 0.01
 #: Words and pieces must occur in so many documents of the sample to have log-odds.
 LEAST = 2
-_WINDOWS = 4096
+#: Windows scored, and documents counted, at once.
+_WINDOWS, _DOCS = 2048, 100
 
 Params = dict[str, np.ndarray]
 
@@ -93,7 +94,7 @@ class Texts:
         at = start[:, None] + np.arange(LENGTH)
         inside = at < self.rows[of + 1][:, None]
         word = self.word if len(self.word) else np.zeros(1, np.int64)
-        return of, np.where(inside, word[np.minimum(at, len(word) - 1)], -1)
+        return of, np.where(inside, word[np.minimum(at, len(word) - 1)], -1).astype(np.int32)
 
 
 class Lexicon:
@@ -102,21 +103,26 @@ class Lexicon:
     def __init__(self, texts: Texts, labels: np.ndarray, docs: np.ndarray):
         of = np.repeat(np.arange(len(labels)), np.diff(texts.rows))
         use = docs[of]
-        pairs = np.unique(np.stack([of[use], texts.word[use]]), axis=1)
+        pairs = np.divmod(np.unique(of[use] * max(1, len(texts.known)) + texts.word[use]), max(1, len(texts.known)))
         y = labels[pairs[0]]
         totals = [max(1, int((docs & (labels == k)).sum())) for k in (0, 1)]
         df = [np.bincount(pairs[1][y == k], minlength=len(texts.known)) for k in (0, 1)]
         self.words, self.word_odds = self._table(texts.known, df, totals)
         word, piece = texts.pieces()
-        order = np.argsort(word, kind="stable")
-        word, piece = word[order], piece[order]
         first = np.searchsorted(word, np.arange(len(texts.known) + 1))
-        n = np.diff(first)[pairs[1]]
-        at = np.repeat(first[pairs[1]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        both = np.unique(np.repeat(pairs[0].astype(np.uint64), n) << np.uint64(32) | piece[at].astype(np.uint64))
-        keys, index = np.unique(both & np.uint64(0xFFFFFFFF), return_inverse=True)
-        y = labels[(both >> np.uint64(32)).astype(np.int64)]
-        self.pieces, self.piece_odds = self._table(keys, [np.bincount(index[y == k], minlength=len(keys)) for k in (0, 1)], totals)
+        found: list[np.ndarray] = [np.zeros((3, 0), np.int64)]
+        for doc in range(0, len(labels), _DOCS):  # a piece counts once a document; few documents at a time
+            here = slice(*np.searchsorted(pairs[0], (doc, doc + _DOCS)))
+            of, words_of = pairs[0][here], pairs[1][here]
+            n = np.diff(first)[words_of]
+            at = np.repeat(first[words_of] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.unique(np.repeat(of, n) << 32 | piece[at])
+            keys, index = np.unique(both & 0xFFFFFFFF, return_inverse=True)
+            toxic = labels[both >> 32]
+            found.append(np.stack([keys, np.bincount(index, 1 - toxic, len(keys)).astype(np.int64), np.bincount(index, toxic, len(keys)).astype(np.int64)]))
+        every = np.concatenate(found, axis=1)
+        keys, index = np.unique(every[0], return_inverse=True)
+        self.pieces, self.piece_odds = self._table(keys.astype(np.uint64), [np.bincount(index, every[1 + k], len(keys)) for k in (0, 1)], totals)
 
     @staticmethod
     def _table(keys: np.ndarray, df: list[np.ndarray], totals: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -249,9 +255,10 @@ class Model:
         of, at = t.windows()
         # all inputs side by side: a word has a number for each half
         features, classes = np.concatenate(by_half), np.concatenate([classes, classes])
-        at = np.where(at >= 0, at + half[of][:, None] * len(t.known), -1)
-        places = np.where(at >= 0, features[at, 0] + features[at, 1], -9)
-        logit = np.sort(places, axis=1)[:, -3:].sum(axis=1)  # the first choice of windows: by their inputs
+        at[at >= 0] += (half[of][:, None] * np.int32(len(t.known)) + np.zeros((1, LENGTH), np.int32))[at >= 0]
+        odds = np.append(features[:, 0] + features[:, 1], np.float32(-9))  # number -1: no word
+        # the first choice of windows: by their inputs
+        logit = np.concatenate([np.sort(odds[at[k : k + _WINDOWS]], axis=1)[:, -3:].sum(axis=1) for k in range(0, len(at), _WINDOWS)])
         p, m, v, step = fresh(rng), {}, {}, 0
         for _ in range(ROUNDS):
             order = np.lexsort((rng.random(len(of)), -logit, of))
