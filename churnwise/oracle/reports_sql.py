@@ -1,263 +1,187 @@
-"""Oracles for the sales-driver and involuntary-funnel reports, in DuckDB
-SQL over the converged_table CTE: the literal reading (daily rows joined to
-the converged table, window picks, fan-out joins, COUNT(DISTINCT ...))."""
-
-from churnwise.functions import labels as L
-from churnwise.oracle.mobile_sql import likes
-from churnwise.params import RunParams
-from churnwise.plans.contracts import CONVERGED_TO_REPORTS
-from churnwise.plans.involuntary import DIMS, STAGES
+"""Oracles for the sales-driver and involuntary-funnel reports, in DuckDB SQL over the converged_table CTE.
 
+Facts are gathered per account (its first bill, what it paid by when, its first ticket, the overdue
+stages it passed), each by its own rule; a report then counts the accounts for which a fact holds.
+"""
 
-def _d(x):
-    return f"DATE '{x.isoformat()}'"
-
+from churnwise.oracle.rules import any_like, day, month_of
+from churnwise.params import RunParams
 
-def _q(xs):
-    return ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
+# Report name of a converged column.
+RENAMED = """
+fmc_e_fla_tech fmc_e_fla_final_tech
+fmc_b_fla_tech fmc_b_fla_final_tech
+fmc_e_fla_fmcsegment fmc_e_fla_fmc_typesegment
+fmc_b_fla_fmcsegment fmc_b_fla_fmc_typesegment
+fmc_e_fla_fmc fmc_e_fla_fmc_type
+fmc_b_fla_fmc fmc_b_fla_fmc_type
+fmc_e_fla_tenure fmc_e_fla_final_tenure
+fix_e_att_active fix_e_fla_active
+fmc_s_fla_churnflag fmc_s_fla_final_churn
+fmc_s_fla_churntype fmc_s_fla_final_churn_type
+fix_s_fla_churntype fix_s_fla_churn_type
+fix_s_fla_mainmovement fix_s_fla_main_movement
+fix_e_fla_bb fix_e_dim_bb_rgu
+fix_e_fla_tv fix_e_dim_tv_rgu
+fix_e_fla_vo fix_e_dim_vo_rgu
+fix_b_fla_bb fix_b_fla_bb_rgu
+fix_b_fla_tv fix_b_fla_tv_rgu
+fix_b_fla_vo fix_b_fla_vo_rgu
+"""
+
+# Purposes of technical calls, those that are none of them, and purposes that are dropped.
+TECH = [
+    "%ppv%problem%", "%hsd%problem%", "%cable%problem%", "%tv%problem%", "%video%problem%", "%tel%problem%", "%phone%problem%",
+    "%int%problem%", "%line%problem%", "%hsd%issue%", "%ppv%issue%", "%video%issue%", "%tel%issue%", "%phone%issue%", "%int%issue%",
+    "%line%issue%", "%cable%issue%", "%tv%issue%", "%bloq%", "%slow%", "%slow%service%", "%service%tech%", "%tech%service%",
+    "%no%service%", "%hsd%no%", "%hsd%slow%", "%hsd%intermit%", "%no%brows%", "%phone%cant%", "%phone%no%", "%no%connect%",
+    "%no%conect%", "%no%start%", "%equip%", "%intermit%", "%no%dat%", "%dat%serv%", "%int%data%", "%tech%", "%supp%", "%outage%",
+    "%mass%", "%discon%warn%",
+]
+NOT_TECH = ["%work%order%status%", "%default%call%wrapup%", "%bound%call%", "%cust%first%", "%audit%", "%eq%code%", "%downg%", "%upg%", "%vol%discon%", "%discon%serv%", "%serv%call%"]
+DROPPED = ["Work Order Status", "Default Call Wrapup", "G:outbound Calls", "Eq: Cust. First", "Eq: Audit", "Eq: Code Error", "Downgrade Service", "Disconnect Service", "Rt: Dowgrde Service", "Cust Service Calls"]
+NOT_IN_BASE = ["Downsell-Fixed Customer Gap", "Fixed Base Exception", "Churn Exception"]
+
+# Dimensions of the funnel.
+FUNNEL_DIMS = """
+fmc_s_dim_month fmc_b_fla_fmcsegment fmc_b_fla_fmc fmc_b_fla_tech fix_b_fla_tenure fmc_e_fla_fmcsegment fmc_e_fla_fmc
+fmc_e_fla_tech fix_e_fla_tenure fix_s_fla_churnflag fix_s_fla_churntype fix_s_fla_mainmovement fmc_s_fla_waterfall
+"""
+# Stages of the funnel, the side whose products count, and the report's name for it.
+STAGES = [("overdueday1", "e", "day1", "overdue1day"), ("softdx", "e", "softdx", "softdx"), ("backlog", "b", "backlog", "backlog"), ("harddx", "b", "harddx", "harddx")]
+PRODUCTS = ("bb", "tv", "vo")
 
 
 def report_base_cte() -> str:
-    extra = ", ".join(f"{k} AS {v}" for k, v in CONVERGED_TO_REPORTS.items())
-    return f"t3 AS (SELECT *, {extra}, fmc_s_dim_month AS dt FROM converged_table)"
+    more = ", ".join(" AS ".join(reversed(line.split())) for line in RENAMED.strip().splitlines())
+    return f"t3 AS (SELECT *, {more}, fmc_s_dim_month AS dt FROM converged_table)"
 
 
 def sales_ctes(p: RunParams) -> str:
-    M, M2, M3 = _d(p.month), _d(p.shift(2)), _d(p.shift(-3))
-    tech = (likes("a.interaction_purpose_descrip", L.TECH_CALL_INCLUDE) + " AND "
-            + likes("a.interaction_purpose_descrip", L.TECH_CALL_EXCLUDE, " AND ", neg=True))
-    npn = ",\n".join(
-        f"CASE WHEN total_payments_{n}_days IS NULL THEN fc.acct "
-        f"WHEN total_payments_{n}_days < max_mrc_first_bill THEN fc.acct END AS npn_{n}_flag"
-        for n in p.payment_windows)
-    totals = ",\n".join(
-        f"round(sum(CASE WHEN date_diff('day', fc.first_bill_created, p.dt) < {n} THEN p.payment_amt_usd END), 2)"
-        f" AS total_payments_{n}_days" for n in p.payment_windows)
+    M, ahead, back, end = (day(d) for d in (p.month, p.shift(2), p.shift(-3), p.next_month))
+    unpaid = ", ".join(f"CASE WHEN coalesce(total_payments_{n}_days < max_mrc_first_bill, total_payments_{n}_days IS NULL) THEN account END AS npn_{n}_flag" for n in p.payment_windows)
+    paid = ", ".join(f"round(sum(amount) FILTER (WHERE after < {n}), 2) AS total_payments_{n}_days" for n in p.payment_windows)
+    never = ", ".join(f"count(DISTINCT account) FILTER (WHERE account IN (SELECT npn_{n}_flag FROM sl_paid)) AS opd_s_mes_never_paid_{n}_days" for n in p.payment_windows)
     return f"""
 {report_base_cte()},
-sa_fmc AS (SELECT * FROM t3 WHERE fmc_s_dim_month = {M} AND fmc_s_dim_month = dt),
-sa_rep AS (
-    SELECT fmc_s_dim_month, fix_s_att_account,
-           row_number() OVER (PARTITION BY fmc_s_dim_month, fix_s_att_account) AS records_per_user
-    FROM sa_fmc WHERE fix_s_att_account IS NOT NULL
-),
-sa_fmc_adj AS (
-    SELECT f.* FROM sa_fmc f LEFT JOIN sa_rep r
-      ON f.fix_s_att_account = r.fix_s_att_account AND f.fmc_s_dim_month = r.fmc_s_dim_month
-    WHERE r.records_per_user = 1
-),
-sa_nc_pre AS (
-    SELECT CAST(first_value(connect_dte_sbb) OVER (PARTITION BY sub_acct_no_sbb ORDER BY dt DESC) AS DATE) AS maxstart,
-           sub_acct_no_sbb AS acct, bill_from_dte_sbb, video_chrg + hsd_chrg + voice_chrg AS mrc, delinquency_days, dt
-    FROM fx_snapshot
-    WHERE play_type <> '0P' AND cust_typ_sbb = 'RES'
-      AND CAST(date_trunc('month', CAST(connect_dte_sbb AS DATE)) AS DATE) BETWEEN {M3} AND {M}
-),
-sa_nc AS (
-    SELECT CAST(date_trunc('month', maxstart) AS DATE) AS install_month, maxstart, acct AS new_sales_flag, acct, mrc,
-           delinquency_days, bill_from_dte_sbb, dt
-    FROM sa_nc_pre WHERE CAST(date_trunc('month', maxstart) AS DATE) = {M}
-),
-sa_bills AS (SELECT acct, first_value(bill_from_dte_sbb) OVER (PARTITION BY acct ORDER BY dt) AS first_bill FROM sa_nc),
-sa_mrc AS (
-    SELECT nc.acct, min(first_bill) AS first_bill, max(mrc) AS max_tot_mrc
-    FROM sa_nc nc JOIN sa_bills bi
-      ON nc.acct = bi.acct AND nc.dt BETWEEN bi.first_bill AND CAST(bi.first_bill + INTERVAL 3 MONTH AS DATE)
-    GROUP BY nc.acct
-),
-sa_fc AS (
-    SELECT nc.acct, min(maxstart) AS first_installation_date, min(m.first_bill) AS first_bill_created,
-           max(delinquency_days) AS max_delinquency_days_first_bill, max(m.max_tot_mrc) AS max_mrc_first_bill,
-           count(DISTINCT m.max_tot_mrc) AS diff_mrc
-    FROM sa_nc nc JOIN sa_mrc m ON nc.acct = m.acct
-    WHERE nc.bill_from_dte_sbb = m.first_bill
-    GROUP BY nc.acct
-),
-sa_pay AS (
-    SELECT p.account_id AS acct,
-           min(p.dt) AS first_payment_date,
-           first(p.payment_amt_usd ORDER BY p.dt, p.payment_amt_usd) AS first_payment_amt,
-           min(p.dt) FILTER (WHERE p.payment_amt_usd >= fc.max_mrc_first_bill) AS first_payment_above_date,
-           first(p.payment_amt_usd ORDER BY p.dt, p.payment_amt_usd)
-               FILTER (WHERE p.payment_amt_usd >= fc.max_mrc_first_bill) AS first_payment_above,
-           max(p.dt) AS last_pay_date,
-           {totals}
-    FROM fx_payments p JOIN sa_fc fc ON fc.acct = p.account_id
-    WHERE p.dt BETWEEN fc.first_bill_created - {p.payment_lookback_days} AND fc.first_bill_created + 85
-    GROUP BY p.account_id
-),
-sa_npn AS (
-    SELECT fc.*, p.* EXCLUDE (acct),
-           CAST(date_diff('day', fc.first_bill_created, p.first_payment_above_date) AS INTEGER) AS days_between_payment,
-           CAST(CASE WHEN p.first_payment_above_date IS NULL THEN 86
-                     ELSE date_diff('day', fc.first_bill_created, p.first_payment_above_date) END AS INTEGER)
-               AS fixed_days_unpaid_bill,
-           {npn}
-    FROM sa_fc fc LEFT JOIN sa_pay p ON p.acct = fc.acct
-),
-sa_int AS (
-    SELECT *, CAST(interaction_start_time AS DATE) AS interaction_date FROM fx_interactions
-    WHERE CAST(interaction_start_time AS VARCHAR) <> ' ' AND interaction_start_time IS NOT NULL
-      AND CAST(date_trunc('month', CAST(interaction_start_time AS DATE)) AS DATE) BETWEEN {M} AND {M2}
-      AND account_type = 'RES'
-),
-sa_pick AS (
-    SELECT min(interaction_id) OVER (PARTITION BY account_id, interaction_date, interaction_channel,
-                                                  interaction_agent_id, interaction_purpose_descrip) AS id2
-    FROM sa_int
-),
-sa_int2 AS (SELECT b.* FROM sa_pick a LEFT JOIN sa_int b ON a.id2 = b.interaction_id),
-sa_tr AS (
-    SELECT create_dte_ojb, job_no_ojb, sub_acct_no_sbb FROM fx_truckrolls
-    WHERE CAST(date_trunc('month', CAST(create_dte_ojb AS DATE)) AS DATE) BETWEEN {M} AND {M2}
-),
-sa_full AS (
-    SELECT a.*, b.*,
-           CASE WHEN b.create_dte_ojb IS NOT NULL THEN 'truckroll' WHEN {tech} THEN 'tech_call' END AS interaction_type
-    FROM sa_int2 a FULL OUTER JOIN sa_tr b
-      ON a.interaction_date = CAST(b.create_dte_ojb AS DATE) AND a.account_id = b.sub_acct_no_sbb
-    WHERE a.interaction_purpose_descrip NOT IN ({_q(L.DROPPED_PURPOSES)})
-),
-sa_rel AS (
-    SELECT customer_id, interaction_id, job_no_ojb, interaction_type, min(interaction_date) AS min_interaction_date
-    FROM sa_full GROUP BY customer_id, interaction_id, job_no_ojb, interaction_type
-),
-sa_early AS (
-    SELECT a.acct AS fix_s_att_account, a.install_month, a.maxstart AS fix_b_att_maxstart, b.min_interaction_date,
-           CASE WHEN datesub('week', a.maxstart, b.min_interaction_date) <= {p.early_ticket_weeks} THEN a.acct END
-               AS early_ticket_flag
-    FROM sa_nc a LEFT JOIN sa_rel b ON a.acct = b.customer_id
-    WHERE b.interaction_type IN ('tech_call', 'truckroll')
-),
-sa_inst AS (
-    SELECT * FROM fx_orderlines
-    WHERE org_id = '{p.install_org}' AND org_cntry = '{p.install_country}' AND order_status = 'COMPLETE'
-      AND command_id = 'CONNECT'
-),
-sa_slow AS (
-    SELECT DISTINCT a.acct AS fix_s_att_account, a.maxstart AS fix_b_att_maxstart, a.new_sales_flag, a.install_month,
-           CAST(b.order_start_date AS DATE) AS order_start_date, CAST(b.completed_date AS DATE) AS completed_date,
-           CASE WHEN date_diff('day', CAST(b.order_start_date AS DATE), CAST(b.completed_date AS DATE)) > {p.slow_install_days}
-                THEN a.acct END AS outlier_install_flag
-    FROM sa_nc a LEFT JOIN sa_inst b ON a.acct = b.account_id
-),
-sa_flags AS (
-    SELECT f.*, i.new_sales_flag, n.npn_30_flag, n.npn_60_flag, n.npn_85_flag, e.early_ticket_flag
-    FROM sa_fmc_adj f
-    LEFT JOIN sa_nc i ON f.fix_s_att_account = i.acct
-    LEFT JOIN sa_npn n ON f.fix_s_att_account = n.acct
-    LEFT JOIN sa_early e ON f.fix_s_att_account = e.fix_s_att_account
-    WHERE f.fmc_s_dim_month = {M}
-),
+sl_days AS (
+    SELECT sub_acct_no_sbb AS account, dt, CAST(connect_dte_sbb AS DATE) AS connected, bill_from_dte_sbb AS billed,
+           video_chrg + hsd_chrg + voice_chrg AS mrc, delinquency_days AS overdue
+    FROM fx_snapshot WHERE play_type <> '0P' AND cust_typ_sbb = 'RES' AND CAST(connect_dte_sbb AS DATE) >= {back} AND CAST(connect_dte_sbb AS DATE) < {end}),
+-- new: on the latest such day, the account was connected in the month
+sl_new AS (
+    SELECT account, arg_max_null(connected, dt) AS start, arg_min_null(billed, dt) AS first_bill FROM sl_days
+    GROUP BY account HAVING start >= {M} AND start < {end}),
+sl_cycle AS (
+    SELECT account, any_value(start) AS first_installation_date, any_value(first_bill) AS first_bill_created,
+           max(overdue) FILTER (WHERE billed = first_bill) AS max_delinquency_days_first_bill,
+           max(mrc) FILTER (WHERE in_cycle) AS max_mrc_first_bill, (max(mrc) FILTER (WHERE in_cycle) IS NOT NULL)::BIGINT AS diff_mrc
+    FROM (SELECT *, dt >= first_bill AND dt <= first_bill + INTERVAL 3 MONTH AS in_cycle FROM sl_days JOIN sl_new USING (account))
+    GROUP BY account HAVING bool_or(in_cycle) AND bool_or(billed = first_bill)),
+sl_payments AS (
+    SELECT account, CAST(x.dt AS DATE) AS paid_on, x.payment_amt_usd AS amount, CAST(x.dt AS DATE) - first_bill_created AS after,
+           x.payment_amt_usd >= max_mrc_first_bill AS covers
+    FROM sl_cycle JOIN fx_payments x ON x.account_id = account
+    WHERE after BETWEEN -{p.payment_lookback_days} AND {max(p.payment_windows)}),
+sl_paid AS (
+    SELECT *, after_above::INT AS days_between_payment, coalesce(after_above, {max(p.payment_windows) + 1})::INT AS fixed_days_unpaid_bill, {unpaid}
+    FROM sl_cycle LEFT JOIN (
+        SELECT account, min(paid_on) AS first_payment_date, arg_min(amount, (paid_on, amount)) AS first_payment_amt,
+               min(paid_on) FILTER (WHERE covers) AS first_payment_above_date, arg_min(amount, (paid_on, amount)) FILTER (WHERE covers) AS first_payment_above,
+               min(after) FILTER (WHERE covers) AS after_above, max(paid_on) AS last_pay_date, {paid}
+        FROM sl_payments GROUP BY account) USING (account)),
+-- one interaction of those that agree in all but their number: the one of the lowest number
+sl_contacts AS (
+    SELECT * FROM (
+        SELECT *, CAST(interaction_start_time AS DATE) AS interaction_date FROM fx_interactions
+        WHERE account_type = 'RES' AND {month_of('interaction_start_time')} BETWEEN {M} AND {ahead}) a
+    WHERE interaction_purpose_descrip NOT IN (SELECT unnest({DROPPED!r}))
+      AND interaction_id = (SELECT min(b.interaction_id) FROM fx_interactions b
+        WHERE b.account_type = 'RES' AND b.account_id IS NOT DISTINCT FROM a.account_id AND CAST(b.interaction_start_time AS DATE) = a.interaction_date
+          AND b.interaction_channel IS NOT DISTINCT FROM a.interaction_channel AND b.interaction_agent_id IS NOT DISTINCT FROM a.interaction_agent_id
+          AND b.interaction_purpose_descrip IS NOT DISTINCT FROM a.interaction_purpose_descrip)),
+sl_typed AS (
+    SELECT *, CASE WHEN EXISTS (SELECT 1 FROM fx_truckrolls t WHERE t.sub_acct_no_sbb = c.account_id AND CAST(t.create_dte_ojb AS DATE) = c.interaction_date) THEN 'truckroll'
+                   WHEN {any_like('interaction_purpose_descrip', TECH)} AND NOT {any_like('interaction_purpose_descrip', NOT_TECH)} THEN 'tech_call' END AS interaction_type
+    FROM sl_contacts c),
+sl_tickets AS (
+    SELECT n.account, start, min(interaction_date) AS first_ticket,
+           CASE WHEN datesub('week', start, min(interaction_date)) <= {p.early_ticket_weeks} THEN n.account END AS early
+    FROM sl_new n JOIN sl_typed t ON t.customer_id = n.account WHERE interaction_type IS NOT NULL GROUP BY n.account, start),
+sl_installs AS (
+    SELECT DISTINCT n.account AS fix_s_att_account, start AS fix_b_att_maxstart, n.account AS new_sales_flag, {month_of('start')} AS install_month,
+           CAST(x.order_start_date AS DATE) AS order_start_date, CAST(x.completed_date AS DATE) AS completed_date,
+           CASE WHEN CAST(x.completed_date AS DATE) - CAST(x.order_start_date AS DATE) > {p.slow_install_days} THEN n.account END AS outlier_install_flag
+    FROM sl_new n LEFT JOIN (FROM fx_orderlines WHERE (org_id, org_cntry, order_status, command_id) = ('{p.install_org}', '{p.install_country}', 'COMPLETE', 'CONNECT')) x
+      ON x.account_id = n.account),
 sales_drivers AS (
-    SELECT fmc_s_dim_month AS opd_s_dim_month, fmc_e_fla_tech AS opd_e_fla_final_tech,
-           fmc_e_fla_fmcsegment AS opd_e_fla_opd_segment, fmc_e_fla_fmc AS opd_e_fla_opd_type,
-           fmc_e_fla_tenure AS opd_e_fla_final_tenure,
-           count(DISTINCT CASE WHEN fix_e_att_active = 1 THEN fix_s_att_account END) AS opd_s_mes_active_base,
-           count(DISTINCT fix_s_att_account) AS opd_s_mes_soft_dx,
-           count(DISTINCT new_sales_flag) AS opd_s_mes_sales,
-           count(DISTINCT npn_30_flag) AS opd_s_mes_never_paid_30_days,
-           count(DISTINCT npn_60_flag) AS opd_s_mes_never_paid_60_days,
-           count(DISTINCT npn_85_flag) AS opd_s_mes_never_paid_85_days,
-           count(DISTINCT early_ticket_flag) AS opd_s_mes_uni_early_tickets
-    FROM sa_flags
-    WHERE fmc_s_fla_churnflag <> 'Fixed Churner'
-      AND fmc_s_fla_waterfall NOT IN ({_q(L.SALES_EXCLUDED_WATERFALL)})
-      AND fix_s_fla_mainmovement <> '6.Null last day'
-    GROUP BY 1, 2, 3, 4, 5
-)"""
+    SELECT fmc_s_dim_month AS opd_s_dim_month, fmc_e_fla_tech AS opd_e_fla_final_tech, fmc_e_fla_fmcsegment AS opd_e_fla_opd_segment,
+           fmc_e_fla_fmc AS opd_e_fla_opd_type, fmc_e_fla_tenure AS opd_e_fla_final_tenure,
+           count(DISTINCT account) FILTER (WHERE fix_e_att_active = 1) AS opd_s_mes_active_base, count(DISTINCT account) AS opd_s_mes_soft_dx,
+           count(DISTINCT account) FILTER (WHERE account IN (SELECT account FROM sl_new)) AS opd_s_mes_sales, {never},
+           count(DISTINCT account) FILTER (WHERE account IN (SELECT early FROM sl_tickets)) AS opd_s_mes_uni_early_tickets
+    FROM (SELECT *, fix_s_att_account AS account FROM t3)
+    WHERE fmc_s_dim_month = {M} AND account IS NOT NULL AND fmc_s_fla_churnflag <> 'Fixed Churner' AND fix_s_fla_mainmovement <> '6.Null last day'
+      AND fmc_s_fla_waterfall NOT IN (SELECT unnest({NOT_IN_BASE!r}))
+    GROUP BY 1, 2, 3, 4, 5)"""
 
 
 NEVER_PAID = """
-SELECT acct AS fix_s_att_account, first_installation_date, first_bill_created, max_delinquency_days_first_bill,
-       max_mrc_first_bill, diff_mrc, first_payment_date, first_payment_amt, first_payment_above_date,
-       first_payment_above, last_pay_date, total_payments_30_days, total_payments_60_days, total_payments_85_days,
-       days_between_payment, fixed_days_unpaid_bill, npn_30_flag, npn_60_flag, npn_85_flag
-FROM sa_npn"""
+SELECT account AS fix_s_att_account, * EXCLUDE (account, after_above) FROM sl_paid"""
 
-# the ordered arrays of the source, unnested back into rows
 FIRST_CYCLE_MRC_VALUES = """
-SELECT acct AS fix_s_att_account, unnest(mrc_values) AS mrc
-FROM (SELECT nc.acct, list(DISTINCT mrc ORDER BY mrc DESC) AS mrc_values
-      FROM sa_nc nc JOIN sa_bills bi
-        ON nc.acct = bi.acct AND nc.dt BETWEEN bi.first_bill AND CAST(bi.first_bill + INTERVAL 3 MONTH AS DATE)
-      GROUP BY nc.acct) a"""
+SELECT DISTINCT account AS fix_s_att_account, mrc FROM sl_days JOIN sl_new USING (account)
+WHERE dt >= first_bill AND dt <= first_bill + INTERVAL 3 MONTH"""
 
 FIRST_CYCLE_PAYMENT_ROWS = """
-SELECT acct AS fix_s_att_account, unnest(pay_dates) AS pay_dt, unnest(amounts) AS amt,
-       CAST(unnest(offsets) AS INTEGER) AS days_from_bill
-FROM (SELECT p.account_id AS acct,
-             list(p.dt ORDER BY p.dt, p.payment_amt_usd) AS pay_dates,
-             list(p.payment_amt_usd ORDER BY p.dt, p.payment_amt_usd) AS amounts,
-             list(date_diff('day', fc.first_bill_created, p.dt) ORDER BY p.dt, p.payment_amt_usd) AS offsets
-      FROM fx_payments p JOIN sa_fc fc ON fc.acct = p.account_id
-      WHERE p.dt BETWEEN fc.first_bill_created - 50 AND fc.first_bill_created + 85
-      GROUP BY p.account_id) a"""
+SELECT account AS fix_s_att_account, paid_on AS pay_dt, amount AS amt, after::INT AS days_from_bill FROM sl_payments"""
+
+EARLY_TICKETS = f"""
+SELECT account AS fix_s_att_account, {month_of('start')} AS install_month, start AS fix_b_att_maxstart, first_ticket AS first_ticket_date,
+       early AS early_ticket_flag FROM sl_tickets"""
+
+NEW_CUSTOMERS = f"""
+SELECT account AS fix_s_att_account, start AS fix_b_att_maxstart, first_bill AS first_bill_created, {month_of('start')} AS install_month FROM sl_new"""
+
+SLOW_INSTALLS = """
+SELECT * FROM sl_installs"""
 
-EARLY_TICKETS = """
-SELECT fix_s_att_account, install_month, fix_b_att_maxstart, min(min_interaction_date) AS first_ticket_date,
-       max(early_ticket_flag) AS early_ticket_flag
-FROM sa_early GROUP BY 1, 2, 3"""
+INTERACTION_TYPES = """
+SELECT interaction_date, account_id, interaction_channel, interaction_agent_id, interaction_purpose_descrip, customer_id, interaction_type FROM sl_typed"""
 
 
 def involuntary_ctes(p: RunParams) -> str:
-    M = _d(p.month)
-    lo, hi = p.snapshot_window
-    t = p.overdue_days
-    prod_cols = []
-    for prod in ("bb", "tv", "vo"):
-        for stage, side in (("overdueday1", "e"), ("softdx", "e"), ("backlog", "b"), ("harddx", "b")):
-            prod_cols.append(f"CASE WHEN {stage}flag IS NOT NULL AND fix_{side}_fla_{prod} IS NOT NULL "
-                             f"THEN {stage}flag END AS {stage}_{prod}")
-    counts = [("che_s_mes_active_base", "fix_s_att_account"), ("che_s_mes_total_bb", "fix_e_fla_bb"),
-              ("che_s_mes_total_tv", "fix_e_fla_tv"), ("che_s_mes_total_vo", "fix_e_fla_vo"),
-              ("che_s_mes_day1", "overdueday1flag"), ("che_s_mes_softdx", "softdxflag"),
-              ("che_s_mes_backlog", "backlogflag"), ("che_s_mes_harddx", "harddxflag")]
-    for prod in ("bb", "tv", "vo"):
-        counts += [(f"che_s_mes_overdue1day_{prod}", f"overdueday1_{prod}"), (f"che_s_mes_softdx_{prod}", f"softdx_{prod}"),
-                   (f"che_s_mes_backlog_{prod}", f"backlog_{prod}"), (f"che_s_mes_harddx_{prod}", f"harddx_{prod}")]
-    count_sql = ",\n           ".join(f"count(DISTINCT {c}) AS {n}" for n, c in counts)
-    dims = ", ".join(DIMS)
+    M, limit = day(p.month), p.overdue_days
+    first, last = (day(d) for d in p.snapshot_window)
+    counts = ["count(DISTINCT fix_s_att_account) AS che_s_mes_active_base"]
+    counts += [f"count(DISTINCT fix_e_fla_{x}) AS che_s_mes_total_{x}" for x in PRODUCTS]
+    counts += [f"count(DISTINCT fix_s_att_account) FILTER (WHERE {stage}) AS che_s_mes_{name}" for stage, _, name, _ in STAGES]
+    counts += [f"count(DISTINCT fix_s_att_account) FILTER (WHERE {stage} AND fix_{side}_fla_{x} IS NOT NULL) AS che_s_mes_{name}_{x}" for x in PRODUCTS for stage, side, _, name in STAGES]
+    dims = ", ".join(FUNNEL_DIMS.split())
     return f"""
 {report_base_cte()},
-iv_fmc AS (SELECT * FROM t3 WHERE fmc_s_dim_month = {M}),
-iv_dna AS (
-    SELECT CAST(date_trunc('month', dt) AS DATE) AS month, dt, sub_acct_no_sbb, delinquency_days AS duedays,
-           {p.funnel_day1} AS firstoverdueday
+-- the overdue days an account showed in the month, as a set
+iv_days AS (
+    SELECT sub_acct_no_sbb AS account, list(DISTINCT delinquency_days) FILTER (WHERE delinquency_days IS NOT NULL) AS days
     FROM fx_snapshot
-    WHERE play_type <> '0P' AND cust_typ_sbb = 'RES' AND dt BETWEEN {_d(lo)} AND {_d(hi)}
-),
-iv_fd AS (
-    SELECT a.*, b.sub_acct_no_sbb, b.duedays, b.firstoverdueday, b.dt AS dt_dna
-    FROM iv_fmc a LEFT JOIN iv_dna b ON a.fix_s_att_account = b.sub_acct_no_sbb AND a.fmc_s_dim_month = b.month
-),
-iv_flags AS (
-    SELECT *,
-        CASE WHEN duedays = firstoverdueday THEN sub_acct_no_sbb END AS overdueday1flag,
-        CASE WHEN duedays = {p.funnel_soft} THEN sub_acct_no_sbb END AS softdxflag,
-        CASE WHEN duedays BETWEEN ({t} - date_diff('day', CAST(date_trunc('month', dt_dna) AS DATE), {_d(p.month_end)}))
-                              AND {t} THEN sub_acct_no_sbb END AS backlogflag,
-        CASE WHEN duedays >= {t} AND fmc_s_fla_churntype IN ('Involuntary Churner') THEN sub_acct_no_sbb END AS harddxflag
-    FROM iv_fd
-),
-iv_all AS (SELECT *, {", ".join(prod_cols)} FROM iv_flags),
-involuntary_equation AS (
-    SELECT {dims},
-           {count_sql}
-    FROM iv_all GROUP BY {dims}
-)"""
+    WHERE play_type <> '0P' AND cust_typ_sbb = 'RES' AND dt BETWEEN {first} AND {last} AND {month_of('dt')} = {M} GROUP BY ALL),
+iv_rows AS (
+    SELECT t3.*, coalesce(list_contains(days, {p.funnel_day1}), false) AS overdueday1, coalesce(list_contains(days, {p.funnel_soft}), false) AS softdx,
+           -- reaches the limit by the end of the month
+           coalesce(len([d FOR d IN days IF d BETWEEN {limit - (p.month_end - p.month).days} AND {limit}]) > 0, false) AS backlog,
+           coalesce(list_max(days) >= {limit} AND fmc_s_fla_churntype = 'Involuntary Churner', false) AS harddx
+    FROM t3 LEFT JOIN iv_days ON account = fix_s_att_account WHERE fmc_s_dim_month = {M}),
+involuntary_equation AS (SELECT {dims}, {", ".join(counts)} FROM iv_rows GROUP BY {dims})"""
 
 
 def fast_check_sql() -> str:
-    cols = [f"count(DISTINCT {s}flag) AS {s}_clients" for s in STAGES]
-    for s in STAGES:
-        for prod in ("bb", "tv", "vo"):
-            cols.append(f"count(DISTINCT {s}_{prod}) AS {s}_{prod}")
-    cols.append("count(DISTINCT fix_s_att_account) AS che_s_mes_active_base")
-    return "SELECT " + ", ".join(cols) + " FROM iv_all"
+    held = "count(DISTINCT fix_s_att_account) FILTER (WHERE {})"
+    counts = [held.format(stage) + f" AS {stage}_clients" for stage, *_ in STAGES]
+    counts += [held.format(f"{stage} AND fix_{side}_fla_{x} IS NOT NULL") + f" AS {stage}_{x}" for stage, side, _, _ in STAGES for x in PRODUCTS]
+    return f"SELECT {', '.join(counts)}, count(DISTINCT fix_s_att_account) AS che_s_mes_active_base FROM iv_rows"
 
 
-CHURN_TYPE_CHECK = """
-SELECT fmc_s_fla_churntype, count(DISTINCT harddxflag) AS harddx_clients, count(DISTINCT harddx_bb) AS harddx_bb,
-       count(DISTINCT harddx_tv) AS harddx_tv, count(DISTINCT harddx_vo) AS harddx_vo
-FROM iv_all GROUP BY 1"""
+CHURN_TYPE_CHECK = f"""
+SELECT fmc_s_fla_churntype, count(DISTINCT fix_s_att_account) FILTER (WHERE harddx) AS harddx_clients,
+       {", ".join(f"count(DISTINCT fix_s_att_account) FILTER (WHERE harddx AND fix_b_fla_{x} IS NOT NULL) AS harddx_{x}" for x in PRODUCTS)}
+FROM iv_rows GROUP BY 1"""
