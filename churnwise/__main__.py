@@ -12,6 +12,8 @@ paths or catalog table names. The session is the cluster's; its
 from __future__ import annotations
 
 import argparse
+import dataclasses
+import datetime as dt
 import json
 
 from pyspark.sql import SparkSession
@@ -22,13 +24,31 @@ from churnwise.session import BASE_CONF, ensure_checkpoint_dir, stage_root
 from churnwise.sources.catalog import TableSources
 
 
+#: Every run parameter but the month can be set.
+OPTIONS = [f for f in dataclasses.fields(RunParams) if f.name not in ("month", "extra")]
+
+
+def _reader(f: dataclasses.Field):
+    if f.name == "payment_windows":
+        return lambda text: tuple(int(x) for x in text.split(","))
+    if isinstance(f.default, bool):
+        return lambda text: {"true": True, "false": False}[text.lower()]
+    if isinstance(f.default, dt.date):
+        return dt.date.fromisoformat
+    return type(f.default) if f.default is not None else str
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="churnwise")
     ap.add_argument("--month", required=True)
     ap.add_argument("--sources", required=True, help="JSON file: source name -> path or table")
     ap.add_argument("--stage-root", default=None, help="shared folder for stage tables")
-    ap.add_argument("--overdue-days", type=int, default=85)
+    ap.add_argument("--create-if-absent", action="store_true", help="leave existing stage tables as they are")
+    for f in OPTIONS:
+        ap.add_argument("--" + f.name.replace("_", "-"), type=_reader(f), default=argparse.SUPPRESS,
+                        required=f.name == "install_org", help=f"default: {f.default}")
     args = ap.parse_args(argv)
+    options = {f.name: getattr(args, f.name) for f in OPTIONS if hasattr(args, f.name)}
     builder = SparkSession.builder.appName(f"churnwise-{args.month}")
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
@@ -36,8 +56,8 @@ def main(argv=None) -> None:
     ensure_checkpoint_dir(spark)
     with open(args.sources) as fh:
         locations = json.load(fh)
-    run = MonthlyRun(spark, TableSources(spark, locations), RunParams(args.month, overdue_days=args.overdue_days),
-                     args.stage_root or stage_root(spark))
+    run = MonthlyRun(spark, TableSources(spark, locations), RunParams(args.month, **options),
+                     args.stage_root or stage_root(spark), args.create_if_absent)
     run.run()
     print(json.dumps({"month": args.month, "seconds": run.timings}))
 

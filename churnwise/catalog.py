@@ -16,9 +16,9 @@ from churnwise.oracle import converged_sql, fixed_sql, mobile_sql, primitives_sq
 from churnwise.params import RunParams
 from churnwise.operators.materialize import materialize
 from churnwise.plans import contracts, converged, fixed, involuntary, mobile, primitives, sales
-from churnwise.sources.fixtures import FIXTURE_MONTH, FixtureSources
+from churnwise.sources.fixtures import FIXTURE_MONTH, INSTALL_ORG, FixtureSources
 
-P = RunParams(FIXTURE_MONTH)
+P = RunParams(FIXTURE_MONTH, install_org=INSTALL_ORG)
 
 
 def _src(spark: SparkSession, sf_dir: str) -> FixtureSources:
@@ -276,35 +276,29 @@ ORACLE = {
     "mobile_quick_check": _with(_MOBILE, body=mobile_sql.QUICK_CHECK),
     "converged_table": _with(_FIXED, _MOBILE, _CONVERGED, body="SELECT * FROM converged_table"),
     "fixed_mobile_links": _with(_FIXED, _MOBILE, _CONVERGED, body=(
-        "SELECT fixed_account AS fix_s_att_account, mobile_account AS mob_s_att_account, src FROM co_keep")),
+        "SELECT fixed_account AS fix_s_att_account, mobile_account AS mob_s_att_account, src FROM cv_links")),
     "sales_drivers": _with(*_CHAIN, _SALES, body="SELECT * FROM sales_drivers"),
     "never_paid": _with(*_CHAIN, _SALES, body=reports_sql.NEVER_PAID),
     "first_cycle_mrc_values": _with(*_CHAIN, _SALES, body=reports_sql.FIRST_CYCLE_MRC_VALUES),
     "first_cycle_payment_rows": _with(*_CHAIN, _SALES, body=reports_sql.FIRST_CYCLE_PAYMENT_ROWS),
     "early_tickets": _with(*_CHAIN, _SALES, body=reports_sql.EARLY_TICKETS),
-    "slow_installs": _with(*_CHAIN, _SALES, body="SELECT * FROM sa_slow"),
+    "slow_installs": _with(*_CHAIN, _SALES, body=reports_sql.SLOW_INSTALLS),
     "involuntary_equation": _with(*_CHAIN, _INVOL, body="SELECT * FROM involuntary_equation"),
     "involuntary_fast_check": _with(*_CHAIN, _INVOL, body=reports_sql.fast_check_sql()),
     "involuntary_churn_type_check": _with(*_CHAIN, _INVOL, body=reports_sql.CHURN_TYPE_CHECK),
     "fixed_customer_status": _with(_FIXED, body=fixed_sql.status_sql(P)),
     "fixed_voluntary_churners": _with(_FIXED, body=(
-        f"SELECT mon AS month, acct AS fix_s_att_account, ctype AS churn_type FROM fo_vol WHERE mon = {_M}")),
+        f"SELECT month, account AS fix_s_att_account, kind AS churn_type FROM fd_voluntary WHERE month = {_M}")),
     "fixed_involuntary_churners": _with(_FIXED, body=(
-        f"SELECT mon AS month, acct AS fix_s_att_account, ctype AS churn_type FROM fo_invol WHERE mon = {_M}")),
-    "mobile_reinstated": _with(_MOBILE, body="SELECT subsrptn_id FROM mo_fake"),
+        f"SELECT month, account AS fix_s_att_account, kind AS churn_type FROM fd_involuntary WHERE month = {_M}")),
+    "mobile_reinstated": _with(_MOBILE, body="SELECT id AS subsrptn_id FROM mb_back"),
     "mobile_mrc_split": _with(_MOBILE, body=(
-        "SELECT acct AS mob_s_att_account, parent AS mob_s_att_ParentAccount, b_act AS mob_b_fla_active, "
-        "e_act AS mob_e_fla_active, b_mrc AS mob_b_mes_MRC, e_mrc AS mob_e_mes_MRC, "
-        "CAST(b_days AS INTEGER) AS mob_b_mes_tenure_days, CAST(e_days AS INTEGER) AS mob_e_mes_tenure_days "
-        "FROM mo_status2")),
-    "mobile_disconnections": _with(_MOBILE, body="SELECT acct AS mob_s_att_account, dxtype AS churn_type FROM mo_dx"),
-    "new_customers": _with(*_CHAIN, _SALES, body=(
-        "SELECT DISTINCT n.acct AS fix_s_att_account, n.maxstart AS fix_b_att_maxstart, b.first_bill AS "
-        "first_bill_created, n.install_month FROM sa_nc n JOIN sa_bills b ON n.acct = b.acct")),
-    "interaction_types": _with(*_CHAIN, _SALES, body=(
-        "SELECT DISTINCT a_interaction_date AS interaction_date, a_account_id AS account_id, "
-        "interaction_channel, interaction_agent_id, interaction_purpose_descrip, customer_id, interaction_type "
-        "FROM (SELECT interaction_date AS a_interaction_date, account_id AS a_account_id, * FROM sa_full)")),
+        "SELECT account AS mob_s_att_account, parent AS mob_s_att_ParentAccount, on_b AS mob_b_fla_active, "
+        "on_e AS mob_e_fla_active, b_mrc AS mob_b_mes_MRC, e_mrc AS mob_e_mes_MRC, "
+        "b_days AS mob_b_mes_tenure_days, e_days AS mob_e_mes_tenure_days FROM mb_priced")),
+    "mobile_disconnections": _with(_MOBILE, body="SELECT account AS mob_s_att_account, why AS churn_type FROM mb_dx"),
+    "new_customers": _with(*_CHAIN, _SALES, body=reports_sql.NEW_CUSTOMERS),
+    "interaction_types": _with(*_CHAIN, _SALES, body=reports_sql.INTERACTION_TYPES),
     "orders_last_in_month": primitives_sql.ORDERS_LAST_IN_MONTH,
     "orders_top2_per_customer": primitives_sql.ORDERS_TOP2,
     "customer_first_orders": primitives_sql.CUSTOMER_FIRST_ORDERS,

@@ -49,11 +49,16 @@ def mix_name(bb, tv, vo) -> Column:
     return expr
 
 
-def mix_units(name) -> Column:
-    """Number of products in a mix name; 0 when unknown or NULL."""
-    name = col(name)
-    return (F.when(name.isin(*L.MIX_ONE), 1).when(name.isin(*L.MIX_TWO), 2)
-            .when(name.isin(*L.MIX_THREE), 3).when(name == L.PLAY_NONE, -1).otherwise(0))
+def mix_number(bb, tv, vo) -> Column:
+    """The product mix of 0/1 flags as a number: 1 for broadband, 2 for tv and
+    4 for voice, added up; NULL where there is no mix name."""
+    known = mix_name(bb, tv, vo).isNotNull()
+    return F.when(known, col(bb) + 2 * col(tv) + 4 * col(vo)).cast("tinyint")
+
+
+def mix_number_units(mix) -> Column:
+    """Number of products in a mix number; 0 when NULL."""
+    return F.coalesce(F.bit_count(col(mix)), F.lit(0))
 
 
 def tech_type(drop_type) -> Column:

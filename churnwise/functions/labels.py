@@ -7,11 +7,11 @@ kept together and in their natural order.
 
 # --- fixed values: tenure bands, product mixes, technology -------------------
 EARLY, MID, LATE = "Early-Tenure", "Mid-Tenure", "Late-Tenure"
+TENURES = (EARLY, MID, LATE)
 MIX_NAMES = {  # (broadband, tv, voice) -> mix name
     (1, 0, 0): "BB", (0, 1, 0): "TV", (0, 0, 1): "VO", (1, 1, 0): "BB+TV",
     (1, 0, 1): "BB+VO", (0, 1, 1): "VO+TV", (1, 1, 1): "BB+VO+TV",
 }
-MIX_ONE, MIX_TWO, MIX_THREE = ("VO", "BB", "TV"), ("BB+VO", "BB+TV", "VO+TV"), ("BB+VO+TV",)
 TECH_BY_DROP = {"FIBER": "FTTH", "FIBCO": "FIBCO", "COAX": "HFC"}
 FIXED_FMC_HINT = ("1.Real FMC", "2.Near FMC", "3.Fixed Only")
 
@@ -28,6 +28,8 @@ DX_MIGRATION_REASON, DX_NONPAY_REASON = "MIG COAX TO FIB", "NON-PAY"
 DX_MIGRATION, DX_INVOLUNTARY, DX_VOLUNTARY = "Migracion", "Involuntario", "Voluntario"
 FIX_VOLUNTARY, FIX_INVOLUNTARY = "1. Fixed Voluntary Churner", "2. Fixed Involuntary Churner"
 FIX_TRANSFER, FIX_0P = "3. Fixed Transfer", "4. Fixed 0P Churner"
+# the converged labels look for another spelling of it, which never occurs
+FIX_0P_EXPECTED = "3. Fixed 0P Churner"
 FIX_CHURNER, FIX_NONCHURNER = "1. Fixed Churner", "2. Fixed NonChurner"
 CHURNER_GAP, CHURNER_0P = "Churner Gap", "Churner0P"
 FIX_FINAL = ("Transfer", "Early Dx", "Incomplete CST", "Voluntary", "Involuntary", "0P Churner")

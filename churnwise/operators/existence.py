@@ -3,8 +3,9 @@
 ``IN`` / ``NOT IN`` over a key set are written as semi/anti joins or as a
 left join to the *distinct* key set, so Catalyst plans an ordinary hash or
 sort-merge join (AQE may broadcast the set when its measured size is small)
-instead of a null-aware nested loop. Key sets are treated as NULL-free: the
-subscriber and account identifiers they come from are never NULL at ingest.
+instead of a null-aware nested loop. Key sets are NULL-free: ingest refuses
+rows of the keyed sources whose identifier is NULL
+(``sources.catalog.REQUIRED_KEYS``).
 """
 
 from __future__ import annotations
@@ -13,19 +14,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def with_memberships(df: DataFrame, sets: dict, key: str) -> DataFrame:
+def with_memberships(df: DataFrame, sets: dict, key: str, tagged: tuple[DataFrame, list[str]] | None = None) -> DataFrame:
     """Add one boolean per named key set (``name`` = df.key IN set), never
     NULL, with a single join: the sets are tagged, unioned and collapsed to
     one row per key first (partial aggregation removes duplicates before the
-    shuffle)."""
+    shuffle). ``tagged`` adds rows (key, _set) of several sets at once, and
+    the names of those sets."""
+    rows, more = tagged or (None, [])
     parts = [ks.select(key).where(F.col(key).isNotNull()).withColumn("_set", F.lit(name))
              for name, ks in sets.items()]
-    tagged = parts[0]
+    if rows is not None:
+        parts.append(rows.where(F.col(key).isNotNull()).select(key, "_set"))
+    names = [*sets, *more]
+    together = parts[0]
     for part in parts[1:]:
-        tagged = tagged.unionByName(part)
-    flags = tagged.groupBy(key).agg(*[F.max(F.col("_set") == name).alias(name) for name in sets])
+        together = together.unionByName(part)
+    flags = together.groupBy(key).agg(*[F.max(F.col("_set") == name).alias(name) for name in names])
     out = df.join(flags, key, "left")
-    return out.select(*[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in sets else F.col(c)
+    return out.select(*[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in names else F.col(c)
                         for c in out.columns])
 
 
@@ -39,12 +45,13 @@ def left_join_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     many rows per key (a fan-out join).
 
     AQE can split a skewed partition only on the preserved side of an outer
-    join, so a hot key on the right of a left join would land in one task.
-    Stated as an inner join (either side splittable) plus the unmatched left
-    rows (an anti join, which keeps NULL keys as a left join does), the
-    result is the same rows.
+    join, so a hot key on the right would land in one task. Equal right rows
+    are therefore counted first (partial aggregation, before the shuffle),
+    joined once, and dealt out again after the join, where the rows of a hot
+    key are spread over the left side's partitions. Each side is read once.
     """
-    matched = left.join(right, key)
-    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
-    unmatched = left.join(right.select(key), key, "left_anti").select(*left.columns, *extra)
-    return matched.unionByName(unmatched)
+    columns = [f for f in right.columns if f != key]
+    counted = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("_times"))
+    out = left.join(counted, key, "left")
+    times = F.sequence(F.lit(1), F.coalesce(F.col("_times"), F.lit(1)).cast("int"))
+    return out.withColumn("_copy", F.explode(times)).select(*left.columns, *columns)

@@ -23,4 +23,5 @@ def distinct_flag_rollup(df: DataFrame, dims: list[str], id_col: str,
     names = list(flags)
     per_id = df.groupBy(*dims, id_col).agg(
         *[F.max(F.when(expr.isNotNull(), 1).otherwise(0)).alias(n) for n, expr in flags.items()])
-    return per_id.groupBy(*dims).agg(*[F.sum(n).cast("long").alias(n) for n in names])
+    # without dims there is one row even for no input, and a count of nothing is 0
+    return per_id.groupBy(*dims).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])

@@ -34,14 +34,21 @@ def last_in_month(df: DataFrame, key: str, ts: str, values: Mapping[str, str], t
         *[F.max_by(F.col(c), order).alias(name) for name, c in values.items()])
 
 
-def first_by(df: DataFrame, key: str, ts: str, values: Mapping[str, str], tie: list[str] = (),
-             where: Column | None = None, prefix: str = "first") -> DataFrame:
-    order = _order(ts, list(tie))
-    if where is not None:
-        order = F.when(where, order)
-    return df.groupBy(key).agg(
-        F.min(F.when(where, F.to_date(ts)) if where is not None else F.to_date(ts)).alias(f"{prefix}_date"),
-        *[F.min_by(F.col(c), order).alias(name) for name, c in values.items()])
+def first_by(df: DataFrame, key: str, ts: str, value: str, tie: str, picks: Mapping[str, Column | None]) -> DataFrame:
+    """Per key, for each named condition (None: every row) the first date it
+    holds (``<name>_date``) and ``value`` on that date (``<name>_<value>``),
+    ties going to the smallest ``tie``.
+
+    Two aggregations of fixed-width values: per (key, date) by ``tie``, then
+    per key by date. A struct as the order would make both of them sorts."""
+    day = F.to_date(ts)
+    per_day, per_key = [], []
+    for name, cond in picks.items():
+        at = F.col(tie) if cond is None else F.when(cond, F.col(tie))
+        per_day += [F.min(at).alias(f"_{name}_any"), F.min_by(F.col(value), at).alias(f"_{name}")]
+        when = F.when(F.col(f"_{name}_any").isNotNull(), F.col("_day"))
+        per_key += [F.min(when).alias(f"{name}_date"), F.min_by(F.col(f"_{name}"), when).alias(f"{name}_{value}")]
+    return df.groupBy(key, day.alias("_day")).agg(*per_day).groupBy(key).agg(*per_key)
 
 
 def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -28,6 +28,8 @@ class RunParams:
     hard-disconnect threshold (85). ``mrc_rate_switch`` is the month from which
     the closing mobile MRC is read from the run month instead of the previous
     one. ``tenure_early``/``tenure_mid`` are the tenure band limits in days.
+    ``install_org`` is the operator's organisation code on install orders; it
+    has no default, and a run that needs it without having it fails.
     """
 
     month: _dt.date
@@ -40,7 +42,7 @@ class RunParams:
     slow_install_days: int = 6
     payment_windows: tuple = (30, 60, 85)
     payment_lookback_days: int = 50
-    install_org: str = "OPCO"
+    install_org: str | None = None
     install_country: str = "PR"
     funnel_day1: int = 30
     funnel_soft: int = 50
@@ -50,6 +52,12 @@ class RunParams:
 
     def __post_init__(self):
         object.__setattr__(self, "month", month_start(self.month))
+        object.__setattr__(self, "payment_windows", tuple(self.payment_windows))
+
+    @property
+    def payment_days(self) -> int:
+        """Days after the first bill whose payments count: the longest window."""
+        return max(self.payment_windows)
 
     @property
     def prev_month(self) -> _dt.date:

@@ -1,13 +1,12 @@
 """Converged (fixed + mobile) customer base with FMC type, segment, churn
 labels and the month-over-month waterfall (OP-13 .. OP-15).
 
-Plan shape: links are found with two equi-joins (phone 1, phone 2) and
-ranked with two ``WindowGroupLimit`` top-k windows; the mobile side is
-joined by a full outer join on the *linked* rows only, while fixed accounts
-without a link (NULL mobile key, all of which would land in one shuffle
-partition) bypass the join and are appended afterwards. Prepaid and
-bill-code tests are membership joins; the bill-code lookup is broadcast only
-after its size is checked.
+Plan shape: links are found with one equi-join of narrow phone rows, ranked
+with one ``WindowGroupLimit`` top-k window, and written once. The prepaid test
+is collapsed to two flags an account on narrow rows. The wide rows are then
+joined once, by a full outer join on the link; fixed accounts without a link
+carry a key of their own in it, so they spread over all partitions, and the
+duplicate rank reuses the join's partitioning.
 """
 
 from __future__ import annotations
@@ -17,8 +16,8 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
-from churnwise.operators.broadcast import broadcast_if_small
 from churnwise.operators.links import best_links, candidate_links
+from churnwise.operators.materialize import materialize
 from churnwise.params import RunParams
 from churnwise.plans.fixed import FIXED_COLUMNS
 from churnwise.plans.contracts import MOBILE_TO_CONVERGED
@@ -46,29 +45,46 @@ FIXED_TIE_BREAK = ["fix_e_fla_active", "fix_e_mes_num_rgus", "fix_s_fla_main_mov
                    "mob_s_fla_churntype"]
 
 
+# Churn type by the reasons of the fixed and the mobile side.
+CHURN_REASONS = {
+    **{f"{f}/{m}": L.CHURN_TYPES[0] for f, m in (("V", "V"), ("V", ""), ("", "V"), ("T", "V"))},
+    **{f"{f}/{m}": L.CHURN_TYPES[1] for f, m in (("I", "I"), ("I", ""), ("", "I"), ("T", "I"))},
+    **{f"{f}/{m}": L.CHURN_TYPES[2] for f, m in (("V", "I"), ("I", "V"))},
+    "0/": L.CHURN_TYPES[3], "T/": L.CHURN_TYPES[4],
+}
+
+
 def fixed_mobile_links(fixed: DataFrame, mobile: DataFrame, top_right: int = 2) -> DataFrame:
-    """Kept (fixed account, mobile account) links: each fixed account (linked
-    once even when it has several rows) keeps its highest linked mobile, and
-    each mobile keeps at most ``top_right`` fixed accounts."""
-    phones = fixed.select("fix_s_att_account", "fix_s_att_contact_phone1", "fix_s_att_contact_phone2").distinct()
-    cand = candidate_links(phones, "fix_s_att_account", ["fix_s_att_contact_phone1", "fix_s_att_contact_phone2"],
+    """Kept (fixed account, mobile account) links: each fixed account keeps
+    its highest linked mobile, if one of the pair's rows is among the first
+    ``top_right`` candidate rows of that mobile."""
+    cand = candidate_links(fixed, "fix_s_att_account", ["fix_s_att_contact_phone1", "fix_s_att_contact_phone2"],
                            mobile, "mob_s_att_account")
     return best_links(cand, "fix_s_att_account", "mob_s_att_account", top_right)
 
 
-def _prepaid_flags(prepaid: DataFrame, p: RunParams) -> DataFrame:
+def _prepaid_accounts(fixed: DataFrame, prepaid: DataFrame, p: RunParams) -> DataFrame:
+    """(account, _pre_b, _pre_e): whether one of the account's phones is an
+    active prepaid subscriber at opening or closing. Narrow rows without NULL
+    phones, collapsed to one row an account before anything wide is joined."""
     act = ((F.col("cust_sts") == "O") & (F.col("acct_type_cd") == "I") & (F.col("ba_rgn_nm") != "VI")
            & (F.col("subsrptn_sts") == "A"))
     rows = prepaid.where(F.col("dt").isin(p.prev_month, p.month) & act)
-    return rows.groupBy(F.col("subsrptn_id").alias("_phone")).agg(
+    active = rows.groupBy(F.col("subsrptn_id").alias("_phone")).agg(
         F.max(F.col("dt") == F.lit(p.prev_month)).alias("_pre_b"),
         F.max(F.col("dt") == F.lit(p.month)).alias("_pre_e"))
+    phones = F.array("fix_s_att_contact_phone1", "fix_s_att_contact_phone2")
+    phones = fixed.select("fix_s_att_account", F.explode(phones).alias("_phone")).where(F.col("_phone").isNotNull())
+    return (phones.distinct().join(active, "_phone").groupBy("fix_s_att_account")
+            .agg(F.max("_pre_b").alias("_pre_b"), F.max("_pre_e").alias("_pre_e")))
 
 
 def _tenure_merge(f: Column, m: Column) -> Column:
-    return (F.when(f.isNotNull() & m.isNull(), f).when(f == m, f).when(m.isNotNull() & f.isNull(), m)
-            .when((f != m) & ((f == L.EARLY) | (m == L.EARLY)), L.EARLY)
-            .when((f != m) & ((f == L.MID) | (m == L.MID)), L.MID))
+    """The earlier of two tenure bands; a missing one doesn't count."""
+    earlier = F.lit(None).cast("string")
+    for band in reversed(L.TENURES):
+        earlier = F.when((f == band) | (m == band), band).otherwise(earlier)
+    return earlier
 
 
 def _fmc_type(fix_on: Column, mob_on: Column, prepaid: Column, fmc_code: Column) -> Column:
@@ -94,30 +110,25 @@ def converged_base(fixed: DataFrame, mobile: DataFrame, prepaid: DataFrame, bill
     M = p.month
     fixed = fixed.where(F.col("fix_s_dim_month") == F.lit(M))
     mobile = mobile.where(F.col("mob_s_dim_month") == F.lit(M)).drop("mob_s_dim_month")
-    links = fixed_mobile_links(fixed, mobile).select(
-        "fix_s_att_account", F.col("mob_s_att_account").alias("_mobile"))
-    fx = fixed.where(F.col("fix_s_att_account").isNotNull()).join(links, "fix_s_att_account", "left")
-    linked = fx.where(F.col("_mobile").isNotNull())
-    alone = fx.where(F.col("_mobile").isNull())
-    joined = linked.join(mobile, linked["_mobile"] == mobile["mob_s_att_account"], "full_outer")
-    # rank the (at most top_right x rows-per-account) rows of one mobile subscriber
+    # the narrow tables first, written once: links, and the fixed rows' prepaid flags
+    links = materialize(fixed_mobile_links(fixed, mobile).select(
+        "fix_s_att_account", F.col("mob_s_att_account").alias("_mobile")), "links")
+    pre = _prepaid_accounts(fixed, prepaid, p)
+    fx = (fixed.where(F.col("fix_s_att_account").isNotNull())
+          .join(links, "fix_s_att_account", "left").join(pre, "fix_s_att_account", "left"))
+    # a mobile subscriber keeps the rows of one fixed row: the first by account, then
+    # by the columns in which rows of one account differ. Accounts without a link have
+    # no mobile to share, so their key is spread over the accounts.
+    key = F.coalesce(F.col("_mobile"), -F.col("fix_s_att_account") - 1)
+    fx = fx.withColumn("_key", key)
+    joined = fx.join(mobile.withColumn("_key", F.col("mob_s_att_account")), "_key", "full_outer")
     order = [F.col("fix_s_att_account").desc()] + [F.col(c).asc_nulls_first() for c in FIXED_TIE_BREAK]
-    joined = joined.withColumn(
-        "mob_s_att_duplicates",
-        F.row_number().over(Window.partitionBy("mob_s_att_account").orderBy(*order)))
-    # fixed-only rows carry no mobile columns (one select, not a column-by-column loop)
-    alone = alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in mobile.schema.fields],
-                         F.lit(1).alias("mob_s_att_duplicates"))
-    base = joined.unionByName(alone)
-    base = base.drop("_mobile")
-
-    # prepaid phones (opening and closing base) and converged bill codes
-    pre = _prepaid_flags(prepaid, p)
-    for i in (1, 2):
-        base = base.join(pre.select(F.col("_phone").alias(f"_p{i}"), F.col("_pre_b").alias(f"_p{i}b"),
-                                    F.col("_pre_e").alias(f"_p{i}e")),
-                         F.col(f"fix_s_att_contact_phone{i}") == F.col(f"_p{i}"), "left")
-    codes = broadcast_if_small(bill_codes.select(F.col("bill_code").alias("_code")).distinct(), 100_000)
+    # the rows are partitioned by this key already
+    rank = F.row_number().over(Window.partitionBy("_key").orderBy(*order))
+    base = joined.withColumn("mob_s_att_duplicates", F.when(F.col("mob_s_att_account").isNotNull(), rank).otherwise(1))
+    base = base.drop("_mobile", "_key")
+
+    codes = bill_codes.select(F.col("bill_code").alias("_code")).distinct()  # AQE broadcasts it if it is small
     base = (base.join(codes.withColumnRenamed("_code", "_cb"), F.col("fix_b_att_BillCode") == F.col("_cb"), "left")
                 .join(codes.withColumnRenamed("_code", "_ce"), F.col("fix_e_att_BillCode") == F.col("_ce"), "left"))
     has = lambda c: F.coalesce(F.col(c), F.lit(False))
@@ -125,8 +136,8 @@ def converged_base(fixed: DataFrame, mobile: DataFrame, prepaid: DataFrame, bill
     c = F.col
     z = lambda x: F.coalesce(c(x), F.lit(0))
     fix_acct, mob_acct = c("fix_s_att_account"), c("mob_s_att_account")
-    b_type = _fmc_type(c("fix_b_fla_active"), c("mob_b_att_active"), has("_p1b") | has("_p2b"), c("_cb").isNotNull())
-    e_type = _fmc_type(c("fix_e_fla_active"), c("mob_e_att_active"), has("_p1e") | has("_p2e"), c("_ce").isNotNull())
+    b_type = _fmc_type(c("fix_b_fla_active"), c("mob_b_att_active"), has("_pre_b"), c("_cb").isNotNull())
+    e_type = _fmc_type(c("fix_e_fla_active"), c("mob_e_att_active"), has("_pre_e"), c("_ce").isNotNull())
     base = base.select(
         "*",
         F.coalesce(c("fix_s_dim_month"), F.lit(M)).alias("fmc_s_dim_month"),
@@ -150,28 +161,27 @@ def with_labels(base: DataFrame) -> DataFrame:
     c = F.col
     fix_flag, mob_flag = c("fix_s_fla_ChurnFlag"), c("mob_s_fla_churnflag")
     fix_type, mob_type = c("fix_s_fla_churn_type"), c("mob_s_fla_churntype")
-    fv, fi, ft, f0 = L.FIX_VOLUNTARY, L.FIX_INVOLUNTARY, L.FIX_TRANSFER, "3. Fixed 0P Churner"
+    fv, fi, ft, f0 = L.FIX_VOLUNTARY, L.FIX_INVOLUNTARY, L.FIX_TRANSFER, L.FIX_0P_EXPECTED
     mv, mi = L.MOB_VOLUNTARY, L.MOB_INVOLUNTARY
     fix_rej, mob_rej = c("fix_s_fla_Rejoiner"), c("mob_s_fla_Rejoiner")
-    rej = (F.when((fix_rej == 1) & (mob_rej == 1), L.REJOINER_LABELS[0])
-           .when((fix_rej == 1) & ((mob_rej == 0) | mob_rej.isNull()), L.REJOINER_LABELS[1])
-           .when((mob_rej == 1) & ((fix_rej == 0) | fix_rej.isNull()), L.REJOINER_LABELS[2]))
-    final_churn = (
-        F.when((fix_flag == L.FIX_CHURNER) & (fix_type != ft) & (mob_flag == L.MOB_CHURNER), "Churner")
-        .when((fix_flag == L.FIX_CHURNER) & (fix_type != ft) & ((mob_flag == L.MOB_NONCHURNER) | mob_flag.isNull()),
-              "Fixed Churner")
-        .when((fix_flag == L.FIX_CHURNER) & (fix_type == ft) & (mob_flag == L.MOB_CHURNER), "Mobile Churner")
-        .when(((fix_flag == L.FIX_NONCHURNER) | fix_flag.isNull()) & (mob_flag == L.MOB_CHURNER), "Mobile Churner")
-        .otherwise("Non Churner"))
-    churn_type = (
-        F.when(((fix_type == fv) & (mob_type == mv)) | ((fix_type == fv) & mob_type.isNull())
-               | (fix_type.isNull() & (mob_type == mv)) | ((fix_type == ft) & (mob_type == mv)), "Voluntary Churner")
-        .when(((fix_type == fi) & (mob_type == mi)) | ((fix_type == fi) & mob_type.isNull())
-              | (fix_type.isNull() & (mob_type == mi)) | ((fix_type == ft) & (mob_type == mi)), "Involuntary Churner")
-        .when(((fix_type == fv) & (mob_type == mi)) | ((fix_type == fi) & (mob_type == mv)), "Mixed Churner")
-        .when((fix_type == f0) & mob_type.isNull(), "0P Churner")
-        .when((fix_type == ft) & mob_type.isNull(), "Fixed Transfer")
-        .otherwise("Non Churner"))
+    rej = F.element_at(F.array(*map(F.lit, (None, L.REJOINER_LABELS[1], L.REJOINER_LABELS[2], L.REJOINER_LABELS[0]))),
+                       1 + C.flag(fix_rej == 1) + 2 * C.flag(mob_rej == 1))
+    # which side churned: a fixed churner of a known type other than a transfer, and a mobile churner
+    fix_gone = (fix_flag == L.FIX_CHURNER) & (fix_type != ft)
+    mob_gone = mob_flag == L.MOB_CHURNER
+    # a fixed churner without a type is none of the labelled cases
+    untyped = (fix_flag == L.FIX_CHURNER) & fix_type.isNull()
+    yes = lambda x: F.coalesce(x, F.lit(False))
+    final_churn = (F.when(yes(untyped), L.FINAL_CHURN[3])
+                   .when(yes(fix_gone) & yes(mob_gone), L.FINAL_CHURN[0]).when(yes(fix_gone), L.FINAL_CHURN[1])
+                   .when(yes(mob_gone), L.FINAL_CHURN[2]).otherwise(L.FINAL_CHURN[3]))
+    # the reason of each side: V(oluntary), I(nvoluntary), none; other fixed types count
+    # only on their own, and a transfer leaves the mobile side's reason standing
+    fix_why = (F.when(fix_type == fv, "V").when(fix_type == fi, "I").when(fix_type == f0, "0")
+               .when(fix_type == ft, "T").when(fix_type.isNull(), "").otherwise("?"))
+    mob_why = F.when(mob_type == mv, "V").when(mob_type == mi, "I").when(mob_type.isNull(), "").otherwise("?")
+    why = F.create_map(*[F.lit(x) for pair in CHURN_REASONS.items() for x in pair])
+    churn_type = F.coalesce(F.element_at(why, F.concat(fix_why, F.lit("/"), mob_why)), F.lit(L.CHURN_TYPES[5]))
     return base.select(
         "*",
         _segment(c("fmc_b_fla_fmc_type"), c("fix_b_dim_mix_code_adj")).alias("fmc_b_fla_fmc_typesegment"),

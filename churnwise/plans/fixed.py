@@ -76,13 +76,15 @@ def account_month_summary(snapshot: DataFrame, p: RunParams) -> DataFrame:
     at_end = dt == F.last_day(dt)
     before_end = dt == F.date_sub(F.last_day(dt), 1)
     mdt = F.when(main, dt)
-    mix = C.mix_name("hsd", "video", "voice")
+    # the mix as a small number: a text value would make the aggregation buffer
+    # of variable width, and Spark would sort the whole snapshot for it
+    mix = C.mix_number("hsd", "video", "voice")
     return res.groupBy(F.col("sub_acct_no_sbb").alias(ACCOUNT), F.trunc(dt, "month").alias("month")).agg(
         F.max(mdt).alias("last_dt"),                                   # last record of the month
         F.max_by(ovd, mdt).alias("last_overdue"),                      # overdue on that record
         F.max_by(F.to_date("connect_dte_sbb"), mdt).alias("last_connect"),
         F.max(F.when(ok, dt)).alias("last_ok_dt"),                     # last record under the threshold
-        F.max_by(mix, F.when(ok, dt)).alias("last_rgu"),               # its product mix
+        F.max_by(mix, F.when(ok, dt)).alias("last_mix"),               # its product mix
         F.max(F.when(main & at_end, 1)).alias("has_month_end"),
         F.max(F.when(main & at_end & (ovd < thr), 1)).alias("ok_at_end"),
         F.max(F.when(main & before_end & (ovd < thr), 1)).alias("ok_before_end"),
@@ -216,7 +218,7 @@ def voluntary_churners(status: DataFrame, orders: DataFrame, summary: DataFrame)
     per_reason = orders.groupBy(ACCOUNT, "month", "dx_type").agg(F.sum("units").alias("churned"))
     most = per_reason.groupBy(ACCOUNT, "month").agg(F.max("churned").alias("churned"))
     last = (summary.where(F.col("last_ok_dt").isNotNull())
-            .select(ACCOUNT, "month", C.mix_units("last_rgu").alias("last_units")))
+            .select(ACCOUNT, "month", C.mix_number_units("last_mix").alias("last_units")))
     vol = most.join(last, [ACCOUNT, "month"]).where(F.col("churned") >= F.col("last_units"))
     st = status.select(F.col(MONTH).alias("month"), ACCOUNT, "fix_b_mes_num_rgus", "fix_e_fla_active")
     partial = (F.col("fix_e_fla_active") == 1) & (F.col("fix_b_mes_num_rgus") > F.col("last_units"))
@@ -257,7 +259,8 @@ def fixed_table(src, p: RunParams, summary: DataFrame | None = None) -> DataFram
     opening = day1.where(F.col("dt").isin(prev, M)).withColumn("_month", F.col("dt"))
     closing = day1.where(F.col("dt").isin(M, nxt)).withColumn("_month", F.add_months("dt", -1))
     status_all = customer_status(opening, closing, p)
-    status = with_movements(status_all.where(F.col(MONTH) == F.lit(M)))
+    # repeated day-1 rows count once; the rows are partitioned by account already
+    status = with_movements(status_all.where(F.col(MONTH) == F.lit(M)).distinct())
 
     # churn populations of month M (an account in both keeps two rows)
     orders = disconnect_orders(src.service_orders(), (M,))

@@ -12,7 +12,7 @@ latest master row) are ``min_by``/``max_by`` aggregations per subscriber.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
@@ -33,6 +33,11 @@ MOBILE_COLUMNS = [
 ]
 
 
+# The columns of the master that the monthly logic reads.
+MASTER_COLUMNS = ["dt", "subsrptn_id", "cust_id", "subsrptn_actvtn_dt", "cust_sts", "acct_type_cd", "rgn_nm",
+                  "subsrptn_sts", "flg_susp_curr_mo", "lst_susp_dt"]
+
+
 def active_residential(prefix: str = "") -> Column:
     """Open, individual, outside region VI, active subscription."""
     c = lambda n: F.col(prefix + n)
@@ -56,30 +61,35 @@ def false_churns(cancels: DataFrame, p: RunParams) -> DataFrame:
     # months M-6 .. M-1, written as a range on the raw column so it reaches the scan
     rows = cancels.where((F.col("dt") >= F.lit(lo)) & (F.col("dt") < F.lit(hi)))
     invalid = F.coalesce(invalid_cancellation(), F.lit(False))
-    latest = rows.groupBy("subsrptn_id").agg(
-        # latest status date wins; on a tie an invalid reason wins
-        F.max_by(invalid, F.struct(_sts_date(), invalid)).alias("invalid"))
-    return latest.where("invalid").select("subsrptn_id")
+    # latest status date wins; on a tie an invalid reason wins. The two last dates
+    # decide it, which keeps the aggregation buffer of fixed width
+    day = _sts_date()
+    latest = rows.groupBy("subsrptn_id").agg(F.max(day).alias("last"), F.max(F.when(invalid, day)).alias("last_invalid"),
+                                             F.max(F.when(day.isNull() & invalid, True)).alias("undated"))
+    return latest.where((F.col("last_invalid") == F.col("last"))
+                        | (F.col("last").isNull() & F.col("undated"))).select("subsrptn_id")
 
 
 def adjusted_master(master: DataFrame, fake: DataFrame, p: RunParams) -> DataFrame:
     """Six-month master with reinstated subscribers (OP-12, second half).
 
-    Columns: master columns, ``activation_dt``, ``dt_2`` (the month the row
+    Columns: those of MASTER_COLUMNS, ``activation_dt``, ``dt_2`` (the month the row
     stands for; the run month for reinstated rows) and ``reinstated``.
     """
     lo, M = p.shift(-p.mobile_lookback_months), p.month
-    rows = master.where(F.col("dt").between(F.lit(lo), F.lit(M)))
-    cols = [c for c in rows.columns]
+    rows = master.where(F.col("dt").between(F.lit(lo), F.lit(M))).select(*MASTER_COLUMNS)
     per_sub = rows.groupBy("subsrptn_id").agg(
-        F.min_by(F.to_date("subsrptn_actvtn_dt"), F.col("dt")).alias("activation_dt"),
-        F.max_by(F.struct(*cols), F.when(F.col("dt") < F.lit(M), F.col("dt"))).alias("_latest"))
-    kept = (anti(rows, fake, "subsrptn_id")
-            .join(per_sub.select("subsrptn_id", "activation_dt"), "subsrptn_id")
-            .withColumn("dt_2", F.to_date("dt")).withColumn("reinstated", F.lit(False)))
-    back = (per_sub.join(fake, "subsrptn_id", "left_semi").where(F.col("_latest").isNotNull())
-            .select("_latest.*", "activation_dt", F.lit(M).alias("dt_2"), F.lit(True).alias("reinstated")))
-    return kept.unionByName(back)
+        F.min_by(F.to_date("subsrptn_actvtn_dt"), F.col("dt")).alias("activation_dt"))
+    per_sub = per_sub.join(fake.withColumn("_fake", F.lit(True)), "subsrptn_id", "left")
+    rows = rows.join(per_sub, "subsrptn_id").withColumn("reinstated", F.coalesce("_fake", F.lit(False)))
+    # a reinstated subscriber keeps one row, its latest before M, standing for M (a
+    # subscriber has a row a month, so the windows are small)
+    before = F.col("dt") < F.lit(M)
+    latest = Window.partitionBy("subsrptn_id").orderBy(before.desc(), F.col("dt").desc(), *[F.col(c).asc() for c in MASTER_COLUMNS[2:]])
+    rows = rows.withColumn("_nth", F.when(F.col("reinstated"), F.row_number().over(latest)))
+    rows = rows.where(~F.col("reinstated") | ((F.col("_nth") == 1) & before))
+    return (rows.withColumn("dt_2", F.when(F.col("reinstated"), F.lit(M)).otherwise(F.to_date("dt")))
+            .drop("_nth", "_fake", "subsrptn_actvtn_dt"))
 
 
 def _tenure_cols(adj: DataFrame, side: str, asof: Column, p: RunParams) -> list[Column]:
@@ -155,7 +165,7 @@ def disconnections(cancels: DataFrame, p: RunParams) -> DataFrame:
     out = rows.select(F.col("subsrptn_id").alias(ACCOUNT), _sts_date().alias("disconnection_date"),
                       F.when(invol, "Involuntary").otherwise("Voluntary").alias("churn_type"))
     if p.dedupe_mobile_churners:  # the source keeps every cancellation row
-        out = out.groupBy(ACCOUNT).agg(F.max_by("churn_type", "disconnection_date").alias("churn_type"))
+        out = out.groupBy(ACCOUNT).agg(F.max_by("churn_type", F.struct("disconnection_date", "churn_type")).alias("churn_type"))
     return out.select(ACCOUNT, "churn_type")
 
 

@@ -30,6 +30,8 @@ class MonthlyRun:
     src: object
     params: RunParams
     stage_root: str
+    #: An existing stage table is left as it is, with all its months.
+    create_if_absent: bool = False
     timings: dict = field(default_factory=dict)
 
     def _path(self, name: str) -> str:
@@ -38,7 +40,8 @@ class MonthlyRun:
     def _step(self, name: str, build, month_col: str) -> DataFrame:
         """Build (eager checkpoints inside run here) and write one stage table."""
         t0 = time.time()
-        sinks.write_month(build(), self._path(name), month_col)
+        write = sinks.create_if_absent if self.create_if_absent else sinks.write_month
+        write(build(), self._path(name), month_col)
         self.timings[name] = round(time.time() - t0, 3)
         return sinks.read_month(self.spark, self._path(name), month_col, self.params.month)
 
@@ -67,10 +70,11 @@ class MonthlyRun:
 
     def run(self, release_intermediates: bool = True) -> dict[str, DataFrame]:
         before = set(materialize_mod.created())
-        t1, t2 = self.fixed(), self.mobile()
-        t3 = self.converged(t1, t2)
-        out = {T1: t1, T2: t2, T3: t3, **self.reports(t3)}
-        if release_intermediates:
-            # every result above is read from its stage table, not from these
-            materialize_mod.release(self.spark, [p for p in materialize_mod.created() if p not in before])
-        return out
+        try:
+            t1, t2 = self.fixed(), self.mobile()
+            t3 = self.converged(t1, t2)
+            return {T1: t1, T2: t2, T3: t3, **self.reports(t3)}
+        finally:
+            if release_intermediates:
+                # every result above is read from its stage table, not from these
+                materialize_mod.release(self.spark, [p for p in materialize_mod.created() if p not in before])

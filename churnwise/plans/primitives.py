@@ -31,10 +31,9 @@ def orders_top2_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    first = first_by(o, "o_custkey", "o_orderdate", {"first_totalprice": "o_totalprice"}, tie=["o_orderkey"])
-    big = first_by(o, "o_custkey", "o_orderdate", {"first_big_totalprice": "o_totalprice"}, tie=["o_orderkey"],
-                   where=F.col("o_totalprice") >= BIG_ORDER, prefix="first_big")
-    return first.join(big, "o_custkey")
+    picks = {"first": None, "first_big": F.col("o_totalprice") >= BIG_ORDER}
+    out = first_by(o, "o_custkey", "o_orderdate", "o_totalprice", "o_orderkey", picks)
+    return out.withColumnsRenamed({f"{name}_o_totalprice": f"{name}_totalprice" for name in picks})
 
 
 def customer_orders_open_close(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
-from churnwise.operators.existence import left_join_fanout, with_memberships
+from churnwise.operators.existence import with_memberships
 from churnwise.operators.materialize import materialize
 from churnwise.operators.rollup import distinct_flag_rollup
 from churnwise.params import RunParams
@@ -32,25 +32,31 @@ def _ts(d: _dt.date):
     return F.lit(d).cast("timestamp")
 
 
+def _residential(snapshot: DataFrame) -> DataFrame:
+    return snapshot.where((F.col("play_type") != L.PLAY_NONE) & (F.col("cust_typ_sbb") == "RES"))
+
+
 def new_customer_rows(snapshot: DataFrame, p: RunParams) -> tuple[DataFrame, DataFrame]:
     """Snapshot rows (any day) of residential accounts installed in month M
     (the connect date on the account's latest such row falls in M), and one
-    row per such new customer."""
+    row per such new customer.
+
+    The source bounds these rows by connect date only, so every snapshot day
+    counts. The accounts are found first, by one aggregation over four narrow
+    columns; only their rows are then kept and written, for the branches that
+    read them."""
     lo, hi = p.shift(-3), p.next_month
-    rows = snapshot.where((F.col("play_type") != L.PLAY_NONE) & (F.col("cust_typ_sbb") == "RES")
-                          & (F.col("connect_dte_sbb") >= _ts(lo)) & (F.col("connect_dte_sbb") < _ts(hi)))
-    rows = rows.select(F.col("sub_acct_no_sbb").alias(ACCOUNT), "dt", "bill_from_dte_sbb", "delinquency_days",
-                       (F.col("video_chrg") + F.col("hsd_chrg") + F.col("voice_chrg")).alias("fi_tot_mrc_amt"),
-                       F.to_date("connect_dte_sbb").alias("_connect"))
-    # The connect-date filter is the only bound on this scan (all snapshot days
-    # qualify), so the qualifying rows are written once and read by every branch.
-    rows = materialize(rows, "new_customer_rows")
-    per_acct = rows.groupBy(ACCOUNT).agg(
-        F.max_by("_connect", "dt").alias("fix_b_att_maxstart"),
+    connect = F.col("connect_dte_sbb")
+    rows = _residential(snapshot).where((connect >= _ts(lo)) & (connect < _ts(hi)))
+    per_acct = rows.groupBy(F.col("sub_acct_no_sbb").alias(ACCOUNT)).agg(
+        F.max_by(F.to_date(connect), "dt").alias("fix_b_att_maxstart"),
         F.min_by("bill_from_dte_sbb", "dt").alias("first_bill_created"))
-    new = per_acct.where(F.trunc("fix_b_att_maxstart", "month") == F.lit(p.month)).withColumn(
-        "install_month", F.trunc("fix_b_att_maxstart", "month"))
-    return rows.drop("_connect").join(new, ACCOUNT), new
+    start = F.col("fix_b_att_maxstart")
+    new = materialize(per_acct.where((start >= F.lit(p.month)) & (start < F.lit(hi)))
+                      .withColumn("install_month", F.trunc(start, "month")), "new_customers")
+    rows = rows.select(F.col("sub_acct_no_sbb").alias(ACCOUNT), "dt", "bill_from_dte_sbb", "delinquency_days",
+                       (F.col("video_chrg") + F.col("hsd_chrg") + F.col("voice_chrg")).alias("fi_tot_mrc_amt"))
+    return materialize(rows.join(new, ACCOUNT), "new_customer_rows"), new
 
 
 def first_cycle(nc_rows: DataFrame) -> DataFrame:
@@ -70,33 +76,40 @@ def first_cycle(nc_rows: DataFrame) -> DataFrame:
         F.when(F.col("max_mrc_first_bill").isNotNull(), 1).otherwise(0).cast("long").alias("diff_mrc"))
 
 
-def first_cycle_payments(fc: DataFrame, payments: DataFrame, p: RunParams) -> DataFrame:
-    """Payments from 50 days before to 85 days after the first bill: first
-    and last payment, first payment covering the MRC, and running totals
-    below 30/60/85 days after the bill (payments before it included).
-    Ties on a date are broken by the smaller amount."""
+def payments_in_cycle(fc: DataFrame, payments: DataFrame, p: RunParams) -> DataFrame:
+    """Each new customer's payments from ``payment_lookback_days`` before the
+    first bill to the end of the longest payment window after it, with
+    ``days`` since the bill.
+
+    First bills lie on snapshot days, so the run month bounds the scan: no
+    customer installed in month M has a first bill more than three months
+    before it (the source's own bound on connect dates) unless billed before
+    installation, which the residual condition on each account decides."""
     fb = F.col("first_bill_created")
-    # The per-account window implies a global date range: push it to the
-    # payments scan (prunes a dt-partitioned table). One tiny job over the
-    # new-customer table; exact, since the residual filter below still applies.
-    lo, hi = fc.agg(F.min(fb), F.max(fb)).first()
-    if lo is not None:
-        payments = payments.where(F.col("dt").between(F.lit(lo - _dt.timedelta(days=p.payment_lookback_days)),
-                                                      F.lit(hi + _dt.timedelta(days=85))))
-    pay = (payments.select(F.col("account_id").alias(ACCOUNT), F.to_date("dt").alias("pay_dt"),
-                           F.col("payment_amt_usd").cast("double").alias("amt"))
-           .join(fc.select(ACCOUNT, "first_bill_created", "max_mrc_first_bill"), ACCOUNT)
-           .where(F.col("pay_dt").between(F.date_sub(fb, p.payment_lookback_days), F.date_add(fb, 85))))
+    pay = payments.select(F.col("account_id").alias(ACCOUNT), F.to_date("dt").alias("pay_dt"),
+                          F.col("payment_amt_usd").cast("double").alias("amt"))
+    cycle = fc.select(ACCOUNT, "first_bill_created", "max_mrc_first_bill")
+    return (pay.join(cycle, ACCOUNT)
+            .where(F.col("pay_dt").between(F.date_sub(fb, p.payment_lookback_days), F.date_add(fb, p.payment_days)))
+            .withColumn("days", F.datediff("pay_dt", fb)))
+
+
+def first_cycle_payments(fc: DataFrame, payments: DataFrame, p: RunParams) -> DataFrame:
+    """First and last payment of the cycle, first payment covering the MRC,
+    and running totals below 30/60/85 days after the bill (payments before it
+    included). Ties on a date are broken by the smaller amount."""
     covers = F.col("amt") >= F.col("max_mrc_first_bill")
-    first = F.struct("pay_dt", "amt")
-    days = F.datediff("pay_dt", fb)
-    totals = [F.round(F.sum(F.when(days < n, F.col("amt"))), 2).alias(f"total_payments_{n}_days")
+    # one row per payment day first: its smallest amounts, and the day's totals
+    day = payments_in_cycle(fc, payments, p).groupBy(ACCOUNT, "pay_dt", "days").agg(
+        F.min("amt").alias("least"), F.min(F.when(covers, F.col("amt"))).alias("least_above"), F.sum("amt").alias("amt"))
+    above = F.when(F.col("least_above").isNotNull(), F.col("pay_dt"))
+    totals = [F.round(F.sum(F.when(F.col("days") < n, F.col("amt"))), 2).alias(f"total_payments_{n}_days")
               for n in p.payment_windows]
-    return pay.groupBy(ACCOUNT).agg(
+    return day.groupBy(ACCOUNT).agg(
         F.min("pay_dt").alias("first_payment_date"),
-        F.min_by("amt", first).alias("first_payment_amt"),
-        F.min(F.when(covers, F.col("pay_dt"))).alias("first_payment_above_date"),
-        F.min_by("amt", F.when(covers, first)).alias("first_payment_above"),
+        F.min_by("least", "pay_dt").alias("first_payment_amt"),
+        F.min(above).alias("first_payment_above_date"),
+        F.min_by("least_above", above).alias("first_payment_above"),
         F.max("pay_dt").alias("last_pay_date"),
         *totals)
 
@@ -113,12 +126,7 @@ def first_cycle_mrc_values(nc_rows: DataFrame) -> DataFrame:
 def first_cycle_payment_rows(fc: DataFrame, payments: DataFrame, p: RunParams) -> DataFrame:
     """Every payment of the first bill window with its day offset from the
     bill (the content of the source's date-ordered payment arrays), as rows."""
-    fb = F.col("first_bill_created")
-    return (payments.select(F.col("account_id").alias(ACCOUNT), F.to_date("dt").alias("pay_dt"),
-                            F.col("payment_amt_usd").cast("double").alias("amt"))
-            .join(fc.select(ACCOUNT, "first_bill_created"), ACCOUNT)
-            .where(F.col("pay_dt").between(F.date_sub(fb, p.payment_lookback_days), F.date_add(fb, 85)))
-            .select(ACCOUNT, "pay_dt", "amt", F.datediff("pay_dt", fb).alias("days_from_bill")))
+    return payments_in_cycle(fc, payments, p).select(ACCOUNT, "pay_dt", "amt", F.col("days").alias("days_from_bill"))
 
 
 def never_paid(fc: DataFrame, pb: DataFrame, p: RunParams) -> DataFrame:
@@ -132,7 +140,7 @@ def never_paid(fc: DataFrame, pb: DataFrame, p: RunParams) -> DataFrame:
         flags.append(F.when(t.isNull(), F.col(ACCOUNT)).when(t < F.col("max_mrc_first_bill"), F.col(ACCOUNT))
                      .alias(f"npn_{n}_flag"))
     return out.select("*", gap.alias("days_between_payment"),
-                      F.when(F.col("first_payment_above_date").isNull(), 86).otherwise(gap)
+                      F.when(F.col("first_payment_above_date").isNull(), p.payment_days + 1).otherwise(gap)
                        .alias("fixed_days_unpaid_bill"), *flags)
 
 
@@ -142,7 +150,8 @@ def interactions_in_window(interactions: DataFrame, truckrolls: DataFrame, p: Ru
     (a roll the same day), tech call (purpose patterns) or NULL."""
     lo, hi = p.month, p.shift(3)
     st = F.col("interaction_start_time")
-    inter = interactions.where(st.isNotNull() & (st.cast("string") != " ") & (st >= _ts(lo)) & (st < _ts(hi))
+    # a blank start time is NULL since ingest, so the range also drops it
+    inter = interactions.where((st >= _ts(lo)) & (st < _ts(hi))
                                & (F.col("account_type") == "RES"))
     keys = ["account_id", "interaction_date", "interaction_channel", "interaction_agent_id",
             "interaction_purpose_descrip"]
@@ -173,12 +182,16 @@ def early_tickets(new: DataFrame, typed: DataFrame, p: RunParams) -> DataFrame:
 def slow_installs(new: DataFrame, order_lines: DataFrame, p: RunParams) -> DataFrame:
     """New customers with their completed connect orders; the flag marks an
     install that took more than ``slow_install_days`` days."""
+    if p.install_org is None:
+        raise ValueError("RunParams.install_org: the organisation code of install orders is required")
     inst = order_lines.where((F.col("org_id") == p.install_org) & (F.col("org_cntry") == p.install_country)
                              & (F.col("order_status") == "COMPLETE") & (F.col("command_id") == L.INSTALL_COMMAND))
     inst = inst.select(F.col("account_id").alias(ACCOUNT), F.to_date("order_start_date").alias("order_start_date"),
                        F.to_date("completed_date").alias("completed_date"))
     out = new.select(ACCOUNT, "fix_b_att_maxstart", F.col(ACCOUNT).alias("new_sales_flag"), "install_month")
-    out = left_join_fanout(out, inst, ACCOUNT)  # an account may have very many order lines
+    # the result is distinct, so equal (start, completed) days of one account count
+    # once before the join: an account with very many order lines is no hot key
+    out = out.join(inst.distinct(), ACCOUNT, "left")
     slow = F.datediff("completed_date", "order_start_date") > p.slow_install_days
     return out.withColumn("outlier_install_flag", F.when(slow, F.col(ACCOUNT))).distinct()
 
@@ -190,23 +203,26 @@ def sales_drivers(fmc: DataFrame, snapshot: DataFrame, interactions: DataFrame,
     M = F.lit(p.month)
     base = fmc.where((F.col("fmc_s_dim_month") == M) & (F.col("dt") == M) & F.col(ACCOUNT).isNotNull())
     nc_rows, new = new_customer_rows(snapshot, p)
-    fc = first_cycle(nc_rows)
+    fc = materialize(first_cycle(nc_rows), "first_cycle")
     npn = never_paid(fc, first_cycle_payments(fc, payments, p), p)
     early = early_tickets(new, interactions_in_window(interactions, truckrolls, p), p)
     # every flag is the account or NULL: attach them as set memberships, one join
     acct = F.col(ACCOUNT)
     sets = {"_new": new.select(ACCOUNT),
             "_early": early.where(F.col("early_ticket_flag").isNotNull()).select(ACCOUNT)}
-    for n in p.payment_windows:
-        sets[f"_npn{n}"] = npn.where(F.col(f"npn_{n}_flag").isNotNull()).select(ACCOUNT)
+    # one never-paid branch for all windows: its rows name the windows they fail
+    unpaid = F.filter(F.array(*[F.when(F.col(f"npn_{n}_flag").isNotNull(), F.lit(f"_npn{n}"))
+                                for n in p.payment_windows]), lambda x: x.isNotNull())
+    windows = [f"_npn{n}" for n in p.payment_windows]
     rows = with_memberships(
         base.where((F.col("fmc_s_fla_churnflag") != "Fixed Churner")
                    & ~F.col("fmc_s_fla_waterfall").isin(*L.SALES_EXCLUDED_WATERFALL)
-                   & (F.col("fix_s_fla_mainmovement") != L.NULL_LAST_DAY)), sets, ACCOUNT)
+                   & (F.col("fix_s_fla_mainmovement") != L.NULL_LAST_DAY)), sets, ACCOUNT,
+        tagged=(npn.select(ACCOUNT, F.explode(unpaid).alias("_set")), windows))
     dims = {"opd_s_dim_month": "fmc_s_dim_month", "opd_e_fla_final_tech": "fmc_e_fla_tech",
             "opd_e_fla_opd_segment": "fmc_e_fla_fmcsegment", "opd_e_fla_opd_type": "fmc_e_fla_fmc",
             "opd_e_fla_final_tenure": "fmc_e_fla_tenure"}
-    rows = rows.select(*[F.col(v).alias(k) for k, v in dims.items()], ACCOUNT, "fix_e_att_active", *sets)
+    rows = rows.select(*[F.col(v).alias(k) for k, v in dims.items()], ACCOUNT, "fix_e_att_active", *sets, *windows)
     counts = {
         "opd_s_mes_active_base": F.when(F.col("fix_e_att_active") == 1, acct),
         "opd_s_mes_soft_dx": acct,

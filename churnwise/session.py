@@ -42,11 +42,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """Return the shared checkpoint folder that the session names.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared file system folder and
-    is used as is. Only when it is unset (local tests) do we create one.
-    """
+    The driver and all executors must be able to read it, so none is made up
+    here: without ``spark.checkpoint.dir`` (or a folder set on the context)
+    this raises. A local session gets one from ``get_session``."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         try:
@@ -54,6 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect, or no folder set yet
             current = None
     if not current:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # a single process: its scratch folder is shared with nobody
         current = tempfile.mkdtemp(prefix="churnwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:

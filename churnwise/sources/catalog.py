@@ -37,9 +37,20 @@ NORMALISE = {
 }
 
 
-def _normalise(df: DataFrame, types: dict) -> DataFrame:
+#: Columns in which blank text means no value (the source drops such rows).
+#: Any other malformed text still raises an error.
+BLANK_IS_NULL = {"interactions": {"interaction_start_time"}}
+
+#: Identifiers that ``NOT IN`` tests compare. A NULL among them would make the
+#: source's test true for no row, so ingest fails on it instead.
+REQUIRED_KEYS = {"postpaid_master": "subsrptn_id", "postpaid_cancellations": "subsrptn_id"}
+
+
+def _normalise(df: DataFrame, types: dict, blank: set = frozenset(), required: str | None = None) -> DataFrame:
     cols = []
     for c in df.columns:
+        if c in blank and df.schema[c].dataType.simpleString() == "string":
+            df = df.withColumn(c, F.when(F.trim(F.col(f"`{c}`")) != "", F.col(f"`{c}`")))
         t = types.get(c)
         if t is None or df.schema[c].dataType.simpleString() == t.replace("long", "bigint"):
             cols.append(F.col(f"`{c}`"))
@@ -48,7 +59,11 @@ def _normalise(df: DataFrame, types: dict) -> DataFrame:
             cols.append(F.to_date(F.substring(F.col(f"`{c}`").cast("string"), 1, 10)).alias(c))
         else:
             cols.append(F.col(f"`{c}`").cast(t).alias(c))
-    return df.select(cols)
+    out = df.select(cols)
+    if required:
+        key = F.col(f"`{required}`")
+        out = out.withColumn(required, F.coalesce(key, F.raise_error(F.lit(f"{required} is NULL")).cast(out.schema[required].dataType)))
+    return out
 
 
 class TableSources:
@@ -58,7 +73,7 @@ class TableSources:
     def _read(self, name: str) -> DataFrame:
         loc = self.locations[name]
         df = self.spark.read.parquet(loc) if ("/" in loc or "://" in loc) else self.spark.table(loc)
-        return _normalise(df, NORMALISE[name])
+        return _normalise(df, NORMALISE[name], BLANK_IS_NULL.get(name, set()), REQUIRED_KEYS.get(name))
 
     def daily_snapshot(self): return self._read("daily_snapshot")
     def service_orders(self): return self._read("service_orders")

@@ -27,6 +27,7 @@ PHONE_BASE = 7870000000
 EVENT_SHIFT_DAYS = 9376          # 2024-01-01 -> 1998-05-01
 MASTER_FIRST = _dt.date(1997, 11, 1)   # fixture month - 6 months
 FMC_BILL_CODES = ("B0", "B1", "B4")
+INSTALL_ORG = "OPCO"
 
 
 def _d(s: str) -> Column:
@@ -267,7 +268,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     return o.join(li, o.o_orderkey == li.l_orderkey).select(
         F.col("o_custkey").alias("account_id"),
-        F.lit("OPCO").alias("org_id"),
+        F.lit(INSTALL_ORG).alias("org_id"),
         F.lit("PR").alias("org_cntry"),
         F.lit("COMPLETE").alias("order_status"),
         F.when(F.col("l_linenumber") % 2 == 1, "CONNECT").otherwise("CHANGE").alias("command_id"),
@@ -315,7 +316,10 @@ class FixtureSources:
         if key not in _WRITTEN:
             df = self._BUILDERS[name](self.spark, self.sf_dir)
             part = _MATERIALIZED[name]
-            w = (df.repartition(part) if part else df).write.mode("overwrite")
+            # a day (or month) is dealt over several tasks, by a hash of its rows
+            tasks = max(2, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+            spread = F.pmod(F.xxhash64(*df.columns), F.lit(tasks))
+            w = (df.repartition(part, spread) if part else df).write.mode("overwrite")
             (w.partitionBy(part) if part else w).parquet(path)
             # read back once (one file listing per session), in the view's column order
             _WRITTEN[key] = self.spark.read.parquet(path).select(*df.columns)
