@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from churnwise import catalog
 from scripts.oracle_check import digest, duck
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(entry.queries())
+KEYS = sorted(catalog.QUERIES)
 TYPES = {"int": "int", "bigint": "bigint", "double": "double", "string": "string", "date": "date",
          "timestamp": "ts", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
          "DATE": "date", "TIMESTAMP": "ts"}
@@ -22,8 +23,8 @@ def con():
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    sql = entry.oracle_sql().get(key)
-    df = entry.queries()[key](spark, SF)
+    sql = catalog.ORACLE.get(key)
+    df = catalog.QUERIES[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     if sql is None:
         assert df.columns
@@ -42,7 +43,7 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert not missing, missing
 
 

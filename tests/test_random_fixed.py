@@ -14,7 +14,7 @@ from churnwise.plans import fixed
 from scripts.oracle_check import digest
 from tests.helpers import D, ORDERS_SCHEMA, SNAPSHOT_SCHEMA, ListSources, days
 
-P = RunParams(D(1998, 5, 1))
+P = RunParams(D(1998, 5, 1), install_org="OPCO")
 
 
 def _random_rows(seed=21, accounts=250):

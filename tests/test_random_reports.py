@@ -135,7 +135,7 @@ def test_sales_reports_on_random_data(spark, chain):
     _same(npn.select(*NEVER_PAID_COLUMNS), con, sales_sql + reports_sql.NEVER_PAID)
     typed = sales.interactions_in_window(src.interactions(), src.truckrolls(), P)
     _same(sales.early_tickets(new, typed, P), con, sales_sql + reports_sql.EARLY_TICKETS)
-    _same(sales.slow_installs(new, src.order_lines(), P), con, sales_sql + "\nSELECT * FROM sa_slow")
+    _same(sales.slow_installs(new, src.order_lines(), P), con, sales_sql + reports_sql.SLOW_INSTALLS)
     _same(sales.sales_drivers(t3, snap, src.interactions(), src.truckrolls(), src.payments(), P), con,
           sales_sql + "\nSELECT * FROM sales_drivers")
 
