@@ -194,6 +194,16 @@ def train(docs: DataFrame, depth: int = ORDER, states: int = STATES) -> Model:
 
 # --- scores and the base -----------------------------------------------------------------------------------
 
+def _packed(x: np.ndarray) -> bytes:
+    """Integers as compressed differences, byte plane by byte plane."""
+    return pa.compress(np.diff(x.astype(np.int32), prepend=np.int32(0)).view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int32).ravel(), dtype=np.int32)
+
+
 def _blocks(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each block of documents: what the base needs of it, and the model's scores."""
     held: list[pa.RecordBatch] = []
@@ -217,11 +227,11 @@ def _blocks(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         trained = np.bincount(word[trains[row]], minlength=len(known))
         pairs, times = np.unique(row * max(1, len(known)) + word, return_counts=True)
         doc, word = np.divmod(pairs, max(1, len(known)))
-        lists = [signed(known), trained.astype(np.int32), tokens.astype(np.int32) + 1, np.concatenate(score), np.searchsorted(doc, np.arange(n + 1)).astype(np.int32), word.astype(np.int32), times.astype(np.int32)]
-        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x if isinstance(x, pa.Array) else pa.array(x))
+        lists = [docs.column("doc_id").combine_chunks(), docs.column("held_out").combine_chunks(), pa.array(signed(known)), pa.array(trained.astype(np.int32)), pa.array(tokens.astype(np.int32) + 1), pa.array(np.concatenate(score))]
+        packed = [_packed(x) for x in (np.searchsorted(doc, np.arange(n + 1)), word, times)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([task + number], pa.int64()), one(docs.column("doc_id").combine_chunks()), one(docs.column("held_out").combine_chunks()), *map(one, lists)],
-            ["block", "doc_id", "held_out", "words", "trained", "n_tokens", "score", "first", "word", "times"],
+            [pa.array([task + number], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists), pa.array([len(known)], pa.int32()), pa.array([len(word)], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)],
+            ["block", "doc_id", "held_out", "words", "trained", "n_tokens", "score", "n_words", "n_pairs", "first", "word", "times"],
         )
 
     for batch in batches:
@@ -242,9 +252,11 @@ def _base(total: int, distinct: int, ends: int, blocks: pa.Table, counts: pa.Tab
     out: dict[str, list] = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
     for k in range(blocks.num_rows):
         get = lambda c, k=k: blocks.column(c)[k].values
-        known = np.zeros(len(get("words")) + 1, np.int64)
+        one = lambda c, k=k: blocks.column(c)[k].as_py()
+        known = np.zeros(one("n_words") + 1, np.int64)
         known[counts.column("at").to_numpy()] = counts.column("c").to_numpy()
-        word, times, first = (get(c).to_numpy() for c in ("word", "times", "first"))
+        word, times = _unpacked(one("word"), one("n_pairs")), _unpacked(one("times"), one("n_pairs"))
+        first = _unpacked(one("first"), len(get("doc_id")) + 1)
         c = known[word]
         cum = lambda x: np.concatenate([[0], np.cumsum(x)])
         part = cum(times * np.log10(c + 1.0))
@@ -264,7 +276,7 @@ def report(docs: DataFrame, depth: int = ORDER, states: int = STATES) -> DataFra
     """Per document: held_out, its tokens, those known from training, the base score and the model's."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), held_out(F.col("doc_id")).alias("held_out"))
     model = docs.sparkSession.sparkContext.broadcast(train(rows.where("NOT held_out"), depth, states))
-    schema = "block long, doc_id array<long>, held_out array<boolean>, words array<long>, trained array<int>, n_tokens array<int>, score array<double>, first array<int>, word array<int>, times array<int>"
+    schema = "block long, doc_id array<long>, held_out array<boolean>, words array<long>, trained array<int>, n_tokens array<int>, score array<double>, n_words int, n_pairs int, first binary, word binary, times binary"
     blocks = cut(rows.mapInArrow(lambda b: _blocks(model, b), schema), "ppm-blocks")
     used = blocks.select("block", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "w"))
     vocabulary = cut(used.where("w.trained > 0").groupBy(F.col("w.words").alias("word")).agg(F.sum("w.trained").cast("long").alias("c")), "ppm-words")
@@ -273,5 +285,6 @@ def report(docs: DataFrame, depth: int = ORDER, states: int = STATES) -> DataFra
     total, distinct = int(total) + ends, distinct + (ends > 0)
     counts = used.select("block", "at", F.col("w.words").alias("word")).join(vocabulary, "word").select(F.col("block").alias("of"), "at", "c")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long"
-    found = blocks.groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(lambda a, b: _base(total, distinct, ends, a, b), out)
+    # the words themselves stay behind: a block's documents name them by number
+    found = blocks.drop("words", "trained").groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(lambda a, b: _base(total, distinct, ends, a, b), out)
     return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
