@@ -19,6 +19,8 @@ from churnwise.plans import contracts, converged, fixed, involuntary, mobile, pr
 from churnwise.sources.fixtures import FIXTURE_MONTH, INSTALL_ORG, FixtureSources
 
 P = RunParams(FIXTURE_MONTH, install_org=INSTALL_ORG)
+#: The same month as a run from the rates switch on (the closing MRC is the run month's own).
+P_CURRENT_RATES = RunParams(FIXTURE_MONTH, install_org=INSTALL_ORG, mrc_rate_switch=FIXTURE_MONTH)
 
 
 def _src(spark: SparkSession, sf_dir: str) -> FixtureSources:
@@ -37,6 +39,11 @@ def q_mobile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mobile.mobile_table(_src(spark, sf_dir), P)
 
 
+def q_mobile_table_current_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PAR-4: the mobile table of a month that reads its own closing rates."""
+    return mobile.mobile_table(_src(spark, sf_dir), P_CURRENT_RATES)
+
+
 def q_mobile_quick_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mobile.quick_check(mobile.mobile_table(_src(spark, sf_dir), P))
 
@@ -151,9 +158,11 @@ def q_fixed_table_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnwise import sinks
     from churnwise.session import stage_root
     _, t1, _ = stage_tables(spark, sf_dir)
-    path = f"{stage_root(spark).rstrip('/')}/registry-{uuid.uuid4().hex[:8]}/fixed_table"
-    sinks.write_month(t1, path, "fix_s_dim_month")
-    return sinks.read_month(spark, path, "fix_s_dim_month", P.month)
+    key = ("stage", _app(spark), sf_dir, P.month)
+    if key not in _STAGES:  # one folder a session and data folder, written again by each call
+        _STAGES[key] = f"{stage_root(spark).rstrip('/')}/registry-{uuid.uuid4().hex[:8]}/fixed_table"
+    sinks.write_month(t1, _STAGES[key], "fix_s_dim_month")
+    return sinks.read_month(spark, _STAGES[key], "fix_s_dim_month", P.month)
 
 
 # ---- operator-level queries (one reusable operator each, month M) ----------
@@ -227,6 +236,7 @@ QUERIES = {
     "fixed_table": q_fixed_table,
     "fixed_table_stage": q_fixed_table_stage,
     "mobile_table": q_mobile_table,
+    "mobile_table_current_rates": q_mobile_table_current_rates,
     "mobile_quick_check": q_mobile_quick_check,
     "converged_table": q_converged_table,
     "fixed_mobile_links": q_fixed_mobile_links,
@@ -273,6 +283,7 @@ ORACLE = {
     "fixed_table": _with(_FIXED, body="SELECT * FROM fixed_table"),
     "fixed_table_stage": _with(_FIXED, body="SELECT * FROM fixed_table"),
     "mobile_table": _with(_MOBILE, body="SELECT * FROM mobile_table"),
+    "mobile_table_current_rates": _with(mobile_sql.mobile_ctes(P_CURRENT_RATES), body="SELECT * FROM mobile_table"),
     "mobile_quick_check": _with(_MOBILE, body=mobile_sql.QUICK_CHECK),
     "converged_table": _with(_FIXED, _MOBILE, _CONVERGED, body="SELECT * FROM converged_table"),
     "fixed_mobile_links": _with(_FIXED, _MOBILE, _CONVERGED, body=(

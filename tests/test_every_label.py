@@ -142,6 +142,24 @@ def test_closing_rates_follow_the_switch(spark):
         assert (row["mob_b_mes_MRC"], row["mob_e_mes_MRC"]) == (10.0, closing)
 
 
+def test_deduplicated_cancellations_keep_the_latest_then_the_last_type(spark):
+    rows = [(1, "1998-05-03", "no pay"), (1, "1998-05-09", "moved"), (2, "1998-05-09", "moved"), (2, "1998-05-09", "fraud")]
+    cancels = spark.createDataFrame([(M, i, "I", "PR", d, r, "") for i, d, r in rows],
+                                    "dt date, subsrptn_id long, acct_type_cd string, rgn_nm string, subsrptn_sts_dt string, acct_sts_rsn_desc string, lst_susp_rsn_desc string")
+    types = lambda p: sorted(tuple(r) for r in mobile.disconnections(cancels, p).collect())
+    assert len(types(P)) == 4
+    assert types(RunParams(M, dedupe_mobile_churners=True)) == [(1, "Voluntary"), (2, "Voluntary")]
+
+
+def test_existing_stage_tables_can_be_left_alone(spark, tmp_path):
+    from churnwise.plans.monthly import MonthlyRun
+
+    for absent, value in ((False, 1), (True, 2)):
+        run = MonthlyRun(spark, None, P, str(tmp_path), create_if_absent=absent)
+        kept = run._step("t", lambda v=value: spark.createDataFrame([(M, v)], "m date, x int"), "m")
+        assert [r["x"] for r in kept.collect()] == [1]
+
+
 def test_later_months_use_their_own_rates():
     assert RunParams("2023-04-01").mrc_rate_switch <= RunParams("2023-04-01").month
     assert RunParams("2023-03-01").mrc_rate_switch > RunParams("2023-03-01").month
