@@ -54,6 +54,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def field(batch: pa.RecordBatch, name: str, column: str = "row") -> pa.Array:
+    """A text field of rows that travel as one struct column, so that no text crosses to Python twice."""
+    return batch.column(column).field(name).cast(pa.string())
+
+
 def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about `limit` bytes; a longer row is a range of its own."""
     at, n = 0, len(offsets) - 1

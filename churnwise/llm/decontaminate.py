@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnwise.llm.common import LOWER, NOT_ALNUM, chunks, shingle_hashes, text_bytes, words
+from churnwise.llm.common import LOWER, NOT_ALNUM, chunks, field, shingle_hashes, text_bytes, words
 
 #: Bytes of benchmark text broadcast at a time (about 25 bytes of index for each window).
 BLOCK_BYTES = 4_000_000
@@ -92,27 +92,27 @@ def _scan(index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the hits of one block of the benchmark to the column `hits`, and counts words in `n_words`."""
     windows = index.value
     for batch in batches:
-        offsets = text_bytes(batch.column("text"))[1]
-        for a, b in chunks(offsets):
+        column = field(batch, "text")
+        for a, b in chunks(text_bytes(column)[1]):
             part = batch.slice(a, b - a)
-            texts = _Texts(part.column("text"))
+            texts = _Texts(column.slice(a, b - a))
             hits: list[list[dict]] = [h or [] for h in part.column("hits").to_pylist()]
             for r, start, end, item in windows.find(texts):
                 hits[r].append({"start": start, "end": end, "item": windows.ids[item]})
             yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("text"), pa.array(hits, _HIT_ARROW), pa.array(np.diff(texts.rows), pa.int64())],
-                ["row", "text", "hits", "n_words"],
+                [part.column("row"), pa.array(hits, _HIT_ARROW), pa.array(np.diff(texts.rows), pa.int64())],
+                ["row", "hits", "n_words"],
             )
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(row, text, hits, n_words) for each row of `docs`: `row` is the row itself as a struct and `hits` lists
+    """(row, hits, n_words) for each row of `docs`: `row` is the row itself as a struct and `hits` lists
     the (first word, word after the last, item id) of each occurrence of a benchmark window."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
-    out = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"), F.lit(None).cast(_HIT).alias("hits"), F.lit(0).cast("long").alias("n_words"))
+    out = docs.select(F.struct("*").alias("row"), F.lit(None).cast(_HIT).alias("hits"), F.lit(0).cast("long").alias("n_words"))
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
         index = spark.sparkContext.broadcast(WindowIndex([tuple(r) for r in block.collect()], n))  # at most block_bytes of text

@@ -28,6 +28,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from churnwise.llm.common import field
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, end, kind
@@ -256,14 +259,14 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = batch.column("text")
+        column = field(batch, "text")
         texts = [masked(t.as_py(), every) if every else t for t, (_, every) in zip(column, spans_of(column.fill_null("")))]
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([t if isinstance(t, str) else t.as_py() for t in texts], pa.string())], ["row", "text"])
 
 
 def mask(docs: DataFrame) -> DataFrame:
     """The rows of `docs` with personal data in `text` masked; n_chars, where present, follows the text."""
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
-    rows = rows.mapInArrow(_mask, rows.schema)
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.mapInArrow(_mask, T.StructType([rows.schema["row"], T.StructField("text", T.StringType())]))
     text = {"text": F.col("text"), "n_chars": F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))}
     return rows.select(*[text.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnwise.llm.common import LOWER, chunks, cut, text_bytes, words
+from churnwise.llm.common import LOWER, chunks, cut, field, text_bytes, words
 
 #: Rows of each label that training may use, and the longest of their texts in characters.
 SAMPLE, SAMPLE_CHARS = 1500, 8000
@@ -331,7 +331,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 def _score(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw, offsets = text_bytes(batch.column("text"))
+        raw, offsets = text_bytes(field(batch, "text"))
         scores = [model.value.scores(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in chunks(offsets)]
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["row", "score"])
 
@@ -339,7 +339,7 @@ def _score(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(row, score) of each row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(lambda b: _score(shared, b), schema)
 
