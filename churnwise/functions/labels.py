@@ -55,6 +55,7 @@ INVOLUNTARY_SUSPENSION_PATTERNS = ("%no%pay%", "%no%use%", "%fraud%", "%off%net%
 FMC_TYPES = ("Prepaid Real FMC", "Prepaid Near FMC", "Fixed Only", "Mobile Only", "Real FMC", "Near FMC",
              "Postpaid Real FMC", "Postpaid Near FMC")
 WIRELESS = "WIRELESS"
+MOBILE_SEGMENT = "P1 Mobile"
 REJOINER_LABELS = ("1. Full Rejoiner", "2. Fixed Rejoiner", "3. Mobile Rejoiner", "1. FMC Rejoiner")
 FINAL_CHURN = ("Churner", "Fixed Churner", "Mobile Churner", "Non Churner")
 CHURN_TYPES = ("Voluntary Churner", "Involuntary Churner", "Mixed Churner", "0P Churner", "Fixed Transfer",

@@ -3,8 +3,8 @@
 * ``last_in_month`` (OP-06): per key and calendar month, the latest record's
   values -- ``first_value(x) OVER (PARTITION BY key, month ORDER BY t DESC)``
   as one ``max_by`` aggregation (partial aggregation, hot-key safe).
-* ``first_by`` (AGG-13/14): per key, the earliest record's values, optionally
-  the earliest among records satisfying a condition.
+* ``first_by`` (AGG-13/14): per key, the earliest record's value, and the
+  earliest among records satisfying a condition, from one scan.
 * ``top_k_per_group`` (FLT-13, SRT-3): ``row_number() <= k``, planned as a
   ``WindowGroupLimit`` (partial top-k before the shuffle).
 * ``open_close`` (OP-01): per key, the opening (month M-1) and closing

@@ -100,7 +100,7 @@ def _fmc_type(fix_on: Column, mob_on: Column, prepaid: Column, fmc_code: Column)
 
 def _segment(fmc_type: Column, mix_code: Column) -> Column:
     return (F.when(fmc_type == L.FMC_TYPES[2], F.concat(mix_code, F.lit(" Fixed")))
-            .when(fmc_type == L.FMC_TYPES[3], F.lit("P1 Mobile"))
+            .when(fmc_type == L.FMC_TYPES[3], F.lit(L.MOBILE_SEGMENT))
             .otherwise(F.concat((F.substring(mix_code, 1, 1).cast("int") + 1).cast("string"), F.lit("P "), fmc_type)))
 
 
@@ -209,33 +209,35 @@ def final_flags(df: DataFrame) -> DataFrame:
     gained, kept, lost = (b == 0) & (e == 1), (b == 1) & (e == 1), (b == 1) & (e == 0)
     new_fix = fmv.isin(L.NEW_CUSTOMER, L.GROSS_ADD_GAP)
     come_back = (fmv == L.COME_BACK) | (mmv == L.COME_BACK)
+    churned = churn != L.FINAL_CHURN[3]
     w = L.WATERFALL
     waterfall = (
         F.when(gained & ((new_fix & (mmv == L.NEW_CUSTOMER)) | (new_fix & mmv.isNull())
                          | (fmv.isNull() & (mmv == L.NEW_CUSTOMER))), w[0])
         .when((fb == 0) & (fe == 1) & fmv.isNull() & c("fix_e_dim_max_start").isNull(), w[1])
-        .when(gained & come_back & (churn != "Non Churner"), w[2])
+        .when(gained & come_back & churned, w[2])
         .when(gained & (rej == L.REJOINER_LABELS[0]) & fmc_seg, w[3])
         .when(gained & (rej == L.REJOINER_LABELS[1]) & ~fmc_seg, w[4])
         .when(gained & (rej == L.REJOINER_LABELS[2]) & ~fmc_seg, w[5])
         .when(kept & rej.isNotNull(), w[6])
         .when(gained & come_back & rej.isNull(), w[0])
-        .when(gained & (ctype == "Non Churner") & (fmv == L.TRANSFER_ADDS), w[7])
-        .when(ctype == "Fixed Transfer", w[8])
+        .when(gained & (ctype == L.CHURN_TYPES[5]) & (fmv == L.TRANSFER_ADDS), w[7])
+        .when(ctype == L.CHURN_TYPES[4], w[8])
         .when(kept & (rb < re_), w[9])
         .when(kept & (rb > re_), w[10])
         .when(kept & (rb == re_) & (mb == me), w[11])
         .when(kept & (rb == re_) & (mb < me), w[12])
         .when(kept & (rb == re_) & (mb > me), w[13])
-        .when(lost & (churn != "Non Churner") & (ctype == "Voluntary Churner"), w[14])
-        .when(lost & (churn != "Non Churner") & (ctype == "Involuntary Churner"), w[15])
-        .when(lost & (churn != "Non Churner") & (ctype == "Mixed Churner"), w[16])
-        .when(lost & (fmv == L.NULL_LAST_DAY) & (churn == "Non Churner"), w[17]))
-    partial = (F.when((churn == "Churner")
-                      | ((churn == "Fixed Churner") & seg_e.isNull() & (ctype != "Fixed Transfer"))
-                      | ((churn == "Mobile Churner") & (seg_b == "P1 Mobile") & seg_e.isNull()
-                         & (ctype != "Fixed Transfer")), "Total Churner")
-               .when(churn == "Non Churner", F.lit(None)).otherwise("Partial Churner"))
+        .when(lost & churned & (ctype == L.CHURN_TYPES[0]), w[14])
+        .when(lost & churned & (ctype == L.CHURN_TYPES[1]), w[15])
+        .when(lost & churned & (ctype == L.CHURN_TYPES[2]), w[16])
+        .when(lost & (fmv == L.NULL_LAST_DAY) & ~churned, w[17]))
+    # total: both sides left, or the side that left was all the customer had
+    alone = seg_e.isNull() & (ctype != L.CHURN_TYPES[4])
+    total = (churn == L.FINAL_CHURN[0]) | (alone & ((churn == L.FINAL_CHURN[1])
+                                                    | ((churn == L.FINAL_CHURN[2]) & (seg_b == L.MOBILE_SEGMENT))))
+    partial = (F.when(churn == L.FINAL_CHURN[3], F.lit(None)).when(total, L.PARTIAL_CHURN[0])
+               .otherwise(L.PARTIAL_CHURN[1]))
     out = {
         "fmc_s_fla_Rejoiner": F.when(((rej == L.REJOINER_LABELS[1]) | (rej == L.REJOINER_LABELS[2])) & fmc_seg,
                                      L.REJOINER_LABELS[3]).otherwise(rej),

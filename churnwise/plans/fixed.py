@@ -32,8 +32,8 @@ from churnwise.params import RunParams, add_months
 ACCOUNT = "fix_s_att_account"
 MONTH = "fix_s_dim_month"
 
-# Column order of the fixed table (the stage-table contract read by the
-# converged base).
+# The columns of the fixed table, in order (the stage-table
+# contract read by the converged base).
 FIXED_COLUMNS = [
     "fix_s_dim_month", "fix_s_att_account", "fix_b_fla_active", "fix_e_fla_active",
     "fix_s_att_contact_phone1", "fix_s_att_contact_phone2",
