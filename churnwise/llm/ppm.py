@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnwise.llm.common import chunks, cut, signed, text_bytes, words
@@ -207,7 +207,7 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
 def _blocks(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each block of documents: what the base needs of it, and the model's scores."""
     held: list[pa.RecordBatch] = []
-    size, number, task = 0, 0, TaskContext.get().partitionId() << 32
+    size, number, task = 0, 0, TaskContext.get().partitionId() << 18
 
     def block() -> pa.RecordBatch:
         docs = pa.Table.from_batches(held).combine_chunks()
@@ -230,8 +230,8 @@ def _blocks(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         lists = [docs.column("doc_id").combine_chunks(), docs.column("held_out").combine_chunks(), pa.array(signed(known)), pa.array(trained.astype(np.int32)), pa.array(tokens.astype(np.int32) + 1), pa.array(np.concatenate(score))]
         packed = [_packed(x) for x in (np.searchsorted(doc, np.arange(n + 1)), word, times)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([task + number], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists), pa.array([len(known)], pa.int32()), pa.array([len(word)], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)],
-            ["block", "doc_id", "held_out", "words", "trained", "n_tokens", "score", "n_words", "n_pairs", "first", "word", "times"],
+            [pa.array([task + number], pa.int64()), pa.array([int(trained.sum())], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists), pa.array([len(known)], pa.int32()), pa.array([len(word)], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)],
+            ["block", "n_trained", "doc_id", "held_out", "words", "trained", "n_tokens", "score", "n_words", "n_pairs", "first", "word", "times"],
         )
 
     for batch in batches:
@@ -254,7 +254,8 @@ def _base(total: int, distinct: int, ends: int, blocks: pa.Table, counts: pa.Tab
         get = lambda c, k=k: blocks.column(c)[k].values
         one = lambda c, k=k: blocks.column(c)[k].as_py()
         known = np.zeros(one("n_words") + 1, np.int64)
-        known[counts.column("at").to_numpy()] = counts.column("c").to_numpy()
+        packed = counts.column("packed").to_numpy()
+        known[packed >> 40] = packed & ((1 << 40) - 1)
         word, times = _unpacked(one("word"), one("n_pairs")), _unpacked(one("times"), one("n_pairs"))
         first = _unpacked(one("first"), len(get("doc_id")) + 1)
         c = known[word]
@@ -276,15 +277,22 @@ def report(docs: DataFrame, depth: int = ORDER, states: int = STATES) -> DataFra
     """Per document: held_out, its tokens, those known from training, the base score and the model's."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), held_out(F.col("doc_id")).alias("held_out"))
     model = docs.sparkSession.sparkContext.broadcast(train(rows.where("NOT held_out"), depth, states))
-    schema = "block long, doc_id array<long>, held_out array<boolean>, words array<long>, trained array<int>, n_tokens array<int>, score array<double>, n_words int, n_pairs int, first binary, word binary, times binary"
+    schema = "block long, n_trained long, doc_id array<long>, held_out array<boolean>, words array<long>, trained array<int>, n_tokens array<int>, score array<double>, n_words int, n_pairs int, first binary, word binary, times binary"
     blocks = cut(rows.mapInArrow(lambda b: _blocks(model, b), schema), "ppm-blocks")
+    # a word of a block is named by the block's number and its place there, below 2^22. A word has a row for each
+    # block that holds it, so no word has more than its share; one shuffle by word serves its sum and its first row
     used = blocks.select("block", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "w"))
-    vocabulary = cut(used.where("w.trained > 0").groupBy(F.col("w.words").alias("word")).agg(F.sum("w.trained").cast("long").alias("c")), "ppm-words")
-    distinct, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+    used = used.select(F.shiftleft("block", 22).bitwiseOR(F.col("at").cast("long")).alias("ref"), F.col("w.words").alias("word"), F.col("w.trained").alias("trained"))
+    same = Window.partitionBy("word")
+    counted = used.withColumn("c", F.sum("trained").over(same)).withColumn("nth", F.row_number().over(same.orderBy("ref")))
+    counted = cut(counted.where("c > 0").select("ref", "c", (F.col("nth") == 1).alias("first")), "ppm-counts")
+    distinct = counted.where("first").count()
+    total = blocks.agg(F.coalesce(F.sum("n_trained"), F.lit(0))).first()[0]
     ends = blocks.select(F.explode("held_out").alias("h")).where("NOT h").count()
     total, distinct = int(total) + ends, distinct + (ends > 0)
-    counts = used.select("block", "at", F.col("w.words").alias("word")).join(vocabulary, "word").select(F.col("block").alias("of"), "at", "c")
+    at = F.col("ref").bitwiseAND(F.lit((1 << 22) - 1))
+    counts = counted.select(F.shiftright("ref", 22).alias("of"), F.shiftleft(at, 40).bitwiseOR(F.col("c")).alias("packed"))
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long"
     # the words themselves stay behind: a block's documents name them by number
-    found = blocks.drop("words", "trained").groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(lambda a, b: _base(total, distinct, ends, a, b), out)
+    found = blocks.drop("words", "trained", "n_trained").groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(lambda a, b: _base(total, distinct, ends, a, b), out)
     return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
