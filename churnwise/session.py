@@ -54,7 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect, or no folder set yet
             current = None
     if not current:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # a single process: its scratch folder is shared with nobody
         current = tempfile.mkdtemp(prefix="churnwise-ckpt-")
