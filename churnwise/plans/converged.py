@@ -136,14 +136,18 @@ def converged_base(fixed: DataFrame, mobile: DataFrame, prepaid: DataFrame, bill
     c = F.col
     z = lambda x: F.coalesce(c(x), F.lit(0))
     fix_acct, mob_acct = c("fix_s_att_account"), c("mob_s_att_account")
+    # VARCHAR(10) holds no longer id: the source's cast fails on one, and so does this
+    mob_text = mob_acct.cast("string")
+    mob_text = F.when(F.coalesce(F.length(mob_text) <= 10, F.lit(True)), mob_text).otherwise(
+        F.raise_error(F.concat(F.lit("mobile id of more than 10 digits: "), mob_text)).cast("string"))
     b_type = _fmc_type(c("fix_b_fla_active"), c("mob_b_att_active"), has("_pre_b"), c("_cb").isNotNull())
     e_type = _fmc_type(c("fix_e_fla_active"), c("mob_e_att_active"), has("_pre_e"), c("_ce").isNotNull())
     base = base.select(
         "*",
         F.coalesce(c("fix_s_dim_month"), F.lit(M)).alias("fmc_s_dim_month"),
         F.when(fix_acct.isNotNull() & mob_acct.isNotNull(),
-               F.concat(fix_acct.cast("string"), F.lit(" - "), mob_acct.cast("string")))
-         .when(mob_acct.isNull(), fix_acct.cast("string")).otherwise(mob_acct.cast("string")).alias("fmc_s_att_account"),
+               F.concat(fix_acct.cast("string"), F.lit(" - "), mob_text))
+         .when(mob_acct.isNull(), fix_acct.cast("string")).otherwise(mob_text).alias("fmc_s_att_account"),
         C.flag(z("fix_b_fla_active") + z("mob_b_att_active") >= 1).alias("fmc_b_att_active"),
         C.flag(z("fix_e_fla_active") + z("mob_e_att_active") >= 1).alias("fmc_e_att_active"),
         _tenure_merge(c("fix_b_fla_tenure"), c("mob_b_fla_tenure")).alias("fmc_b_fla_final_tenure"),

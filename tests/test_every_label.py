@@ -100,6 +100,21 @@ def test_every_label(spark, seed):
     assert labels("fmc_s_fla_waterfall") >= {label for _, label in WATERFALL} - never
 
 
+def test_mobile_ids_of_more_than_ten_digits_fail(spark):
+    row = {"mob_s_dim_month": M, "mob_b_fla_active": 1, "mob_e_fla_active": 1}
+    schema = lambda names: ", ".join(f"`{c}` {_kind(c)}" for c in names)
+    none = spark.createDataFrame([], schema(FIXED_COLUMNS))
+    prepaid = spark.createDataFrame([], "subsrptn_id long, dt date, cust_sts string, acct_type_cd string, ba_rgn_nm string, subsrptn_sts string")
+    for account, fails in ((7_870_000_001, False), (17_870_000_001, True)):
+        t2 = spark.createDataFrame([tuple((row | {"mob_s_att_account": account}).get(c) for c in mobile.MOBILE_COLUMNS)], schema(mobile.MOBILE_COLUMNS))
+        out = converged.converged_table(none, contracts.mobile_for_converged(t2), prepaid, spark.createDataFrame([("B0",)], "bill_code string"), P)
+        if fails:
+            with pytest.raises(Exception, match="more than 10 digits"):
+                out.collect()
+        else:
+            assert [r["fmc_s_att_account"] for r in out.collect()] == [str(account)]
+
+
 def test_candidate_rows_are_ranked_with_their_multiplicity(spark):
     left = spark.createDataFrame([(1, 100, None), (2, 100, None), (3, 7, 7), (4, 7, None)], "f long, p1 long, p2 long")
     kept = lambda right: {(r.f, r.m, r.src) for r in best_links(candidate_links(left, "f", ["p1", "p2"], right, "m"), "f", "m").collect()}
