@@ -94,3 +94,21 @@ def test_probabilities_sum_to_one():
         rows += [(j, c, s, k) for (c, s), k in low.items()]
     model = ppm.Model(*map(np.array, zip(*rows)), 2)
     assert np.allclose((10.0 ** model.tables()[1].astype(float)).sum(axis=1), 1, atol=1e-4)
+
+
+@pytest.mark.parametrize("bucket", [ppm.BUCKET_BYTES, 2_000])
+def test_every_context_counts(spark, monkeypatch, bucket):
+    monkeypatch.setattr(ppm, "BLOCK_BYTES", 5_000)
+    monkeypatch.setattr(ppm, "BUCKET_BYTES", bucket)
+    rng = random.Random(19)
+    texts = [prose(rng, rng.randrange(1, 20)) for _ in range(40)] + [None, "", "é日 x", "q" * 300]
+    # more contexts than any fixed table of the model held, the rare ones among them
+    texts += ["".join(chr(rng.randrange(33, 1200)) for _ in range(1_200)) for _ in range(30)] + ["".join(rng.choice("abcdef") for _ in range(900)) for _ in range(20)]
+    want = brute(texts, range(len(texts)), ppm.ORDER, 1 << 40)
+    assert sum(w[0] for w in want) > 5
+    found = ppm.report(documents(spark, texts, clashing=True)).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        w = want[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:4]
+        assert math.isclose(r["base_score"], w[4], rel_tol=1e-9, abs_tol=1e-9) and math.isclose(r["score"], w[5], rel_tol=1e-5)
