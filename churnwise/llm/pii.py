@@ -112,8 +112,9 @@ _SPOKEN = re.compile(rf"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:[ \t]+(?:{'|'.join(_D
 _SPOKEN_PART = re.compile(rf"[ \t]+(?:(?P<a>{'|'.join(_AT)})|(?P<o>{'|'.join(_DOT)}))[ \t]+", re.I)
 _SPACED = re.compile(r"(?<=[A-Za-z0-9])[ \t]*+(?:@[ \t]+|(?<=[ \t])@[ \t]*+)(?=[A-Za-z0-9])")
 _STRANGE = re.compile(_STRANGE_SET := "[" + "".join(c if c != "-" else r"\-" for c in [*_ONE, *_INVISIBLE]) + "！-～٠-٩۰-۹०-९①-⑨⁰-₉\U0001d400-\U0001d7ff]")
-#: A cheap sign that a text may hold a disguise at all; searched in whole columns at once.
-_HINT = rf"(?i)[\[({{<][ \t]*(?:{'|'.join(_AT + _DOT)}|@|\.)|[ \t](?:{'|'.join(_AT)})[ \t]+[A-Za-z0-9-]+[ \t]+(?:{'|'.join(_DOT)})[ \t]|(?:{_WORD})[ \t,-]+(?:{_WORD})[ \t,-]+(?:{_WORD}|{'|'.join(_DOT)})|[ \t]@|@[ \t]"
+#: A cheap sign that a text may hold a disguise at all; searched in whole columns at once. Each detector's own pattern
+#: or its first part, without what looks around; İ is an i to Python's patterns only.
+_HINT = rf"(?i)[\[({{<][ \t]*(?:{'|'.join(_AT + _DOT)}|@|\.)|[ \t](?:{'|'.join(_AT)})[ \t]+[A-Za-z0-9-]+[ \t]+(?:{'|'.join(_DOT)})[ \t]|(?:{_WORD})(?:{_SEP}(?:{_WORD}|[0-9]+)){{3}}|[ \t]@|@[ \t]|İ"
 
 
 def _rewrites(text: str) -> list[tuple[int, int, str]]:
@@ -133,7 +134,7 @@ def _rewrites(text: str) -> list[tuple[int, int, str]]:
     for m in _SPELLED.finditer(text):
         for p in _PIECE.finditer(text, *m.span()):
             kind = p.lastgroup
-            written = _VALUE[p[0].lower()] if kind == "d" else {"p": "+", "o": ".", "h": "-", "n": p[0]}.get(kind, "")
+            written = _VALUE[p[0].casefold().replace("i\u0307", "i").replace("ı", "i")] if kind == "d" else {"p": "+", "o": ".", "h": "-", "n": p[0]}.get(kind, "")
             if written != p[0]:
                 edits.append((*p.span(), written))
     edits.sort(key=lambda e: (e[0], -e[1]))

@@ -62,6 +62,20 @@ def test_column_search_skips_nothing():
     assert [x for x in pii.spans_of(pa.array(texts))] == [pii.all_spans(t) for t in texts]
 
 
+@pytest.mark.parametrize("text", ["one dot two dot three dot four", "plus one 4 four 6 five 5 five 8 nine 6 two", "ONE-9-2 dot One 6 8 dot one dot oh", "é one1 dot zwei dot 3 dot vier", "ſix dot fİve dot fıve dot one"])
+def test_column_search_finds_mixed_spelling(text):
+    assert list(pii.spans_of(pa.array([text]))) == [pii.all_spans(text)]
+
+
+def test_column_search_skips_no_spelled_run():
+    rng = random.Random(9)
+    parts = ["one", "Two", "three", "fünf", "nueve", "un", "oh", "plus ", "4", "16", "255", "-", ",", " ", " ", " ", " dot ", " Punkt ", " dash ", " at ", "x", "\n", "é"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(4, 24))) for _ in range(20_000)]
+    texts += [" ".join(rng.choice(["one", "two", "7", "3", "dot", "dot", "nine"]) for _ in range(rng.randint(7, 14))) for _ in range(20_000)]
+    want = [pii.all_spans(t) for t in texts]
+    assert sum(a != b for a, b in want) > 50 and list(pii.spans_of(pa.array(texts))) == want
+
+
 def test_long_texts_take_linear_time():
     for t in ("a" * 300_000, "1" * 300_000, "1." * 150_000, " " * 300_000 + "(at)", "@" * 300_000, "+1" * 150_000, "one " * 60_000, "a@" * 150_000, "+1" + " " * 300_000):
         pii.all_spans(t)
