@@ -41,6 +41,7 @@ LENGTH, ANCHOR, SYMBOL = 200, 32, 8
 #: Symbols sorted at once (a larger group of one anchor is sorted alone), and classes of one anchor before it is
 #: dealt out again.
 BATCH, SPLIT = 300_000, 20_000
+#: Places of anchors in the low bits of their hashes.
 _POSITION = np.uint64((1 << 24) - 1)
 _INVERSE = [np.ones(1, np.uint64)]
 
@@ -164,20 +165,25 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, seed: in
     sums = _sums(raw)
     at = np.arange(len(raw) - ANCHOR + 1)
     hashes = mixed(_range_hash(sums, at, at + ANCHOR) + np.uint64(seed))
-    # sliding minimum over the runs inside a window; the place decides between equal hashes
-    span = length - ANCHOR + 1
-    low = hashes & ~_POSITION | at.astype(np.uint64)
-    step = 1
-    while step * 2 <= span:
-        low = np.minimum(low[:-step], low[step:])
-        step *= 2
-    if step < span:
-        low = np.minimum(low[: len(low) - (span - step)], low[span - step :])
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(low)]
-    whole = np.flatnonzero(np.arange(len(low)) + length <= offsets[row + 1])
+    # sliding minimum over the runs inside a window; the place decides between equal hashes. Places share a number
+    # with the hash, so they count from the start of a segment; segments overlap by all but one byte of a window
+    span, windows, most = length - ANCHOR + 1, len(raw) - length + 1, int(_POSITION) + 2 - length
+    place = np.zeros(windows, np.int64)
+    for begin in range(0, windows, most):
+        part = hashes[begin : begin + most + span - 1]
+        low = part & ~_POSITION | np.arange(len(part)).astype(np.uint64)
+        step = 1
+        while step * 2 <= span:
+            low = np.minimum(low[:-step], low[step:])
+            step *= 2
+        if step < span:
+            low = np.minimum(low[: len(low) - (span - step)], low[span - step :])
+        place[begin : begin + len(low)] = (low & _POSITION).astype(np.int64) + begin
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:windows]
+    whole = np.flatnonzero(np.arange(windows) + length <= offsets[row + 1])
     if not len(whole):
         return empty
-    place = (low[whole] & _POSITION).astype(np.int64)
+    place = place[whole]
     new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (whole[1:] != whole[:-1] + 1)]))
     first, last = whole[new], whole[np.append(new[1:], len(whole)) - 1]
     return row[first], hashes[place[new]], first, last, place[new]

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from llm_data import awkward, documents, edited, prose
 
@@ -76,3 +77,20 @@ def test_long_copies_and_missing_ids(spark):
 
 def test_empty_table(spark):
     assert suffixes.report(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("length", [200, 70])
+def test_anchors_of_texts_longer_than_places(monkeypatch, length):
+    monkeypatch.setattr(suffixes, "_POSITION", np.uint64(1023))
+    rng = random.Random(20)
+    passage = prose(rng, 400)
+    texts = [t.encode() for t in (prose(rng, 300) + passage + prose(rng, 500) + passage, prose(rng, 3) + passage[7:], passage, "a" * 3000)]
+    raw, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    found: dict = {}
+    n = 0
+    for row, anchor, first, last, place in zip(*suffixes.anchors(raw, offsets, length)):
+        for w in range(first, last + 1):
+            assert offsets[row] <= w and w + length <= offsets[row + 1] and w <= place <= w + length - suffixes.ANCHOR
+            assert found.setdefault(raw[w : w + length].tobytes(), (anchor, place - w)) == (anchor, place - w)
+            n += 1
+    assert n == sum(len(t) - length + 1 for t in texts)
