@@ -18,11 +18,14 @@ recursion or renaming. Neighbours in the array give each aligned start the longe
 so a window that begins up to 7 bytes after an aligned start is decided by it, unless its match begins between two
 aligned starts; those few windows are compared byte by byte.
 
-An anchor with more than `split` classes is dealt out again by a second anchor, of another hash.
+An anchor with more than `split` classes is dealt out again by a second anchor, of another hash. Classes that agree in
+both can still be any number, as those around a common line are; where more than `split` do, Spark counts their
+windows by digest instead, so no task sorts more than `split` contexts of one key.
 
 Defined results: null text is empty; texts shorter than `length` keep all bytes; rows with equal texts repeat each
 other, and so lose all bytes if they have `length` or more; rows without doc_id are treated alike. Anchors and
-whole contexts are compared by 64-bit hashes, whole texts by 128 bits; windows that are sorted, byte by byte.
+whole contexts are compared by 64-bit hashes, whole texts by 128 bits; windows that are sorted, byte by byte, and
+windows that are counted, by 128 bits of BLAKE2.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ LENGTH, ANCHOR, SYMBOL = 200, 32, 8
 #: Symbols sorted at once (a larger group of one anchor is sorted alone), and classes of one anchor before it is
 #: dealt out again.
 BATCH, SPLIT = 300_000, 20_000
+#: Tasks that the windows of one digest are spread over.
+SALTS = 8
 #: Places of anchors in the low bits of their hashes.
 _POSITION = np.uint64((1 << 24) - 1)
 _INVERSE = [np.ones(1, np.uint64)]
@@ -238,6 +243,41 @@ def _again(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(batch.column("context").to_numpy()[row]), pa.array(batch.column("anchor").to_numpy()[row]), pa.array((place - first).astype(np.int32)), pa.array(skipped), pa.array(data, pa.binary())], ["key", "context", "anchor", "before", "skipped", "bytes"])
 
 
+def _windows(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A digest of each window of each context."""
+    for batch in batches:
+        texts, skipped = batch.column("bytes").to_pylist(), batch.column("skipped").to_numpy()
+        for a in range(0, len(texts), 500):
+            part = texts[a : a + 500]
+            n = np.array([len(t) - length + 1 for t in part])
+            row = np.repeat(np.arange(a, a + len(part)), n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + skipped[row]
+            digest = [hashlib.blake2b(t[k : k + length], digest_size=16).digest() for t in part for k in range(len(t) - length + 1)]
+            own = [batch.column(c).take(pa.array(row)) for c in ("anchor", "context")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(at.astype(np.int32)), pa.array(digest, pa.binary())], ["anchor", "context", "at", "digest"])
+
+
+def deal(contexts: DataFrame, classes: DataFrame, length: int, split: int) -> tuple[DataFrame, DataFrame]:
+    """The contexts by key: those of keys with at most `split` of them, and the others."""
+    large = cut(classes.groupBy("anchor").count().where(F.col("count") > split).select("anchor"), "repeats-large")
+    once = contexts.join(large, "anchor", "left_anti").withColumn("key", F.col("anchor"))
+    again = contexts.join(large, "anchor", "left_semi").mapInArrow(lambda b: _again(length, b), "key long, context long, anchor long, before int, skipped int, bytes binary")
+    again = cut(again, "repeats-again")
+    crowded = cut(again.groupBy("key").count().where(F.col("count") > split).select("key"), "repeats-crowded")
+    return once.unionByName(again.join(crowded, "key", "left_anti")), again.join(crowded, "key", "left_semi")
+
+
+def counted(crowded: DataFrame, length: int) -> DataFrame:
+    """(anchor, context, runs of repeated windows), as of _sorted, from counts of the windows' digests."""
+    windows = cut(crowded.mapInArrow(lambda b: _windows(length, b), "anchor long, context long, at int, digest binary"), "repeats-windows")
+    twice = windows.groupBy("digest").count().where("count > 1").select("digest")
+    # the windows of one digest can be many, so they meet it in several tasks
+    salt, salts = F.pmod(F.col("context"), F.lit(SALTS)).cast("int"), F.array(*map(F.lit, range(SALTS)))
+    found = windows.withColumn("salt", salt).join(twice.withColumn("salt", F.explode(salts)), ["digest", "salt"], "left_semi")
+    # at most a context's windows
+    return found.groupBy("anchor", "context").agg(F.flatten(F.collect_list(F.array(F.col("at"), F.col("at") + 1))).alias("runs"))
+
+
 # --- sorting -------------------------------------------------------------------------------------------------
 
 
@@ -408,11 +448,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, split: int = SPLIT) ->
     holding = texts.join(wanted, own).dropDuplicates(own)
     contexts = holding.select("text", "wanted").mapInArrow(lambda b: _contexts(length, b), "anchor long, context long, before int, skipped int, bytes binary")
     contexts = cut(contexts, "repeats-contexts")
-    large = cut(classes.groupBy("anchor").count().where(F.col("count") > split).select("anchor"), "repeats-large")
-    dealt = contexts.join(large, "anchor", "left_anti").withColumn("key", F.col("anchor"))
-    again = contexts.join(large, "anchor", "left_semi").mapInArrow(lambda b: _again(length, b), "key long, context long, anchor long, before int, skipped int, bytes binary")
-    dealt = dealt.unionByName(again).repartition("key").sortWithinPartitions("key")
+    dealt, crowded = deal(contexts, classes, length, split)
+    dealt = dealt.repartition("key").sortWithinPartitions("key")
     runs = dealt.mapInArrow(lambda b: _sorted(length, b), "anchor long, context long, runs array<int>").where(F.size("runs") > 0)
+    runs = runs.unionByName(counted(crowded, length))
     runs = cut(runs, "repeats-runs")
     # window starts [a, b) of each document that are repeated
     first, more = F.shiftright("place", 20), F.shiftright("place", 10).bitwiseAND(F.lit(1023))

@@ -94,3 +94,23 @@ def test_anchors_of_texts_longer_than_places(monkeypatch, length):
             assert found.setdefault(raw[w : w + length].tobytes(), (anchor, place - w)) == (anchor, place - w)
             n += 1
     assert n == sum(len(t) - length + 1 for t in texts)
+
+
+@pytest.mark.parametrize("split", [2, 6])
+def test_no_group_is_larger_than_split(spark, monkeypatch, split):
+    rng = random.Random(21)
+    line = prose(rng, 30)[:150]
+    texts = [prose(rng, 8) + line + prose(rng, 8) for _ in range(60)]
+    texts += [t[10:-10] + " " + prose(rng, 3) for t in texts[:15]] + [prose(rng, 6) + prose(random.Random(22), 40) + prose(rng, 6) for _ in range(12)]
+    groups, dealer = [], suffixes.deal
+
+    def deal(*args):
+        dealt, crowded = dealer(*args)
+        groups.append((max(r["count"] for r in dealt.groupBy("key").count().collect()), crowded.count()))
+        return dealt, crowded
+
+    monkeypatch.setattr(suffixes, "deal", deal)
+    want = brute(texts, 200)
+    for r in suffixes.remove_repeats(documents(spark, texts), 200, split).collect():
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]]
+    assert sum(w[1] > 0 for w in want) > 20 and groups[0][0] <= split < groups[0][1]
