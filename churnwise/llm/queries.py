@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import ann, decontaminate, minhash, mix, pii, ppm, suffixes, tokens, toxicity, urls
+from churnwise.llm import ann, decontaminate, merkle, minhash, mix, pii, ppm, suffixes, tokens, toxicity, urls
 from churnwise.llm.tables import table
 
 
@@ -49,6 +49,10 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash_groups": op1_minhash_groups,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -60,6 +64,7 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_decontaminate": op9_decontaminate,
     "op10_repeated_substrings": op10_repeated_substrings,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 OP1_SQL = r"""
@@ -165,9 +170,61 @@ SELECT d.doc_id, coalesce(counts.n_words, 0)::BIGINT AS n_words, coalesce(covere
 FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP13_SQL = r"""
+WITH RECURSIVE parts AS (
+  SELECT doc_id, source, doc_id::VARCHAR AS a, source::VARCHAR AS b, lang::VARCHAR AS c, n_chars::VARCHAR AS d, text AS e,
+         replace(text, chr(10), '') AS f,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+           lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda p, q: xor(p >> 1, 3988292384 * (p & 1)))), 4294967295) % 2 = 0 AS picked
+  FROM documents),
+leaves AS (
+  SELECT doc_id, source, picked, sha256(start || coalesce(strlen(e) || ':' || e, '-')) AS leaf,
+         sha256(start || coalesce(strlen(f) || ':' || f, '-')) AS other
+  FROM (SELECT *, coalesce(strlen(a) || ':' || a, '-') || coalesce(strlen(b) || ':' || b, '-') || coalesce(strlen(c) || ':' || c, '-')
+               || coalesce(strlen(d) || ':' || d, '-') AS start FROM parts)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaves),
+nodes(tree, level, i, n, digest) AS (
+  SELECT tree, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT tree, any_value(level) + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(digest, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY tree, i // 3),
+subroots AS (SELECT tree, level, digest, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper(level, i, n, digest) AS (
+  SELECT 0, tree, n, digest FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(digest, '' ORDER BY i))
+  FROM upper WHERE n > 1 GROUP BY i // 3),
+root AS (SELECT digest AS root FROM upper WHERE n = 1),
+-- the climb of each document: the first tall[tree] steps in its source, the others above
+steps AS (
+  SELECT tree, level, i, string_agg(s.digest, '' ORDER BY s.j) FILTER (s.j < i) AS l, string_agg(s.digest, '' ORDER BY s.j) FILTER (s.j > i) AS r
+  FROM nodes JOIN (SELECT tree AS t, level AS h, i AS j, digest FROM nodes) s ON s.t = tree AND s.h = level AND s.j // 3 = i // 3
+  WHERE n > 1 GROUP BY tree, level, i),
+upsteps AS (
+  SELECT level, i, string_agg(s.digest, '' ORDER BY s.j) FILTER (s.j < i) AS l, string_agg(s.digest, '' ORDER BY s.j) FILTER (s.j > i) AS r
+  FROM upper JOIN (SELECT level AS h, i AS j, digest FROM upper) s ON s.h = level AND s.j // 3 = i // 3
+  WHERE n > 1 GROUP BY level, i),
+climb(row, tree, i, level, above, proof, now) AS (
+  SELECT row_number() OVER (ORDER BY tree, pos), tree, pos, 0, false, '', CASE WHEN picked THEN other ELSE leaf END FROM placed
+  UNION ALL
+  SELECT row, c.tree, CASE WHEN done THEN c.tree ELSE c.i // 3 END, CASE WHEN done THEN 0 ELSE c.level + 1 END, above OR done,
+         proof || coalesce(CASE WHEN above THEN u.l ELSE s.l END, '') || coalesce(CASE WHEN above THEN u.r ELSE s.r END, ''),
+         CASE WHEN done THEN now ELSE sha256(coalesce(CASE WHEN above THEN u.l ELSE s.l END, '') || now || coalesce(CASE WHEN above THEN u.r ELSE s.r END, '')) END
+  FROM (SELECT climb.*, NOT above AND climb.level = t.level AS done FROM climb JOIN subroots t USING (tree)) c
+  LEFT JOIN steps s ON NOT above AND NOT done AND s.tree = c.tree AND s.level = c.level AND s.i = c.i
+  LEFT JOIN upsteps u ON above AND u.level = c.level AND u.i = c.i
+  WHERE NOT above OR u.level IS NOT NULL),
+ends AS (SELECT row, arg_max(proof, (above, level)) AS proof, arg_max(now, (above, level)) AS now FROM climb GROUP BY row)
+SELECT doc_id, leaf, t.digest AS subroot, root, sha256(proof) AS proof_sha256, now AS folded_root, now = root AS verified
+FROM (SELECT *, row_number() OVER (ORDER BY tree, pos) AS row FROM placed) p JOIN ends USING (row) JOIN subroots t USING (tree), root
+"""
+
 ORACLE_SQL = {
     "op1_minhash_groups": OP1_SQL,
     "op3_mix_sources": OP3_SQL,
     "op4_url_filters": OP4_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
