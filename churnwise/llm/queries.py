@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import ann, decontaminate, merkle, minhash, mix, pii, ppm, suffixes, tokens, toxicity, urls
+from churnwise.llm import ann, decontaminate, merkle, minhash, mix, pii, ppm, quality, suffixes, tokens, toxicity, urls
 from churnwise.llm.tables import table
 
 
@@ -49,6 +49,10 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_decontaminate": op9_decontaminate,
     "op10_repeated_substrings": op10_repeated_substrings,
+    "op12_quality_rules": op12_quality_rules,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -170,6 +175,44 @@ SELECT d.doc_id, coalesce(counts.n_words, 0)::BIGINT AS n_words, coalesce(covere
 FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP12_SQL = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS id, doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT id, i, w[i : i + 2] AS s FROM (SELECT id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM w WHERE len(w) > 2)),
+places AS (SELECT id, i FROM (SELECT *, count(*) OVER (PARTITION BY id, s) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT id, count(DISTINCT q) AS n FROM (SELECT id, unnest([i, i + 1, i + 2]) AS q FROM places) GROUP BY id),
+lines AS (SELECT id, count(*) AS n, count(DISTINCT line) AS u FROM (SELECT id, unnest(string_split(text, chr(10))) AS line FROM w)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY id),
+s AS (
+  SELECT w.id, doc_id, lang, text, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(lines.n - lines.u, 0)::BIGINT AS n_dup_lines,
+         coalesce(lines.n, 0) AS n_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN covered ON covered.id = w.id LEFT JOIN lines ON lines.id = w.id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s),
+grid(rule, step, cutoff) AS (VALUES
+  ('symbols', 1, 2.0), ('symbols', 2, 1.0), ('symbols', 3, 0.5), ('symbols', 4, 0.3), ('symbols', 5, 0.2), ('symbols', 6, 0.1), ('symbols', 7, 0.05),
+  ('lines', 1, 0.9), ('lines', 2, 0.7), ('lines', 3, 0.5), ('lines', 4, 0.4), ('lines', 5, 0.3),
+  ('repeated', 1, 0.45), ('repeated', 2, 0.4), ('repeated', 3, 0.35), ('repeated', 4, 0.3), ('repeated', 5, 0.25),
+  ('long', 1, 12), ('long', 2, 10), ('long', 3, 9), ('long', 4, 8), ('long', 5, 7), ('long', 6, 6.5),
+  ('short', 1, -2.5), ('short', 2, -3), ('short', 3, -3.5), ('short', 4, -4)),
+v AS (
+  SELECT id, doc_id, lang, text, rule, CASE rule WHEN 'symbols' THEN n_symbols::DOUBLE / n_words WHEN 'lines' THEN n_dup_lines::DOUBLE / greatest(n_lines, 1)
+         WHEN 'repeated' THEN n_repeat_words::DOUBLE / n_words WHEN 'long' THEN word_chars::DOUBLE / n_words ELSE -(word_chars::DOUBLE / n_words) END AS value
+  FROM b, (SELECT DISTINCT rule FROM grid) WHERE NOT base_failed),
+good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
+trials AS (SELECT DISTINCT lang, text, rule, value FROM v SEMI JOIN good USING (doc_id)),
+counts AS (
+  SELECT lang, rule, step, any_value(cutoff)::DOUBLE AS cutoff, count(*)::DOUBLE AS n, count(*) FILTER (value > cutoff::DOUBLE) AS k
+  FROM trials JOIN grid USING (rule) GROUP BY lang, rule, step),
+p AS (
+  SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) AS p,
+         (SELECT count(*) FROM (SELECT DISTINCT lang, rule FROM counts)) AS tests FROM counts),
+usable AS (SELECT * FROM (SELECT *, max(p) OVER (PARTITION BY lang, rule ORDER BY step) AS worst FROM p) WHERE worst <= 0.05 / tests),
+cutoffs AS (SELECT lang, rule, min(cutoff) AS cutoff FROM usable GROUP BY lang, rule),
+rejected AS (SELECT DISTINCT id FROM v JOIN cutoffs ON v.rule = cutoffs.rule AND v.lang IS NOT DISTINCT FROM cutoffs.lang WHERE value > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND id NOT IN (SELECT id FROM rejected) AS kept FROM b
+"""
+
 OP13_SQL = r"""
 WITH RECURSIVE parts AS (
   SELECT doc_id, source, doc_id::VARCHAR AS a, source::VARCHAR AS b, lang::VARCHAR AS c, n_chars::VARCHAR AS d, text AS e,
@@ -226,5 +269,6 @@ ORACLE_SQL = {
     "op3_mix_sources": OP3_SQL,
     "op4_url_filters": OP4_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op12_quality_rules": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
