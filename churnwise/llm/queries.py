@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwise.llm import ann, decontaminate, merkle, minhash, mix, pii, ppm, quality, suffixes, tokens, toxicity, urls
+from churnwise.llm import ann, decontaminate, merkle, minhash, mix, pii, ppm, quality, suffixes, tokens, toxicity, trie, urls
 from churnwise.llm.tables import table
 
 
@@ -49,6 +49,10 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.report(table(spark, sf_dir, "conversations"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_decontaminate": op9_decontaminate,
     "op10_repeated_substrings": op10_repeated_substrings,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_quality_rules": op12_quality_rules,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -175,6 +180,38 @@ SELECT d.doc_id, coalesce(counts.n_words, 0)::BIGINT AS n_words, coalesce(covere
 FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || strlen(text) || ':' || text)) - 1 AS pos,
+         md5(strlen(role) || ':' || role || strlen(text) || ':' || text) AS turn, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS donor,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+           lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda p, q: xor(p >> 1, 3988292384 * (p & 1)))), 4294967295) % 4 AS h
+  FROM t),
+r AS (
+  SELECT c.conv_id, 0 AS part, t.pos, turn, words FROM c JOIN t ON t.conv_id = donor AND t.pos < h
+  UNION ALL SELECT c.conv_id, 1, t.pos, turn, words FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= h),
+lists AS (
+  SELECT c.conv_id, coalesce(string_agg(turn, '' ORDER BY part, pos), '') AS path, coalesce(list(words ORDER BY part, pos) FILTER (words IS NOT NULL), []) AS words
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+prefixes AS (
+  SELECT conv_id, d, path[1 : 32 * d] AS key, d = len(words) AS ends, CASE WHEN d = 0 THEN 0 ELSE words[d] END AS words
+  FROM (SELECT *, unnest(generate_series(0, len(words))) AS d FROM lists)),
+nodes AS (
+  SELECT d AS depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, key),
+up AS (SELECT n.*, p.conv_id AS parent_conv_id, p.key AS parent_key FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND n.key[1 : 32 * (n.depth - 1)] = p.key),
+kids AS (SELECT depth - 1 AS depth, parent_key AS key, count(*) AS n_children FROM up WHERE parent_key IS NOT NULL GROUP BY ALL),
+own AS (SELECT up.*, coalesce(kids.n_children, 0) AS n_children FROM up LEFT JOIN kids USING (depth, key)),
+sums AS (
+  SELECT a AS depth, key[1 : 32 * a] AS key, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM (SELECT *, unnest(generate_series(0, depth)) AS a FROM own) GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved::BIGINT AS saved_tokens, ends_sha256 FROM own JOIN sums USING (depth, key)
+"""
+
 OP12_SQL = r"""
 WITH w AS (
   SELECT row_number() OVER () AS id, doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -269,6 +306,7 @@ ORACLE_SQL = {
     "op3_mix_sources": OP3_SQL,
     "op4_url_filters": OP4_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op12_quality_rules": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
