@@ -3,17 +3,44 @@
 ``IN`` / ``NOT IN`` over a key set are written as semi/anti joins or as a
 left join to the *distinct* key set, so Catalyst plans an ordinary hash or
 sort-merge join (AQE may broadcast the set when its measured size is small)
-instead of a null-aware nested loop. Key sets are NULL-free: ingest refuses
-rows of the keyed sources whose identifier is NULL
-(``sources.catalog.REQUIRED_KEYS``).
+instead of a null-aware nested loop. SQL's three values need no more than two
+bits beside that join, whether the set has rows and whether one is NULL:
+``presence`` reads them as one scalar subquery, which Spark runs once, before
+the join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def presence(keys: DataFrame, key: str) -> Column:
+    """A scalar subquery: struct(rows, nulls), whether ``keys`` has rows, and
+    whether one of them is NULL in ``key``."""
+    bits = keys.agg(F.struct((F.count(F.lit(1)) > 0).alias("rows"), (F.count(F.when(F.col(key).isNull(), 1)) > 0).alias("nulls")))
+    return bits.scalar()
+
+
+def not_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``WHERE key NOT IN (subquery)`` in three-valued logic: no row if the set
+    holds a NULL, all rows if it is empty; else a NULL key is dropped and the
+    others stay that are not in the set."""
+    there = presence(keys, key)
+    kept = df.join(keys.select(key), key, "left_anti")
+    return kept.where(~there["nulls"] & (F.col(key).isNotNull() | ~there["rows"]))
+
+
+def with_in(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """Add ``name`` = ``key IN (subquery)``, TRUE, FALSE or NULL; its negation
+    is ``NOT IN`` as a projected boolean."""
+    there = presence(keys, key)
+    marked = keys.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_in", F.lit(True))
+    unknown = there["nulls"] | (F.col(key).isNull() & there["rows"])
+    flag = F.when(F.col("_in"), True).when(~unknown, False)
+    return df.join(marked, key, "left").select(*df.columns, flag.alias(name))
+
+
 def with_memberships(df: DataFrame, sets: dict, key: str, tagged: tuple[DataFrame, list[str]] | None = None) -> DataFrame:
     """Add one boolean per named key set (``name`` = df.key IN set), never
     NULL, with a single join: the sets are tagged, unioned and collapsed to
@@ -35,11 +62,6 @@ def with_memberships(df: DataFrame, sets: dict, key: str, tagged: tuple[DataFram
                         for c in out.columns])
 
 
-def anti(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    """``WHERE key NOT IN (subquery)`` for NULL-free keys."""
-    return df.join(keys, on, "left_anti")
-
-
 def left_join_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` for a right side that may hold
     many rows per key (a fan-out join).

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
-from churnwise.operators.existence import anti, left_join_fanout, with_memberships
+from churnwise.operators.existence import left_join_fanout, not_in, presence, with_memberships
 from churnwise.operators.materialize import materialize
 from churnwise.params import RunParams
 
@@ -80,8 +80,12 @@ def adjusted_master(master: DataFrame, fake: DataFrame, p: RunParams) -> DataFra
     rows = master.where(F.col("dt").between(F.lit(lo), F.lit(M))).select(*MASTER_COLUMNS)
     per_sub = rows.groupBy("subsrptn_id").agg(
         F.min_by(F.to_date("subsrptn_actvtn_dt"), F.col("dt")).alias("activation_dt"))
-    per_sub = per_sub.join(fake.withColumn("_fake", F.lit(True)), "subsrptn_id", "left")
-    rows = rows.join(per_sub, "subsrptn_id").withColumn("reinstated", F.coalesce("_fake", F.lit(False)))
+    per_sub = per_sub.join(fake.withColumn("_fake", F.lit(True)), "subsrptn_id", "left").withColumnRenamed("subsrptn_id", "_sub")
+    rows = rows.join(per_sub, F.col("subsrptn_id").eqNullSafe(F.col("_sub"))).drop("_sub")
+    rows = rows.withColumn("reinstated", F.coalesce("_fake", F.lit(False)))
+    # the others are those NOT IN the reinstated, in three-valued logic
+    there = presence(fake, "subsrptn_id")
+    rows = rows.where(F.col("reinstated") | (~there["nulls"] & (F.col("subsrptn_id").isNotNull() | ~there["rows"])))
     # a reinstated subscriber keeps one row, its latest before M, standing for M (a
     # subscriber has a row a month, so the windows are small)
     before = F.col("dt") < F.lit(M)
@@ -186,16 +190,20 @@ def mobile_table(src, p: RunParams) -> DataFrame:
     susp_month = F.trunc(F.to_date(F.when(F.length(susp) == 10, susp).otherwise(F.lit("1900-01-01"))), "month")
     cancelled_prev = cancels.where((F.col("dt") == F.lit(prev)) & act).select("subsrptn_id")
     ids = lambda df: df.select(F.col("subsrptn_id").alias(ACCOUNT))
+    seen = adj.where(F.col("dt").between(F.lit(lo), F.lit(prev)) & act)
     status = with_memberships(status, {
-        "_seen": ids(adj.where(F.col("dt").between(F.lit(lo), F.lit(prev)) & act)),
+        "_seen": ids(seen),
         "_fake": ids(fake),
-        "_rejoin": ids(anti(adj.where((F.col("dt") == F.lit(p.shift(-2))) & act), cancelled_prev, "subsrptn_id")),
+        "_rejoin": ids(not_in(adj.where((F.col("dt") == F.lit(p.shift(-2))) & act), cancelled_prev, "subsrptn_id")),
         "_clean": ids(adj.where((F.col("dt") == F.lit(prev)) & act & (F.col("flg_susp_curr_mo") == 0)
                                 & (susp_month != F.lit(prev)))),
     }, ACCOUNT)
 
     b, e = F.col("mob_b_mes_rgus"), F.col("mob_e_mes_rgus")
-    fake_c, new_c = F.col("_fake"), ~F.col("_seen")
+    # new: NOT IN the seen, in three-valued logic
+    there = presence(seen, "subsrptn_id")
+    fake_c = F.col("_fake")
+    new_c = ~F.col("_seen") & ~there["nulls"] & (F.col(ACCOUNT).isNotNull() | ~there["rows"])
     movement = (F.when(((e - b) == 0) | fake_c, L.SAME)
                 .when((e - b) > 0, L.UPSELL).when((e - b) < 0, L.DOWNSELL)
                 .when(b.isNull() & (e > 0) & new_c & ~fake_c, L.NEW_CUSTOMER)

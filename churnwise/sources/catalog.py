@@ -3,8 +3,8 @@ with types normalised once at ingest (dates stored as text become dates,
 identifiers become longs, amounts stored as text become doubles), so the
 plans never cast inside joins or filters.
 
-    src = TableSources(spark, {"daily_snapshot": "s3://.../insights_customer_services_rates",
-                               "service_orders": "catalog.schema.so_hdr", ...})
+    src = TableSources(spark, {"daily_snapshot": "/data/daily_snapshot",
+                               "service_orders": "sales.service_orders", ...})
 
 A location containing ``://`` or ``/`` is read as parquet; anything else is
 a table name (``spark.table``). The daily and monthly snapshots are expected
@@ -41,12 +41,8 @@ NORMALISE = {
 #: Any other malformed text still raises an error.
 BLANK_IS_NULL = {"interactions": {"interaction_start_time"}}
 
-#: Identifiers that ``NOT IN`` tests compare. A NULL among them would make the
-#: source's test true for no row, so ingest fails on it instead.
-REQUIRED_KEYS = {"postpaid_master": "subsrptn_id", "postpaid_cancellations": "subsrptn_id"}
 
-
-def _normalise(df: DataFrame, types: dict, blank: set = frozenset(), required: str | None = None) -> DataFrame:
+def _normalise(df: DataFrame, types: dict, blank: set = frozenset()) -> DataFrame:
     cols = []
     for c in df.columns:
         if c in blank and df.schema[c].dataType.simpleString() == "string":
@@ -59,11 +55,7 @@ def _normalise(df: DataFrame, types: dict, blank: set = frozenset(), required: s
             cols.append(F.to_date(F.substring(F.col(f"`{c}`").cast("string"), 1, 10)).alias(c))
         else:
             cols.append(F.col(f"`{c}`").cast(t).alias(c))
-    out = df.select(cols)
-    if required:
-        key = F.col(f"`{required}`")
-        out = out.withColumn(required, F.coalesce(key, F.raise_error(F.lit(f"{required} is NULL")).cast(out.schema[required].dataType)))
-    return out
+    return df.select(cols)
 
 
 class TableSources:
@@ -73,7 +65,7 @@ class TableSources:
     def _read(self, name: str) -> DataFrame:
         loc = self.locations[name]
         df = self.spark.read.parquet(loc) if ("/" in loc or "://" in loc) else self.spark.table(loc)
-        return _normalise(df, NORMALISE[name], BLANK_IS_NULL.get(name, set()), REQUIRED_KEYS.get(name))
+        return _normalise(df, NORMALISE[name], BLANK_IS_NULL.get(name, set()))
 
     def daily_snapshot(self): return self._read("daily_snapshot")
     def service_orders(self): return self._read("service_orders")
