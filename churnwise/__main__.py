@@ -44,6 +44,7 @@ def main(argv=None) -> None:
     ap.add_argument("--sources", required=True, help="JSON file: source name -> path or table")
     ap.add_argument("--stage-root", default=None, help="shared folder for stage tables")
     ap.add_argument("--create-if-absent", action="store_true", help="leave existing stage tables as they are")
+    ap.add_argument("--catalog", default=None, help="database in which the stage tables are published")
     for f in OPTIONS:
         ap.add_argument("--" + f.name.replace("_", "-"), type=_reader(f), default=argparse.SUPPRESS,
                         required=f.name == "install_org", help=f"default: {f.default}")
@@ -57,7 +58,7 @@ def main(argv=None) -> None:
     with open(args.sources) as fh:
         locations = json.load(fh)
     run = MonthlyRun(spark, TableSources(spark, locations), RunParams(args.month, **options),
-                     args.stage_root or stage_root(spark), args.create_if_absent)
+                     args.stage_root or stage_root(spark), args.create_if_absent, args.catalog)
     run.run()
     print(json.dumps({"month": args.month, "seconds": run.timings}))
 

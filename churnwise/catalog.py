@@ -8,6 +8,9 @@ same result independently from the same tables.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,7 +157,6 @@ def q_involuntary_churn_type_check(spark: SparkSession, sf_dir: str) -> DataFram
 def q_fixed_table_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-1 / SRC-2: T1 written as a month-partitioned stage table (dynamic
     partition overwrite) and read back for month M (partition-pruned)."""
-    import uuid
     from churnwise import sinks
     from churnwise.session import stage_root
     _, t1, _ = stage_tables(spark, sf_dir)
@@ -165,6 +167,29 @@ def q_fixed_table_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_month(spark, _STAGES[key], "fix_s_dim_month", P.month)
 
 
+def q_fixed_table_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1: T1 written aside with saveAsTable, published by one change in
+    the catalog, and read back through it."""
+    from churnwise.session import stage_root
+    from churnwise.sinks import published
+    _, t1, _ = stage_tables(spark, sf_dir)
+    key = ("published", _app(spark), sf_dir, P.month)
+    if key not in _STAGES:  # one table a session and data folder, published again by each call
+        _STAGES[key] = f"fixed_table_{uuid.uuid4().hex[:8]}"
+    return published.publish(t1, _STAGES[key], "fix_s_dim_month", P.month, f"{stage_root(spark).rstrip('/')}/published")
+
+
+def q_new_customers_kept_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W-14: the new customers of month M from the kept state: the one of the
+    day before M, brought up to the snapshot's last day by the days since."""
+    from churnwise.session import stage_root
+    rows = sales.customer_days(_src(spark, sf_dir).daily_snapshot())
+    root = f"{stage_root(spark).rstrip('/')}/state-{uuid.uuid4().hex[:8]}/customers"
+    sales.CUSTOMER_STATE.advance(rows, root, P.month - dt.timedelta(days=1))
+    state = sales.CUSTOMER_STATE.advance(rows, root, P.next_month)
+    return sales.new_customers(state, P).drop("first_seen")
+
+
 # ---- operator-level queries (one reusable operator each, month M) ----------
 
 STATUS_COLUMNS = ["fix_s_dim_month", "fix_s_att_account", "fix_b_fla_active", "fix_e_fla_active",
@@ -235,6 +260,7 @@ QUERIES = {
     "fixed_movement": q_fixed_movement,
     "fixed_table": q_fixed_table,
     "fixed_table_stage": q_fixed_table_stage,
+    "fixed_table_published": q_fixed_table_published,
     "mobile_table": q_mobile_table,
     "mobile_table_current_rates": q_mobile_table_current_rates,
     "mobile_quick_check": q_mobile_quick_check,
@@ -256,6 +282,7 @@ QUERIES = {
     "mobile_mrc_split": q_mobile_mrc_split,
     "mobile_disconnections": q_mobile_disconnections,
     "new_customers": q_new_customers,
+    "new_customers_kept_state": q_new_customers_kept_state,
     "interaction_types": q_interaction_types,
     "orders_last_in_month": primitives.orders_last_in_month,
     "orders_top2_per_customer": primitives.orders_top2_per_customer,
@@ -263,6 +290,9 @@ QUERIES = {
     "customer_orders_open_close": primitives.customer_orders_open_close,
     "lineitem_ship_window": primitives.lineitem_ship_window,
     "orders_distinct_rollup": primitives.orders_distinct_rollup,
+    "orders_in_sets": primitives.orders_in_sets,
+    "orders_not_in_set": primitives.orders_not_in_set,
+    "customer_order_state": primitives.customer_order_state,
 }
 
 
@@ -282,6 +312,7 @@ ORACLE = {
     "fixed_movement": _with(_FIXED, body=fixed_sql.fixed_movement_sql(P)),
     "fixed_table": _with(_FIXED, body="SELECT * FROM fixed_table"),
     "fixed_table_stage": _with(_FIXED, body="SELECT * FROM fixed_table"),
+    "fixed_table_published": _with(_FIXED, body="SELECT * FROM fixed_table"),
     "mobile_table": _with(_MOBILE, body="SELECT * FROM mobile_table"),
     "mobile_table_current_rates": _with(mobile_sql.mobile_ctes(P_CURRENT_RATES), body="SELECT * FROM mobile_table"),
     "mobile_quick_check": _with(_MOBILE, body=mobile_sql.QUICK_CHECK),
@@ -309,6 +340,7 @@ ORACLE = {
         "b_days AS mob_b_mes_tenure_days, e_days AS mob_e_mes_tenure_days FROM mb_priced")),
     "mobile_disconnections": _with(_MOBILE, body="SELECT account AS mob_s_att_account, why AS churn_type FROM mb_dx"),
     "new_customers": _with(*_CHAIN, _SALES, body=reports_sql.NEW_CUSTOMERS),
+    "new_customers_kept_state": _with(*_CHAIN, _SALES, body=reports_sql.NEW_CUSTOMERS),
     "interaction_types": _with(*_CHAIN, _SALES, body=reports_sql.INTERACTION_TYPES),
     "orders_last_in_month": primitives_sql.ORDERS_LAST_IN_MONTH,
     "orders_top2_per_customer": primitives_sql.ORDERS_TOP2,
@@ -316,4 +348,7 @@ ORACLE = {
     "customer_orders_open_close": primitives_sql.CUSTOMER_OPEN_CLOSE,
     "lineitem_ship_window": primitives_sql.LINEITEM_SHIP_WINDOW,
     "orders_distinct_rollup": primitives_sql.ORDERS_DISTINCT_ROLLUP,
+    "orders_in_sets": primitives_sql.ORDERS_IN_SETS,
+    "orders_not_in_set": primitives_sql.ORDERS_NOT_IN_SET,
+    "customer_order_state": primitives_sql.CUSTOMER_ORDER_STATE,
 }

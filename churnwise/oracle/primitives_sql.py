@@ -49,3 +49,25 @@ SELECT o_orderstatus, o_orderpriority, count(DISTINCT o_custkey) AS customers,
        count(DISTINCT CASE WHEN o_totalprice >= 100000.0 THEN o_custkey END) AS big_customers,
        count(DISTINCT CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey END) AS urgent_customers
 FROM orders GROUP BY o_orderstatus, o_orderpriority"""
+
+_KEYED = """
+WITH o AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS key FROM orders),
+rich AS (SELECT c_custkey AS k FROM customer WHERE c_acctbal > 5000),
+unknown AS (SELECT CASE WHEN c_acctbal > 5000 THEN c_custkey END AS k FROM customer WHERE c_acctbal > 5000 OR c_acctbal < 0),
+nobody AS (SELECT k FROM rich WHERE k < 0)"""
+
+ORDERS_IN_SETS = _KEYED + """
+SELECT o_orderpriority, in_rich, in_unknown, in_empty, count(*) AS orders
+FROM (SELECT o_orderpriority, key IN (SELECT k FROM rich) AS in_rich, key IN (SELECT k FROM unknown) AS in_unknown,
+             key IN (SELECT k FROM nobody) AS in_empty FROM o) GROUP BY ALL"""
+
+ORDERS_NOT_IN_SET = _KEYED + """
+SELECT 'rich' AS set_name, o_orderkey, key FROM o WHERE key NOT IN (SELECT k FROM rich)
+UNION ALL SELECT 'unknown', o_orderkey, key FROM o WHERE key NOT IN (SELECT k FROM unknown)
+UNION ALL SELECT 'empty', o_orderkey, key FROM o WHERE key NOT IN (SELECT k FROM nobody)"""
+
+CUSTOMER_ORDER_STATE = """
+SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderdate AS DATE)) AS last_day,
+       first(o_totalprice ORDER BY CAST(o_orderdate AS DATE), o_totalprice) AS first_total,
+       last(o_totalprice ORDER BY CAST(o_orderdate AS DATE), o_totalprice) AS last_total
+FROM orders GROUP BY o_custkey"""

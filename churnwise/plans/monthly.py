@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from churnwise import sinks
+from churnwise.sinks import published
 from churnwise.operators import materialize as materialize_mod
 from churnwise.params import RunParams
 from churnwise.plans import contracts, converged, fixed, involuntary, mobile, sales
@@ -32,6 +33,8 @@ class MonthlyRun:
     stage_root: str
     #: An existing stage table is left as it is, with all its months.
     create_if_absent: bool = False
+    #: A database: the stage tables are published there (see sinks.published).
+    catalog: str | None = None
     timings: dict = field(default_factory=dict)
 
     def _path(self, name: str) -> str:
@@ -40,6 +43,10 @@ class MonthlyRun:
     def _step(self, name: str, build, month_col: str) -> DataFrame:
         """Build (eager checkpoints inside run here) and write one stage table."""
         t0 = time.time()
+        if self.catalog:
+            month = published.publish(build(), f"{self.catalog}.{name}", month_col, self.params.month, self.stage_root, self.create_if_absent)
+            self.timings[name] = round(time.time() - t0, 3)
+            return month
         write = sinks.create_if_absent if self.create_if_absent else sinks.write_month
         write(build(), self._path(name), month_col)
         self.timings[name] = round(time.time() - t0, 3)

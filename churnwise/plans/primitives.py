@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
+from churnwise.operators.existence import not_in, with_in
 from churnwise.operators.rollup import distinct_flag_rollup
+from churnwise.operators.state import KeptState
 from churnwise.operators.temporal import first_by, last_in_month, open_close, top_k_per_group
 from churnwise.sources.tables import table
 
@@ -66,3 +68,46 @@ def orders_distinct_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
              "big_customers": F.when(F.col("o_totalprice") >= BIG_ORDER, F.col("o_custkey")),
              "urgent_customers": F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey"))}
     return distinct_flag_rollup(o, ["o_orderstatus", "o_orderpriority"], "o_custkey", flags)
+
+
+def _key_sets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Customers in credit: as they are, with NULL for those in debt, and none."""
+    c = table(spark, sf_dir, "customer")
+    rich = c.where(F.col("c_acctbal") > 5000).select(F.col("c_custkey").alias("key"))
+    unknown = c.where((F.col("c_acctbal") > 5000) | (F.col("c_acctbal") < 0)).select(
+        F.when(F.col("c_acctbal") > 5000, F.col("c_custkey")).alias("key"))
+    return {"rich": rich, "unknown": unknown, "empty": rich.where(F.col("key") < 0)}
+
+
+def _orders_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer, unknown (NULL) for open ones."""
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_orderpriority", F.when(F.col("o_orderstatus") != "O", F.col("o_custkey")).alias("key"))
+
+
+def orders_in_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IN as a three-valued flag, against a set, one that holds NULL, and none."""
+    out = _orders_by_key(spark, sf_dir)
+    sets = _key_sets(spark, sf_dir)
+    for name, keys in sets.items():
+        out = with_in(out, keys, "key", f"in_{name}")
+    flags = [f"in_{name}" for name in sets]
+    return out.groupBy("o_orderpriority", *flags).agg(F.count(F.lit(1)).alias("orders"))
+
+
+def orders_not_in_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT IN as a filter, against the same sets: the orders that stay."""
+    orders = _orders_by_key(spark, sf_dir)
+    parts = [not_in(orders, keys, "key").select(F.lit(name).alias("set_name"), "o_orderkey", "key") for name, keys in _key_sets(spark, sf_dir).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+ORDER_STATE = KeptState(keys=("o_custkey",), order="day", first={"first_total": "o_totalprice"}, last={"last_total": "o_totalprice"})
+
+
+def customer_order_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last order of each customer, from states of two spans of days
+    that overlap by a year."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    early, late = F.col("day") < F.lit(_dt.date(1996, 1, 1)), F.col("day") >= F.lit(_dt.date(1995, 1, 1))
+    return ORDER_STATE.merge(ORDER_STATE.collapse(o.where(early)), ORDER_STATE.collapse(o.where(late)))

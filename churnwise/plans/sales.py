@@ -21,6 +21,7 @@ from churnwise.functions import labels as L
 from churnwise.operators.existence import with_memberships
 from churnwise.operators.materialize import materialize
 from churnwise.operators.rollup import distinct_flag_rollup
+from churnwise.operators.state import KeptState
 from churnwise.params import RunParams
 
 ACCOUNT = "fix_s_att_account"
@@ -36,32 +37,60 @@ def _residential(snapshot: DataFrame) -> DataFrame:
     return snapshot.where((F.col("play_type") != L.PLAY_NONE) & (F.col("cust_typ_sbb") == "RES"))
 
 
-def new_customer_rows(snapshot: DataFrame, p: RunParams) -> tuple[DataFrame, DataFrame]:
+#: What is kept of an account, for each connect date that its rows name: the bill
+#: on the first of them, and the first and last day.
+CUSTOMER_STATE = KeptState(keys=("account", "connected"), order="dt",
+                           first={"first_bill": "bill_from_dte_sbb"}, last={"last_overdue": "delinquency_days"})
+
+
+def customer_days(snapshot: DataFrame) -> DataFrame:
+    """The residential snapshot rows that CUSTOMER_STATE folds."""
+    return _residential(snapshot).select(
+        F.col("sub_acct_no_sbb").alias("account"), F.to_date("connect_dte_sbb").alias("connected"), "dt",
+        "bill_from_dte_sbb", "delinquency_days")
+
+
+def new_customers(state: DataFrame, p: RunParams) -> DataFrame:
+    """Accounts whose connect date, as of their latest row, lies in month M,
+    from CUSTOMER_STATE: their first bill, and the first day they were seen."""
+    lo, hi = p.shift(-3), p.next_month
+    rows = state.where((F.col("connected") >= F.lit(lo)) & (F.col("connected") < F.lit(hi)))
+    per_acct = rows.groupBy(F.col("account").alias(ACCOUNT)).agg(
+        F.max_by("connected", "last_dt").alias("fix_b_att_maxstart"),
+        F.min_by("first_bill", "first_dt").alias("first_bill_created"), F.min("first_dt").alias("first_seen"))
+    start = F.col("fix_b_att_maxstart")
+    return (per_acct.where((start >= F.lit(p.month)) & (start < F.lit(hi)))
+            .withColumn("install_month", F.trunc(start, "month")))
+
+
+def new_customer_rows(snapshot: DataFrame, p: RunParams, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Snapshot rows (any day) of residential accounts installed in month M
     (the connect date on the account's latest such row falls in M), and one
     row per such new customer.
 
     The source bounds these rows by connect date only, so every snapshot day
-    counts. The accounts are found first, by one aggregation over four narrow
-    columns; only their rows are then kept and written, for the branches that
-    read them."""
+    counts. The accounts are found first: from the kept ``state`` (then no
+    history is read), else by one aggregation over four narrow columns. Their
+    rows are then read from the first day any of them was seen, a bound that
+    Spark takes from the written accounts when the scan starts, and written
+    for the branches that read them."""
     lo, hi = p.shift(-3), p.next_month
     connect = F.col("connect_dte_sbb")
-    rows = _residential(snapshot).where((connect >= _ts(lo)) & (connect < _ts(hi)))
-    per_acct = rows.groupBy(F.col("sub_acct_no_sbb").alias(ACCOUNT)).agg(
-        F.max_by(F.to_date(connect), "dt").alias("fix_b_att_maxstart"),
-        F.min_by("bill_from_dte_sbb", "dt").alias("first_bill_created"))
-    start = F.col("fix_b_att_maxstart")
-    new = materialize(per_acct.where((start >= F.lit(p.month)) & (start < F.lit(hi)))
-                      .withColumn("install_month", F.trunc(start, "month")), "new_customers")
+    in_window = (connect >= _ts(lo)) & (connect < _ts(hi))
+    if state is None:
+        state = CUSTOMER_STATE.collapse(customer_days(snapshot.where(in_window)))
+    new = materialize(new_customers(state, p), "new_customers")
+    rows = _residential(snapshot).where(in_window & (F.col("dt") >= new.agg(F.min("first_seen")).scalar()))
     rows = rows.select(F.col("sub_acct_no_sbb").alias(ACCOUNT), "dt", "bill_from_dte_sbb", "delinquency_days",
                        (F.col("video_chrg") + F.col("hsd_chrg") + F.col("voice_chrg")).alias("fi_tot_mrc_amt"))
+    new = new.drop("first_seen")
     return materialize(rows.join(new, ACCOUNT), "new_customer_rows"), new
 
 
 def first_cycle(nc_rows: DataFrame) -> DataFrame:
     """First bill cycle per new customer: first bill date, the highest MRC
-    within three months of it, the highest overdue on first-bill rows."""
+    within three months of it, the highest overdue on first-bill rows. Written,
+    since the bounds of the payments scan are read from it."""
     fb = F.col("first_bill_created")
     in_window = F.col("dt").between(fb, F.add_months(fb, 3))
     on_first = F.col("bill_from_dte_sbb") == fb
@@ -70,10 +99,10 @@ def first_cycle(nc_rows: DataFrame) -> DataFrame:
         F.max(F.when(in_window, 1)).alias("_in_window"),
         F.max(F.when(on_first, F.col("delinquency_days"))).alias("max_delinquency_days_first_bill"),
         F.max(F.when(on_first, 1)).alias("_on_first"))
-    return agg.where((F.col("_in_window") == 1) & (F.col("_on_first") == 1)).select(
+    return materialize(agg.where((F.col("_in_window") == 1) & (F.col("_on_first") == 1)).select(
         ACCOUNT, F.col("fix_b_att_maxstart").alias("first_installation_date"), "first_bill_created",
         "max_delinquency_days_first_bill", "max_mrc_first_bill",
-        F.when(F.col("max_mrc_first_bill").isNotNull(), 1).otherwise(0).cast("long").alias("diff_mrc"))
+        F.when(F.col("max_mrc_first_bill").isNotNull(), 1).otherwise(0).cast("long").alias("diff_mrc")), "first_cycle")
 
 
 def payments_in_cycle(fc: DataFrame, payments: DataFrame, p: RunParams) -> DataFrame:
@@ -81,11 +110,17 @@ def payments_in_cycle(fc: DataFrame, payments: DataFrame, p: RunParams) -> DataF
     first bill to the end of the longest payment window after it, with
     ``days`` since the bill.
 
-    First bills lie on snapshot days, so the run month bounds the scan: no
-    customer installed in month M has a first bill more than three months
-    before it (the source's own bound on connect dates) unless billed before
-    installation, which the residual condition on each account decides."""
+    No payment outside the windows of the least and the greatest first bill
+    can qualify. Both are scalar subqueries over the written first cycles:
+    where payments are partitioned by ``dt``, Spark lists only the days between
+    them, and nothing passes through the driver's Python."""
     fb = F.col("first_bill_created")
+    earliest = fc.agg(F.date_sub(F.min("first_bill_created"), p.payment_lookback_days)).scalar()
+    latest = fc.agg(F.date_add(F.max("first_bill_created"), p.payment_days)).scalar()
+    in_range = F.col("dt") >= earliest
+    # a dt that is a timestamp holds times of its last day
+    in_range = in_range & (F.col("dt") < F.date_add(latest, 1) if payments.schema["dt"].dataType.simpleString() != "date" else F.col("dt") <= latest)
+    payments = payments.where(in_range)
     pay = payments.select(F.col("account_id").alias(ACCOUNT), F.to_date("dt").alias("pay_dt"),
                           F.col("payment_amt_usd").cast("double").alias("amt"))
     cycle = fc.select(ACCOUNT, "first_bill_created", "max_mrc_first_bill")

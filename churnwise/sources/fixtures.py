@@ -280,7 +280,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # be laid out (snapshots partitioned by day/month); name -> partition column.
 _MATERIALIZED = {"daily_snapshot": "dt", "postpaid_master": "dt", "service_orders": None,
                  "postpaid_cancellations": None, "postpaid_mrc": None, "prepaid_master": None,
-                 "interactions": None, "truckrolls": None, "payments": None, "order_lines": None}
+                 "interactions": None, "truckrolls": None, "payments": "dt", "order_lines": None}
 _WRITTEN: dict = {}
 
 

@@ -41,3 +41,31 @@ def test_snapshot_scans_are_partition_pruned(spark):
 def test_links_use_window_group_limit(spark):
     plan = _plan(entry.queries()["fixed_mobile_links"](spark, SF))
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+@pytest.mark.parametrize("key", ["never_paid", "first_cycle_payment_rows"])
+def test_payments_scan_is_bounded_at_run_time(spark, key):
+    """The payment days are listed between two scalar subqueries over the written first cycles."""
+    df = entry.queries()[key](spark, SF)
+    scan = [line for line in _plan(df).split("\n") if "FileScan" in line and "payment_amt_usd" in line]
+    assert len(scan) == 1
+    filters = scan[0].split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert filters.count("ubquery") >= 2 and "dt" in filters
+    df.collect()
+    qe = df._jdf.queryExecution().executedPlan().toString()
+    assert "first_bill_created" in qe
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_new_customer_rows_are_read_from_the_first_day_seen(spark, monkeypatch):
+    from churnwise.catalog import P
+    from churnwise.plans import sales
+    from churnwise.sources.fixtures import FixtureSources
+    plans = []
+    real = sales.materialize
+    monkeypatch.setattr(sales, "materialize", lambda df, name: (plans.append((name, _plan(df))), real(df, name))[1])
+    sales.new_customer_rows(FixtureSources(spark, SF).daily_snapshot(), P)
+    rows = dict(plans)["new_customer_rows"]
+    scans = [line for line in rows.split("\n") if "FileScan" in line and "hsd_chrg" in line]
+    assert len(scans) == 1 and "ubquery" in scans[0].split("PartitionFilters: [")[1].split("PushedFilters")[0]
