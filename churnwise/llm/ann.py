@@ -14,9 +14,11 @@
 Nothing in a 64-dimensional cloud without clusters can be found by looking at a few leaves; there the default
 effort reads about two thirds of the rows for a recall of 0.95. Clustered vectors need far less.
 
-Defined results: vectors that are null, empty, zero or hold a null or non-finite component take no part, nor do
-those of another length than most; a query finds all candidates if there are fewer than k; rows that repeat a
-vec_id with the same vector count once; a row without vec_id takes no part; an empty table finds nothing.
+Defined results: vectors that are null, empty, zero or hold a null or non-finite component take no part; vectors of
+unlike lengths have no inner product, so each length is a table of its own; equal scores go to the smaller vec_id;
+a query finds all candidates if there are fewer than k; rows that repeat a vec_id with the same vector count once,
+and unlike vectors of one id are queries of their own, each with its own ranks, and never that id's candidates; a row
+without vec_id takes no part; an empty table finds nothing.
 """
 
 from __future__ import annotations
@@ -138,6 +140,7 @@ def _cell(width: int, k: int, items: pa.Table, queries: pa.Table) -> pa.Table:
     if items.num_rows and queries.num_rows:
         ids, vectors, leaf = items.column("id").to_numpy(), _matrix(items.column("vector"), width), items.column("leaf").to_numpy()
         known, leaf = np.unique(leaf, return_inverse=True)
+        reach = float(np.linalg.norm(vectors, axis=1).max())
         of, asked = queries.column("id").to_numpy(), _matrix(queries.column("vector"), width)
         wanted = queries.column("chosen").combine_chunks()
         chosen = wanted.flatten().to_numpy()
@@ -149,12 +152,18 @@ def _cell(width: int, k: int, items: pa.Table, queries: pa.Table) -> pa.Table:
         for a in range(0, len(of), _AT_ONCE):
             near = np.where(probed[a : a + _AT_ONCE][:, leaf], asked[a : a + _AT_ONCE] @ vectors.T, -np.inf)
             take = min(k, near.shape[1])
-            best = np.argpartition(-near, take - 1, axis=1)[:, :take]
-            some = np.take_along_axis(near, best, axis=1) > -np.inf
-            q, i = a + np.nonzero(some)[0], best[some]
-            left.append(of[q])
-            right.append(ids[i])
-            scores.append((asked[q] * vectors[i]).sum(axis=1))
+            # all that tie with the last one, or miss it by rounding; exact scores and ids decide
+            last = -np.partition(-near, take - 1, axis=1)[:, take - 1 : take]
+            slack = 1e-12 * reach * np.linalg.norm(asked[a : a + _AT_ONCE], axis=1)[:, None]
+            q, i = np.nonzero((near >= last - slack) & (near > -np.inf))
+            q += a
+            exact = np.concatenate([(asked[q[j : j + 65_536]] * vectors[i[j : j + 65_536]]).sum(axis=1) for j in range(0, len(q), 65_536)] or [np.zeros(0)])
+            order = np.lexsort((ids[i], -exact, q))
+            q, i, exact = q[order], i[order], exact[order]
+            best = np.arange(len(q)) - np.searchsorted(q, q) < k
+            left.append(of[q[best]])
+            right.append(ids[i[best]])
+            scores.append(exact[best])
     cat = lambda x, kind: pa.array(np.concatenate(x) if x else [], kind)
     return pa.table({"q": cat(left, pa.int64()), "c": cat(right, pa.int64()), "score": cat(scores, pa.float64())})
 
@@ -162,15 +171,19 @@ def _cell(width: int, k: int, items: pa.Table, queries: pa.Table) -> pa.Table:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TREES, effort: float = EFFORT, sample: int = SAMPLE, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of `queries` (vec_id), its k nearest rows of `vectors`
     (vec_id, embedding) by inner product, without itself; ties go to the smaller vec_id."""
-    spark = vectors.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
     vector = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector")).where("vec_id IS NOT NULL AND size(vector) > 0")
     rows = rows.where(~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("vector", lambda x: x != 0))
-    widths = rows.groupBy(F.size("vector").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    if widths is None:
-        return spark.createDataFrame([], schema)
-    width = widths["w"]
+    widths = sorted(r["w"] for r in rows.select(F.size("vector").alias("w")).distinct().collect())  # one number a length
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for width in widths:
+        out = out.unionByName(_nearest(rows, queries, width, k, trees, effort, sample, cell_rows))
+    return out
+
+
+def _nearest(rows: DataFrame, queries: DataFrame, width: int, k: int, trees: int, effort: float, sample: int, cell_rows: int) -> DataFrame:
+    """`nearest` among the rows (vec_id, vector) of one length."""
+    spark = rows.sparkSession
     # -0.0 and 0.0 are the same number, and so the same vector
     rows = rows.where(F.size("vector") == width).withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0))).distinct()
     nth = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
@@ -210,7 +223,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TR
     key = ["cell", "part", "block"]
     theirs = [f"q_{c}" for c in key]
     here, there = here.select(*key, "id", "vector", "leaf"), there.select(*[F.col(a).alias(b) for a, b in zip(key, theirs)], "id", "vector", "chosen")
-    found = here.groupBy(*key).cogroup(there.groupBy(*theirs)).applyInArrow(lambda a, b: _cell(width, k + 4, a, b), "q long, c long, score double")
+    found = here.groupBy(*key).cogroup(there.groupBy(*theirs)).applyInArrow(lambda a, b: _cell(width, k + 1, a, b), "q long, c long, score double")
     found = found.distinct()
     best = found.withColumn("nth", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))).where(F.col("nth") <= k + 1)
     best = best.join(classes.select(F.col("id").alias("c"), "ids"), "c").select("q", "score", F.explode("ids").alias("vec_id"))

@@ -59,6 +59,26 @@ def test_copies_ties_and_bad_vectors(spark):
     assert got == want  # so few vectors fill one leaf of each tree
 
 
+def test_hundreds_of_ties_and_shuffled_ids(spark, monkeypatch):
+    """0/1 vectors tie at nearly every cut; every leaf is searched, so ids must be exact."""
+    monkeypatch.setattr(ann, "CELL_QUERIES", 7)
+    rng = np.random.default_rng(4)
+    x = np.unique(rng.integers(0, 2, (600, 12)), axis=0)
+    x = x[x.any(axis=1)]
+    ids = rng.permutation(len(x))
+    rows = [(int(i), v.astype(float).tolist(), 0) for i, v in zip(ids, x)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert found(ann.nearest(df, df.where("vec_id % 20 = 0"), effort=99.0, cell_rows=64)) == brute(rows)
+
+
+def test_each_length_is_a_table(spark):
+    rng = np.random.default_rng(5)
+    long = [(k, v.tolist(), 0) for k, v in enumerate(rng.integers(-3, 4, (50, 5)).astype(float))]
+    short = [(k, v.tolist(), 0) for k, v in zip(range(100, 160), rng.integers(-3, 4, (60, 3)).astype(float))]
+    got = found(ann.report(spark.createDataFrame(long + short, SCHEMA)))
+    assert got == brute(long) | brute(short)
+
+
 def test_fewer_than_k_and_none(spark):
     rows = [(0, [1.0, 2.0], 0), (20, [2.0, 1.0], 0), (3, [0.5, 0.5], 0)]
     assert found(ann.report(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
