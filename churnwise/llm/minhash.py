@@ -148,8 +148,9 @@ def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
 
 
 def _across(batches: Iterator[pa.RecordBatch], cutoff: float, most: int | None) -> Iterator[pa.RecordBatch]:
-    """Pairs (outlier, member of another component) of each block, the best `most` of each outlier. Rows come
-    sorted by block; a block is bounded, so at most one block is carried from batch to batch."""
+    """Pairs (outlier, member of another component) of each block, the best `most` of each outlier, with a mark
+    where it has more. Rows come sorted by block; a block is bounded, so at most one block is carried from batch to
+    batch."""
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, comp, out = (rows.column(c).to_numpy() for c in ("node", "component", "outlier"))
@@ -157,7 +158,7 @@ def _across(batches: Iterator[pa.RecordBatch], cutoff: float, most: int | None)
         bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         keys = np.stack([rows.column(c).to_numpy() for c in ("bkey", "ob", "mb")])
         bounds = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        left, right = [], []
+        left, right, over = [], [], []
         for a, b in zip([0, *bounds.tolist()], [*bounds.tolist(), len(ids)]):
             outs, members = a + np.flatnonzero(out[a:b]), a + np.flatnonzero(~out[a:b])
             for o in outs.tolist():
@@ -166,13 +167,15 @@ def _across(batches: Iterator[pa.RecordBatch], cutoff: float, most: int | None)
                 at = np.flatnonzero(close >= cutoff)
                 first = (bands[o] == bands[other[at]]).argmax(axis=1)
                 at = at[bands[o][first] == keys[0, a]]
-                if most is not None and len(at) > most:
+                over.append(most is not None and len(at) > most)
+                if over[-1]:
                     at = at[np.lexsort((ids[other[at]], -close[at]))[:most]]
                 left.append(np.full(len(at), ids[o]))
                 right.append(ids[other[at]])
         if left:
             x, y = np.concatenate(left), np.concatenate(right)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+            capped = np.repeat(np.array(over, bool), [len(z) for z in left])
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(capped)], ["a", "b", "capped"])
 
     carried = None
     for batch in batches:
@@ -228,10 +231,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, cutoff: float = CUTOFF,
         against = rows.withColumn("outlier", F.lit(False)).withColumn("mb", cell("nm")).withColumn("ob", span("no"))
         cells = held.unionByName(against).select("bkey", "ob", "mb", "node", "component", "sig", "bands", "outlier")
         cells = cells.repartition("bkey", "ob", "mb").sortWithinPartitions("bkey", "ob", "mb")
-        pairs = cells.mapInArrow(lambda x, most=most: _across(x, cutoff, most), "a long, b long").distinct()
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
+        pairs = cells.mapInArrow(lambda x, most=most: _across(x, cutoff, most), "a long, b long, capped boolean")
+        pairs = cut(pairs.groupBy("a", "b").agg(F.max("capped").alias("capped")), "minhash-across")
+        capped = pairs.agg(F.max("capped")).first()[0]
+        pairs = cut(pairs.select("a", "b").join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         if pairs.isEmpty():
-            break
+            if not capped:
+                break
+            continue  # the best were tested before; those cut off come in a later round
         links = confirm(pairs)
         found = components(links.unionByName(found.select(F.col("component").alias("a"), F.col("node").alias("b"))))
         tested = tested.unionByName(pairs)
@@ -246,10 +253,21 @@ def report(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of `docs` of which one is left for each group, with all their columns: the row whose id is
-    the group's smallest (of several such rows, the one with the first text)."""
-    keep = near_duplicates(docs).where("node = component").select("node").distinct()
-    rows = docs.select(F.struct("*").alias("row"), node_id(F.col("doc_id"), F.col("text").cast("string")).alias("node"))
-    rows = rows.join(keep, "node", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("row.text")))
-    return rows.where("nth = 1").select("row.*")
+    the group's smallest. `percent` is the least similarity of a link, above which groups are built.
+
+    Rows are told apart by their text, not by their id: where unlike texts share an id, each is a document of its own
+    (and comes after all others in its group, like a row without id); of rows equal in id and text one is left. The
+    default is op1's threshold: the stage drops what op1 calls a copy."""
+    mark = F.xxhash64("text")
+    shared = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(mark).alias("least"), F.max(mark).alias("most"))
+    # written, so that its size is known: Spark broadcasts it if it is small, and joins by shuffle otherwise
+    shared = cut(shared.where(~F.col("least").eqNullSafe(F.col("most"))).select("doc_id", F.lit(True).alias("shared")), "minhash-shared-ids")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.col("text").cast("string").alias("text")).join(shared, "doc_id", "left")
+    rows = rows.select("row", F.when(F.col("shared").isNull(), F.col("doc_id")).alias("doc_id"), "text")
+    keep = near_duplicates(rows.select("doc_id", "text"), percent).where("node = component").groupBy("node").agg(F.max("n_shingles").alias("n"))
+    rows = rows.select("row", node_id(F.col("doc_id"), F.col("text")).alias("node")).join(keep, "node")
+    # documents without words are copies of nothing but their own rows
+    same = Window.partitionBy("node", F.when(F.col("n") == 0, F.col("row.doc_id"))).orderBy("row.text")
+    return rows.withColumn("nth", F.row_number().over(same)).where("nth = 1").select("row.*")

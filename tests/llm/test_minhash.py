@@ -55,6 +55,27 @@ def test_large_group_around_the_threshold(spark):
     check(spark, texts, block=16, rounds=(1, 4, None))
 
 
+def test_rejected_partners_do_not_end_the_search(spark):
+    """Two texts whose best estimated partners are tested and rejected still find each other, though each block
+    offers one partner only in the first round."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(12):
+        base = prose(rng, 130)
+        texts += [base] + [edited(rng, base, rng.choice([3, 4, 5, 6])) for _ in range(7)]
+    check(spark, texts, rounds=(1, None))
+
+
+def test_stage_keeps_unlike_rows_that_share_an_id(spark):
+    rng = random.Random(13)
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    rows = [(5, a), (5, b), (7, c), (5, b), (8, c), (3, edited(rng, d, 1)), (9, d), (9, None), (5, None), (6, ""), (6, " "), (None, d), (None, None), (11, None)]
+    docs = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows], clashing=True)
+    left = [(r["doc_id"], r["text"]) for r in minhash.drop_near_duplicates(docs).collect()]
+    want = [(5, a), (5, b), (7, c), (3, rows[5][1]), (9, None), (5, None), (6, ""), (6, " "), (None, None), (11, None)]
+    assert sorted(left, key=str) == sorted(want, key=str)
+
+
 def test_report_and_stage(spark):
     rng = random.Random(3)
     a = prose(rng, 100)
