@@ -5,7 +5,7 @@ the training sample) and character inputs (the log-odds of its 4-byte pieces, an
 bytes). Windows of 32 words, each starting 16 words after the one before, overlap over the whole text; the
 network scores every window, and the document's score is its highest window score, calibrated to a probability.
 
-Training runs on the driver on a bounded sample: at most `SAMPLE` rows of each label, those with the smallest
+Training runs in one Spark task on a bounded sample: at most `SAMPLE` rows of each label, those with the smallest
 hashed ids, of documents up to `SAMPLE_CHARS` characters. Labels enter only there. The sample is split in two
 halves; each half's log-odds feed the training windows of the other, so no document's own label is in its
 inputs. Labels belong to documents, not windows: each round trains on a toxic document's best windows and a
@@ -15,11 +15,13 @@ Scoring is one pass over the texts without a shuffle; the broadcast model is bou
 
 Defined results: null and empty texts have one window without words, whose score is the network's bias;
 without both labels in the sample every document gets the sample's share of label 1 (0 without any label);
-repeated rows get equal scores; a document with several label rows counts once for each.
+repeated rows get equal scores; a document with several label rows counts once for each; a row without doc_id has
+no label and is scored as held in.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 from churnwise.llm.common import LOWER, chunks, cut, field, text_bytes, words
 
 #: Rows of each label that training may use, and the longest of their texts in characters.
-SAMPLE, SAMPLE_CHARS = 1500, 8000
+SAMPLE, SAMPLE_CHARS = 2000, 8000
 LENGTH, STRIDE = 32, 16
 HIDDEN, ATTEND, BYTES, CLASSES = 8, 8, 4, 32
 FEATURES = 5
@@ -315,8 +317,19 @@ def _calibrated(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float
 # --- on Spark --------------------------------------------------------------------------------------------
 
 
+def _fit(counts: list[int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pickled model of all rows of the one partition: the bounded sample."""
+    texts: list[str] = []
+    toxic: list[int] = []
+    for batch in batches:
+        texts += batch.column("text").to_pylist()
+        toxic += batch.column("toxic").to_pylist()
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model(texts, toxic, counts))], pa.binary())], ["model"])
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from a bounded sample of the labelled documents that are not held out."""
+    """A model from a bounded sample of the labelled documents that are not held out. It is fitted in one task on
+    an executor (a lost one is retried, and fits the same model); only the fitted numbers reach the driver."""
     marks = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(~held_out(F.col("doc_id")))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sized = docs.select("doc_id", F.length(text).alias("size")).where(~held_out(F.col("doc_id")))  # texts stay where they are
@@ -325,8 +338,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     picked = fits.where("toxic = 0").orderBy("key", "doc_id").limit(SAMPLE).unionByName(fits.where("toxic = 1").orderBy("key", "doc_id").limit(SAMPLE))
     picked = F.broadcast(cut(picked.select("doc_id", "toxic").distinct(), "toxicity-sample"))  # at most two samples of ids
     rows = docs.select("doc_id", text.alias("text")).where(F.length("text") <= SAMPLE_CHARS).join(picked, "doc_id")
-    sample = rows.orderBy("toxic", F.xxhash64("doc_id"), "doc_id", "text").limit(4 * SAMPLE).collect()
-    return Model([r["text"] for r in sample], [r["toxic"] for r in sample], [max(1, counts.get(k, 0)) for k in (0, 1)])
+    sample = rows.orderBy("toxic", F.xxhash64("doc_id"), "doc_id", "text").limit(4 * SAMPLE).select("text", "toxic")
+    totals = [max(1, counts.get(k, 0)) for k in (0, 1)]
+    fitted = sample.mapInArrow(lambda b: _fit(totals, b), "model binary").first()  # of one partition
+    return pickle.loads(fitted["model"]) if fitted else Model([], [], totals)
 
 
 def _score(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
