@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from churnwise.operators.materialize import release
+
 #: Bytes of text handled at once inside a task. It bounds a task's memory and never cuts a document.
 CHUNK_BYTES = 2_000_000
 
@@ -34,12 +36,28 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: What `cut` has written and nobody has freed.
+_WRITTEN: list[str] = []
+
+
+def written() -> list[str]:
+    return list(_WRITTEN)
+
+
+def free(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediates that nothing reads any more."""
+    release(spark, paths)
+    for path in paths:
+        _WRITTEN.remove(path)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it again: lineage ends here, and a lost
     executor costs a re-read of files instead of a recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

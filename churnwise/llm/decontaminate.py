@@ -5,8 +5,9 @@ Words are runs of ASCII letters and digits and of all non-ASCII characters, with
 hashes are broadcast, every document's word windows are looked up in them, each hit is verified word by word,
 and the words inside any verified occurrence are hit.
 
-The benchmark is read in blocks of at most `block_bytes` of text, so what is broadcast has a fixed bound; a
-larger benchmark takes more passes over the documents, with the same result. Documents are never shuffled.
+The benchmark is read in blocks of about `block_bytes` of text, one broadcast at a time: a pass over the documents
+looks for one block and is written before the next block is read, so neither a task nor the driver ever holds
+two. A larger benchmark takes more passes, with the same result. Documents are never shuffled.
 
 Defined results: null or empty texts have no words and no hits; an item without words has no window; items
 that repeat an id count once; an item whose id is null goes under the empty id; every row of a repeated
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnwise.llm.common import LOWER, NOT_ALNUM, chunks, field, shingle_hashes, text_bytes, words
+from churnwise.llm.common import LOWER, NOT_ALNUM, chunks, cut, field, free, shingle_hashes, text_bytes, words, written
 
 #: Bytes of benchmark text broadcast at a time (about 25 bytes of index for each window).
 BLOCK_BYTES = 4_000_000
@@ -113,10 +114,16 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_bytes: i
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
     out = docs.select(F.struct("*").alias("row"), F.lit(None).cast(_HIT).alias("hits"), F.lit(0).cast("long").alias("n_words"))
+    paths: list[str] = []
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        index = spark.sparkContext.broadcast(WindowIndex([tuple(r) for r in block.collect()], n))  # at most block_bytes of text
+        index = spark.sparkContext.broadcast(WindowIndex([tuple(r) for r in block.collect()], n))  # about block_bytes of text
         out = out.mapInArrow(lambda b, index=index: _scan(index, b), out.schema)
+        if k < blocks - 1:
+            out = cut(out, "decontaminate-pass")
+            index.destroy()
+            free(spark, paths)
+            paths = written()[-1:]
     return out
 
 

@@ -1,13 +1,18 @@
 """Personal data with offset-preserving deobfuscation.
 
-Plain identifiers are found in the text as it is. A transducer then rewrites the text into a normal form:
-homoglyphs and full-width forms become ASCII, invisible characters go, spelled digits become digits, and at/dot
-disguises become @ and '.'. It keeps, for each character it writes, the source range it came from. The same
-detectors run on the normal form, and their spans map back to source characters. A span of the normal form
-counts only where the transducer changed something inside it and where no plain span is touched, so plain spans
-always stay.
+Plain identifiers are found in the text as it is. A chain of transducers then rewrites the text into a normal form,
+each reading what the one before wrote, so disguises compose:
 
-Only rewritten neighbourhoods are scanned a second time: a text without any disguise costs one search.
+1. characters: homoglyphs and full-width forms become ASCII, invisible characters go;
+2. bracketed at/dot and @/. become @ and '.';
+3. runs of spelled digits become digits;
+4. spaced @ and spoken at/dot become @ and '.'.
+
+Every step keeps, for each character it writes, the range of the source it came from. The same detectors run once
+on the normal form, and a span maps back to all of its source characters. It counts only where a step changed
+something inside it and where no plain span is touched, so plain spans always stay.
+
+A text without any sign of a disguise costs one search of its column.
 
 Kinds, in order: email, ip, card, phone. Matches are leftmost and non-overlapping per kind; a match that fails
 its check is dropped without retry. All scans are linear in the text: an email is found from its @, and digit
@@ -24,6 +29,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -101,102 +107,130 @@ _ONE = {look: plain for plain, looks in _LOOKS.items() for look in looks}
 _ONE |= dict.fromkeys(_DASHES, "-") | dict.fromkeys(_BLANKS, " ") | {"。": ".", "｡": ".", "․": "."}
 _VALUE = {w: str(d) for d, group in enumerate(_DIGIT_WORDS) for w in group}
 _WORD = "|".join(sorted(_VALUE, key=len, reverse=True))
-_SEP = rf"[ \t]*[-,]?[ \t]*(?:(?:{'|'.join(_DOT)}|dash|{'|'.join(_AT)})[ \t]+)?"
+_SAID = rf"[ \t]*(?:(?:{'|'.join(_DOT)}|dash|{'|'.join(_AT)})[ \t]+)?"
+_SEP = rf"[ \t]*(?:[-,]|\.(?=\w))?{_SAID}"
 #: Four or more digits in a row of which at least the first is spelled; a shorter run is left as prose.
 _SPELLED = re.compile(rf"(?<!\w)(?:(?:{'|'.join(_PLUS)})[ \t]+)?(?:{_WORD})(?:{_SEP}(?:{_WORD}|[0-9]+)(?!\w)){{3,}}", re.I)
+#: An address of which any part is spelled.
+_QUAD = rf"(?:[0-9]+|{_WORD})(?:\.(?:[0-9]+|{_WORD})){{3}}"
+_SPELLED_PART = re.compile(rf"(?<![\w.]){_QUAD}(?!\w)", re.I)
 _PIECE = re.compile(rf"(?P<d>{_WORD})(?!\w)|(?P<p>{'|'.join(_PLUS)})(?!\w)|(?P<o>{'|'.join(_DOT)})(?!\w)|(?P<h>dash|-)|(?P<n>[0-9]+)|[ \t,]+|\w+", re.I)
 _OPEN, _CLOSE = r"(?<![ \t])[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _BRACKETED = re.compile(rf"{_OPEN}(?:(?P<a>{'|'.join(_AT)}|@)|(?P<o>{'|'.join(_DOT)}|\.)){_CLOSE}", re.I)
 #: name at host dot tld, unbracketed: both words are needed, and the host's parts must be plain words.
-_SPOKEN = re.compile(rf"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:[ \t]+(?:{'|'.join(_DOT)})[ \t]+|\.)[A-Za-z0-9_%+-]+)*+[ \t]+(?:{'|'.join(_AT)})[ \t]+[A-Za-z0-9-]+(?:[ \t]+(?:{'|'.join(_DOT)})[ \t]+[A-Za-z0-9-]+)+", re.I)
+_NAME = r"(?<![\w.%+-])[A-Za-z0-9_%+-]+"
+_SPOKEN = re.compile(rf"{_NAME}(?:(?:[ \t]+(?:{'|'.join(_DOT)})[ \t]+|\.)[A-Za-z0-9_%+-]+)*+[ \t]+(?:{'|'.join(_AT)})[ \t]+[A-Za-z0-9-]+(?:[ \t]+(?:{'|'.join(_DOT)})[ \t]+[A-Za-z0-9-]+)+", re.I)
 _SPOKEN_PART = re.compile(rf"[ \t]+(?:(?P<a>{'|'.join(_AT)})|(?P<o>{'|'.join(_DOT)}))[ \t]+", re.I)
+#: name@host dot tld, where only the dots are spoken.
+_SPOKEN_DOTS = re.compile(rf"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*+(?:[ \t]+(?:{'|'.join(_DOT)})[ \t]+[A-Za-z0-9-]+)+", re.I)
+# Endings that make "name at host.ending" an address and not prose.
+_ENDINGS = ("biz", "ch", "co", "com", "de", "edu", "es", "eu", "fr", "gov", "info", "io", "it", "mx", "net", "nl", "org", "uk", "us")
+#: name at host.ending, where only the at is spoken.
+_SPOKEN_AT = re.compile(rf"{_NAME}(?:\.[A-Za-z0-9_%+-]+)*+[ \t]+(?:{'|'.join(_AT)})[ \t]+(?:[A-Za-z0-9-]+\.)+(?:{'|'.join(_ENDINGS)})(?![\w-])", re.I)
 _SPACED = re.compile(r"(?<=[A-Za-z0-9])[ \t]*+(?:@[ \t]+|(?<=[ \t])@[ \t]*+)(?=[A-Za-z0-9])")
 _STRANGE = re.compile(_STRANGE_SET := "[" + "".join(c if c != "-" else r"\-" for c in [*_ONE, *_INVISIBLE]) + "！-～٠-٩۰-۹०-९①-⑨⁰-₉\U0001d400-\U0001d7ff]")
-#: A cheap sign that a text may hold a disguise at all; searched in whole columns at once. Each detector's own pattern
-#: or its first part, without what looks around; İ is an i to Python's patterns only.
-_HINT = rf"(?i)[\[({{<][ \t]*(?:{'|'.join(_AT + _DOT)}|@|\.)|[ \t](?:{'|'.join(_AT)})[ \t]+[A-Za-z0-9-]+[ \t]+(?:{'|'.join(_DOT)})[ \t]|(?:{_WORD})(?:{_SEP}(?:{_WORD}|[0-9]+)){{3}}|[ \t]@|@[ \t]|İ"
+#: A cheap sign that a text may hold a disguise at all; searched in whole columns at once. Each transducer's own pattern
+#: or its first part, without what looks around; İ is an i to Python's patterns only. A disguise of a disguise shows
+#: by its strange characters or brackets.
+_HINT = rf"(?i)[\[({{<][ \t]*(?:{'|'.join(_AT + _DOT)}|@|\.)|[ \t](?:{'|'.join(_AT)})[ \t]+[A-Za-z0-9-]+(?:[ \t]+(?:{'|'.join(_DOT)})[ \t]|\.)|@[A-Za-z0-9.-]+[ \t]+(?:{'|'.join(_DOT)})[ \t]|(?:{_WORD})(?:[ \t]*[-,.]?{_SAID}(?:{_WORD}|[0-9]+)){{3}}|{_QUAD}|[ \t]@|@[ \t]|İ"
+
+Edit = tuple[int, int, str]  # start, end, written
 
 
-def _rewrites(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, written) edits of the source, in order, not overlapping."""
-    edits: list[tuple[int, int, str]] = []
+def _characters(text: str) -> Iterator[Edit]:
     for m in _STRANGE.finditer(text):
         c = m[0]
         plain = "" if c in _INVISIBLE else _ONE.get(c) or unicodedata.normalize("NFKC", c)
         if plain and not plain.isascii():
             plain = str(unicodedata.digit(c, "")) or c
         if len(plain) <= 1 and plain != c:
-            edits.append((*m.span(), plain))
-    edits += [(*m.span(), "@" if m["a"] else ".") for m in _BRACKETED.finditer(text)]
-    edits += [(*m.span(), "@") for m in _SPACED.finditer(text)]
-    for m in _SPOKEN.finditer(text):
-        edits += [(*p.span(), "@" if p["a"] else ".") for p in _SPOKEN_PART.finditer(text, *m.span())]
+            yield *m.span(), plain
+
+
+def _brackets(text: str) -> Iterator[Edit]:
+    for m in _BRACKETED.finditer(text):
+        yield *m.span(), "@" if m["a"] else "."
+
+
+def _value(word: str) -> str:
+    return _VALUE[word.casefold().replace("i\u0307", "i").replace("ı", "i")]
+
+
+def _spelled(text: str) -> Iterator[Edit]:
+    for m in _SPELLED_PART.finditer(text):
+        for p in _PIECE.finditer(text, *m.span()):
+            if p["d"]:
+                yield *p.span(), _value(p[0])
     for m in _SPELLED.finditer(text):
         for p in _PIECE.finditer(text, *m.span()):
             kind = p.lastgroup
-            written = _VALUE[p[0].casefold().replace("i\u0307", "i").replace("ı", "i")] if kind == "d" else {"p": "+", "o": ".", "h": "-", "n": p[0]}.get(kind, "")
+            # a dash between digits is dropped: no detector needs it, and within a part of an address it would end the part
+            written = _value(p[0]) if kind == "d" else {"p": "+", "o": ".", "n": p[0]}.get(kind, "")
             if written != p[0]:
-                edits.append((*p.span(), written))
-    edits.sort(key=lambda e: (e[0], -e[1]))
-    kept, end = [], 0
-    for e in edits:
-        if e[0] >= end:
-            kept.append(e)
-            end = e[1]
-    return kept
-
-
-#: Characters of context on either side of an edit that the second scan sees; longer than any identifier
-#: but an email, whose ends are plain word characters that the scan extends to.
-_CONTEXT = 80
-
-
-def _hidden(text: str) -> Iterator[Span]:
-    """Spans that only the normal form shows, as source spans."""
-    edits = _rewrites(text)
-    k = 0
-    while k < len(edits):
-        first = k
-        while k + 1 < len(edits) and edits[k + 1][0] - edits[k][1] <= 2 * _CONTEXT:
-            k += 1
-        lo, hi = max(0, edits[first][0] - _CONTEXT), min(len(text), edits[k][1] + _CONTEXT)
-        while lo > 0 and not text[lo - 1].isspace():
-            lo -= 1
-        while hi < len(text) and not text[hi].isspace():
-            hi += 1
-        written: list[str] = []
-        starts: list[int] = []
-        ends: list[int] = []
-        changed: list[int] = [0]
-
-        def put(s: str, a: int, b: int, step: int, new: int) -> None:
-            for i, c in enumerate(s):
-                written.append(c)
-                starts.append(a + i * step)
-                ends.append(a + i + 1 if step else b)
-                changed.append(changed[-1] + new)
-
-        at, gap = lo, False
-        for a, b, s in edits[first : k + 1]:
-            put(text[at:a], at, a, 1, 0)
-            if s:
-                put(s, a, b, 0, 1)
-            else:
-                gap = True
+                yield *p.span(), written
+
+
+def _spaced(text: str) -> Iterator[Edit]:
+    for m in _SPACED.finditer(text):
+        yield *m.span(), "@"
+
+
+def _spoken(text: str) -> Iterator[Edit]:
+    found = [m.span() for pattern in (_SPOKEN, _SPOKEN_DOTS, _SPOKEN_AT) for m in pattern.finditer(text)]
+    for span in found:
+        for p in _SPOKEN_PART.finditer(text, *span):
+            yield *p.span(), "@" if p["a"] else "."
+
+
+#: The chain, in order.
+_STEPS = (_characters, _brackets, _spelled, _spaced, _spoken)
+
+
+class Normal:
+    """A text in normal form. Of each character: the range of the source it stands for, and whether a step wrote it."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.starts = np.arange(len(text), dtype=np.int32)
+        self.ends = self.starts + np.int32(1)
+        self.written = np.zeros(len(text), bool)
+        for step in _STEPS:
+            self._apply(sorted(step(self.text), key=lambda e: (e[0], -e[1])))
+
+    def _apply(self, edits: list[Edit]) -> None:
+        parts: list[str] = []
+        arrays: tuple[list, list, list] = ([], [], [])
+        at = 0
+
+        def put(text: str, *columns: np.ndarray) -> None:
+            parts.append(text)
+            for into, column in zip(arrays, columns):
+                into.append(column)
+
+        for a, b, s in edits:
+            if a < at:  # inside an edit that is made already
+                continue
+            put(self.text[at:a], self.starts[at:a], self.ends[at:a], self.written[at:a])
+            put(s, np.full(len(s), self.starts[a]), np.full(len(s), self.ends[b - 1]), np.ones(len(s), bool))
             at = b
-        put(text[at:hi], at, hi, 1, 0)
-        for a, b, kind in find("".join(written)):
-            source = (starts[a], ends[b - 1], kind)
-            if changed[b] > changed[a] or gap and source[1] - source[0] != b - a:
-                yield source
-        k += 1
+        if at:
+            put(self.text[at:], self.starts[at:], self.ends[at:], self.written[at:])
+            self.text = "".join(parts)
+            self.starts, self.ends, self.written = (np.concatenate(x) for x in arrays)
+
+    def spans(self) -> Iterator[Span]:
+        """Source spans of what the detectors find in something that a step changed."""
+        for a, b, kind in find(self.text):
+            start, end = int(self.starts[a]), int(self.ends[b - 1])
+            if end - start != b - a or self.written[a:b].any():
+                yield start, end, kind
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """(plain spans, plain and added spans), each by start, then kind."""
     base = find(text)
     added: list[Span] = []
-    hidden = sorted(set(_hidden(text)), key=lambda s: (s[2], s[0]))
+    hidden = sorted(set(Normal(text).spans()), key=lambda s: (s[2], s[0]))
     taken = bytearray(len(text)) if hidden else b""
     for a, b, _ in base if hidden else ():
         taken[a:b] = b"x" * (b - a)

@@ -33,6 +33,20 @@ DISGUISED = [
     ("ip one nine two dot one six eight dot one dot one end", "one nine two dot one six eight dot one dot one", "ip"),
     ("192。168。1。1", "192。168。1。1", "ip"),
     ("+1 (446) 555‑8962", "+1 (446) 555‑8962", "phone"),
+    # disguises of disguises
+    ("to john [аt] example [dot] com", "john [аt] example [dot] com", "email"),
+    ("to john [at] example [dоt] com", "john [at] example [dоt] com", "email"),
+    ("to jane at exаmple dot com", "jane at exаmple dot com", "email"),
+    ("to john@example dot com", "john@example dot com", "email"),
+    ("to john at example.com", "john at example.com", "email"),
+    ("to john @ example dot com", "john @ example dot com", "email"),
+    ("to jo​hn (at) exаmple dot com", "jo​hn (at) exаmple dot com", "email"),
+    ("call plus one ５ five five five one two three four five six", "plus one ５ five five five one two three four five six", "phone"),
+    ("ip one-nine-two dot one six eight dot one dot one end", "one-nine-two dot one six eight dot one dot one", "ip"),
+    ("ip one nine two [dot] one six eight [dot] one [dot] one end", "one nine two [dot] one six eight [dot] one [dot] one", "ip"),
+    ("ip 192 [dоt] 168 [.] one [dot] 1 end", "192 [dоt] 168 [.] one [dot] 1", "ip"),
+    ("card ４１１１ one one one one one one one one one one one one", "４１１１ one one one one one one one one one one one one", "card"),
+    ("card four 1 one １ one one one one one one one one one one one one", "four 1 one １ one one one one one one one one one one one one", "card"),
 ]
 
 
@@ -43,7 +57,7 @@ def test_disguises_map_back(text, source, kind):
         assert not base and [((before + text)[a:b], pii.KINDS[k]) for a, b, k in every] == [(source, kind)]
 
 
-@pytest.mark.parametrize("text", ["a at b. Of the", "look at one, two and three of them", "one two three four five six seven", "at dot", "(at) [dot]", "un deux trois quatre", "Привет, мир", "nine one one"])
+@pytest.mark.parametrize("text", ["a at b. Of the", "look at one, two and three of them", "one two three four five six seven", "at dot", "(at) [dot]", "un deux trois quatre", "Привет, мир", "nine one one", "One. Two. Three. Four. Five", "we arrived at noon.Then he left", "one-two-three", "look at figure.two", "Seite 4 at point.Then"])
 def test_prose_is_left_alone(text):
     assert pii.all_spans(text) == ([], [])
 
@@ -76,6 +90,29 @@ def test_column_search_skips_no_spelled_run():
     assert sum(a != b for a, b in want) > 50 and list(pii.spans_of(pa.array(texts))) == want
 
 
+def test_every_two_disguises_compose():
+    """Each way to hide the at, each way to hide the dot, and each way to hide a letter, in every combination."""
+    for at in (" [at] ", " (аt) ", "@", " @ ", " at ", " [@] "):
+        for dot in (" [dot] ", " [dоt] ", ".", " dot ", " {.} ", "。"):
+            for letter in ("a", "а", "ａ", "\u200ba"):
+                source = f"j{letter}ne{at}ex{letter}mple{dot}com"
+                base, every = pii.all_spans(f"mail {source} now")
+                if not base:
+                    assert every == [(5, 5 + len(source), 0)], source
+                assert list(pii.spans_of(pa.array([f"mail {source} now"]))) == [(base, every)]
+                assert "mple" not in pii.masked(f"mail {source} now", every)
+
+
+def test_column_search_skips_no_composed_disguise():
+    rng = random.Random(11)
+    parts = ["john", "a", "а", "ex", "com", " at ", " [at] ", "(аt)", "@", " @ ", " dot ", "[dоt]", ".", "。", "one", "two ", "５", "7", " ", "\u200b", "-", "org", "plus "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(3, 14))) for _ in range(20_000)]
+    want = [pii.all_spans(t) for t in texts]
+    assert sum(a != b for a, b in want) > 200 and list(pii.spans_of(pa.array(texts))) == want
+    for t, (base, every) in zip(texts, want):
+        assert set(base) <= set(every) and all(a < b for a, b, _ in every)
+
+
 def test_long_texts_take_linear_time():
     for t in ("a" * 300_000, "1" * 300_000, "1." * 150_000, " " * 300_000 + "(at)", "@" * 300_000, "+1" * 150_000, "one " * 60_000, "a@" * 150_000, "+1" + " " * 300_000):
         pii.all_spans(t)
