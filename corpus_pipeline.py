@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from churnwise.llm import decontaminate, minhash, mix, pii, toxicity
-from churnwise.llm.common import cut
+from churnwise.llm.common import cut, free, written
 from churnwise.llm.tables import table
 
 
@@ -52,6 +52,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    kept: list[str] = []
     for name, stage in STAGES:
+        before = written()
         docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        # the stage is written: what it wrote on the way, and its input, are read no more
+        *passing, last = [path for path in written() if path not in before]
+        free(spark, passing + kept)
+        kept = [last]
     return docs
