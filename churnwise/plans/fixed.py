@@ -4,10 +4,12 @@ transfers, for one month.
 
 Plan shape (why it scales):
 
-* The daily snapshot is read **twice**: once over the whole window for a
+* The daily snapshot is scanned three times: over the whole window for a
   single ``groupBy(account, month)`` aggregation (partial aggregation before
-  the shuffle, so a hot account costs one row per map task), and once for the
-  three day-1 partitions that form the opening/closing bases.
+  the shuffle, so a hot account costs one row per map task), on two days for
+  the subsidy flags, and on the three day-1 partitions that form the
+  opening/closing bases. The day-1 rows with their per-account inputs, and
+  the base of the month, are written once and read by every branch.
 * Every ``first_value(...) OVER (... ORDER BY dt DESC)`` of the source logic
   is a ``max_by(value, dt)`` in that aggregation; the month-end and last-three-
   days involuntary tests are conditional aggregates, so no daily row is joined
@@ -50,6 +52,11 @@ FIXED_COLUMNS = [
 ]
 
 
+#: What the opening/closing base reads of a day-1 row, besides its date.
+DAY_ONE_COLUMNS = ["sub_acct_no_sbb", "home_phone_sbb", "bus_phone_sbb", "drop_type", "hsd", "video", "voice", "video_chrg",
+                   "hsd_chrg", "voice_chrg", "delinquency_days", "welcome_offer", "joint_customer", "bill_code"]
+
+
 # ----------------------------------------------------------------------------
 # Scans of the daily snapshot
 # ----------------------------------------------------------------------------
@@ -251,16 +258,18 @@ def fixed_table(src, p: RunParams, summary: DataFrame | None = None) -> DataFram
     """Fixed table for month ``p.month`` (rows active at opening or closing)."""
     snap = src.daily_snapshot()
     M, prev, nxt = p.month, p.prev_month, p.next_month
-    # one pass over the snapshot window, read by five branches below
+    # one pass over the snapshot window, read by the branches below
     summary = summary if summary is not None else materialize(account_month_summary(snap, p), "account_month")
-    day1 = day_one_rows(snap, (prev, M, nxt)).join(
-        per_account_inputs(summary, snap, p).withColumnRenamed(ACCOUNT, "sub_acct_no_sbb"), "sub_acct_no_sbb", "left")
+    day1 = materialize(day_one_rows(snap, (prev, M, nxt)).select("dt", *DAY_ONE_COLUMNS).join(
+        per_account_inputs(summary, snap, p).withColumnRenamed(ACCOUNT, "sub_acct_no_sbb"), "sub_acct_no_sbb", "left"), "day_one")
     # opening row of month m is its first day; closing row is the first day of m+1
     opening = day1.where(F.col("dt").isin(prev, M)).withColumn("_month", F.col("dt"))
     closing = day1.where(F.col("dt").isin(M, nxt)).withColumn("_month", F.add_months("dt", -1))
-    status_all = customer_status(opening, closing, p)
-    # repeated day-1 rows count once; the rows are partitioned by account already
-    status = with_movements(status_all.where(F.col(MONTH) == F.lit(M)).distinct())
+    # of M-1 only those count that left the base; repeated day-1 rows count once
+    left_prev = (F.col(MONTH) == F.lit(prev)) & (F.col("fix_b_fla_active") == 1) & (F.col("fix_e_fla_active") == 0)
+    status_all = materialize(customer_status(opening, closing, p)
+                             .where((F.col(MONTH) == F.lit(M)) | left_prev).distinct(), "status")
+    status = with_movements(status_all.where(F.col(MONTH) == F.lit(M)))
 
     # churn populations of month M (an account in both keeps two rows)
     orders = disconnect_orders(src.service_orders(), (M,))
@@ -281,8 +290,7 @@ def fixed_table(src, p: RunParams, summary: DataFrame | None = None) -> DataFram
     so = src.service_orders()
     dx = F.col("dx_type")
     flagged = with_memberships(flagged, {
-        "_left_prev": status_all.where((F.col(MONTH) == F.lit(prev)) & (F.col("fix_b_fla_active") == 1)
-                                       & (F.col("fix_e_fla_active") == 0)),
+        "_left_prev": status_all.where(F.col(MONTH) == F.lit(prev)),
         "_inv": orders.where(dx == L.DX_INVOLUNTARY),
         "_mig": orders.where(dx == L.DX_MIGRATION),
         "_oth": orders.where(~dx.isin(L.DX_INVOLUNTARY, L.DX_MIGRATION)),

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
@@ -179,6 +179,28 @@ def never_paid(fc: DataFrame, pb: DataFrame, p: RunParams) -> DataFrame:
                        .alias("fixed_days_unpaid_bill"), *flags)
 
 
+def _one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, customer_id) of the row with the lowest interaction id of each
+    key tuple.
+
+    Nearly every key names one customer, which a hash aggregation of numbers
+    shows; the ids, which are text, are ordered only for the keys that name
+    several (written, so that Spark knows how few they are)."""
+    customer = F.col("customer_id")
+    per_key = rows.groupBy(*keys).agg(F.min(customer).alias("customer_id"), F.max(customer).alias("_most"),
+                                      F.count(customer).alias("_named"), F.count(F.lit(1)).alias("_rows"))
+    per_key = materialize(per_key, "interaction_keys")
+    same = (F.col("_named") == 0) | ((F.col("_named") == F.col("_rows")) & (F.col("customer_id") == F.col("_most")))
+    several = per_key.where(~same).select(*[F.col(k).alias(f"_{k}") for k in keys])
+    on = None
+    for k in keys:
+        this = F.col(k).eqNullSafe(F.col(f"_{k}"))
+        on = this if on is None else on & this
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("interaction_id").asc_nulls_last()))
+    lowest = rows.join(several, on, "left_semi").withColumn("_nth", nth).where(F.col("_nth") == 1)
+    return per_key.where(same).select(*keys, "customer_id").unionByName(lowest.select(*keys, "customer_id"))
+
+
 def interactions_in_window(interactions: DataFrame, truckrolls: DataFrame, p: RunParams) -> DataFrame:
     """Residential interactions of months M..M+2, one per (account, date,
     channel, agent, purpose) (the lowest id is kept), typed as truck roll
@@ -190,8 +212,7 @@ def interactions_in_window(interactions: DataFrame, truckrolls: DataFrame, p: Ru
                                & (F.col("account_type") == "RES"))
     keys = ["account_id", "interaction_date", "interaction_channel", "interaction_agent_id",
             "interaction_purpose_descrip"]
-    one = (inter.withColumn("interaction_date", F.to_date(st))
-           .groupBy(*keys).agg(F.min_by("customer_id", "interaction_id").alias("customer_id")))
+    one = _one_per_key(inter.withColumn("interaction_date", F.to_date(st)).select(*keys, "interaction_id", "customer_id"), keys)
     ct = F.col("create_dte_ojb")
     rolls = (truckrolls.where((ct >= _ts(lo)) & (ct < _ts(hi)))
              .select(F.to_date(ct).alias("interaction_date"), F.col("sub_acct_no_sbb").alias("account_id"))

@@ -69,3 +69,29 @@ def test_new_customer_rows_are_read_from_the_first_day_seen(spark, monkeypatch):
     rows = dict(plans)["new_customer_rows"]
     scans = [line for line in rows.split("\n") if "FileScan" in line and "hsd_chrg" in line]
     assert len(scans) == 1 and "ubquery" in scans[0].split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_fixed_table_reads_the_snapshot_three_times(spark, monkeypatch):
+    """Over the whole run, written intermediates included: three scans and one full outer join."""
+    from churnwise.catalog import P
+    from churnwise.plans import fixed
+    from churnwise.sources.fixtures import FixtureSources
+    plans = []
+    real = fixed.materialize
+    monkeypatch.setattr(fixed, "materialize", lambda df, name: (plans.append(_plan(df)), real(df, name))[1])
+    src = FixtureSources(spark, SF)
+    plans.append(_plan(fixed.fixed_table(src, P)))
+    lines = "\n".join(plans).split("\n")
+    assert sum("FileScan" in x and "/daily_snapshot" in x for x in lines) <= 3
+    assert sum("FullOuter" in x for x in lines) == 1
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_interactions_are_hash_aggregated(spark, monkeypatch):
+    from churnwise.plans import sales
+    plans = []
+    real = sales.materialize
+    monkeypatch.setattr(sales, "materialize", lambda df, name: (plans.append(_plan(df)), real(df, name))[1])
+    plans.append(_plan(entry.queries()["interaction_types"](spark, SF)))
+    assert not any("SortAggregate" in p for p in plans)
