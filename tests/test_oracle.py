@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 KEYS = sorted(catalog.QUERIES)
 TYPES = {"int": "int", "bigint": "bigint", "double": "double", "string": "string", "date": "date",
          "timestamp": "ts", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
-         "DATE": "date", "TIMESTAMP": "ts"}
+         "DATE": "date", "TIMESTAMP": "ts", "BOOLEAN": "boolean"}
 
 
 @pytest.fixture(scope="module")
