@@ -1,6 +1,6 @@
-"""Run one month of the chain against production tables.
+"""Run one or several months of the chain against production tables.
 
-    python -m churnwise --month 2023-05-01 --sources sources.json --stage-root s3a://bucket/stage
+    python -m churnwise --month 2023-05-01 --sources sources.json --stage-root <shared folder>
 
 ``sources.json`` maps source names (daily_snapshot, service_orders,
 postpaid_master, postpaid_cancellations, postpaid_mrc, prepaid_master,
@@ -40,7 +40,7 @@ def _reader(f: dataclasses.Field):
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="churnwise")
-    ap.add_argument("--month", required=True)
+    ap.add_argument("--month", required=True, help="a day of the month, or of several months with commas between")
     ap.add_argument("--sources", required=True, help="JSON file: source name -> path or table")
     ap.add_argument("--stage-root", default=None, help="shared folder for stage tables")
     ap.add_argument("--create-if-absent", action="store_true", help="leave existing stage tables as they are")
@@ -57,9 +57,13 @@ def main(argv=None) -> None:
     ensure_checkpoint_dir(spark)
     with open(args.sources) as fh:
         locations = json.load(fh)
-    run = MonthlyRun(spark, TableSources(spark, locations), RunParams(args.month, **options),
+    months = args.month.split(",")
+    run = MonthlyRun(spark, TableSources(spark, locations), RunParams(months[0], **options),
                      args.stage_root or stage_root(spark), args.create_if_absent, args.catalog)
-    run.run()
+    if len(months) == 1:
+        run.run()
+    else:
+        run.run_months(months)
     print(json.dumps({"month": args.month, "seconds": run.timings}))
 
 

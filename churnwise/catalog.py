@@ -18,7 +18,7 @@ from churnwise.oracle.fixtures_sql import FIXTURE_CTES
 from churnwise.oracle import converged_sql, fixed_sql, mobile_sql, primitives_sql, reports_sql
 from churnwise.params import RunParams
 from churnwise.operators.materialize import materialize
-from churnwise.plans import contracts, converged, fixed, involuntary, mobile, primitives, sales
+from churnwise.plans import contracts, converged, fixed, involuntary, mobile, months, primitives, sales
 from churnwise.sources.fixtures import FIXTURE_MONTH, INSTALL_ORG, FixtureSources
 
 P = RunParams(FIXTURE_MONTH, install_org=INSTALL_ORG)
@@ -179,6 +179,15 @@ def q_fixed_table_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published.publish(t1, _STAGES[key], "fix_s_dim_month", P.month, f"{stage_root(spark).rstrip('/')}/published")
 
 
+#: Months that the daily snapshot of the fixtures covers at least in part.
+MONTHS = (dt.date(1998, 4, 1), dt.date(1998, 5, 1), dt.date(1998, 6, 1))
+
+
+def q_fixed_table_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PAR-1, SRC-2: T1 of three months from one pass over the snapshot."""
+    return months.fixed_tables(_src(spark, sf_dir), P, MONTHS)
+
+
 def q_new_customers_kept_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W-14: the new customers of month M from the kept state: the one of the
     day before M, brought up to the snapshot's last day by the days since."""
@@ -261,6 +270,7 @@ QUERIES = {
     "fixed_table": q_fixed_table,
     "fixed_table_stage": q_fixed_table_stage,
     "fixed_table_published": q_fixed_table_published,
+    "fixed_table_months": q_fixed_table_months,
     "mobile_table": q_mobile_table,
     "mobile_table_current_rates": q_mobile_table_current_rates,
     "mobile_quick_check": q_mobile_quick_check,
@@ -313,6 +323,8 @@ ORACLE = {
     "fixed_table": _with(_FIXED, body="SELECT * FROM fixed_table"),
     "fixed_table_stage": _with(_FIXED, body="SELECT * FROM fixed_table"),
     "fixed_table_published": _with(_FIXED, body="SELECT * FROM fixed_table"),
+    "fixed_table_months": "\nUNION ALL\n".join(
+        "SELECT * FROM (" + _with(fixed_sql.fixed_ctes(P.at(m)), body="SELECT * FROM fixed_table") + ")" for m in MONTHS),
     "mobile_table": _with(_MOBILE, body="SELECT * FROM mobile_table"),
     "mobile_table_current_rates": _with(mobile_sql.mobile_ctes(P_CURRENT_RATES), body="SELECT * FROM mobile_table"),
     "mobile_quick_check": _with(_MOBILE, body=mobile_sql.QUICK_CHECK),

@@ -11,6 +11,9 @@ the join.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,23 +44,25 @@ def with_in(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
     return df.join(marked, key, "left").select(*df.columns, flag.alias(name))
 
 
-def with_memberships(df: DataFrame, sets: dict, key: str, tagged: tuple[DataFrame, list[str]] | None = None) -> DataFrame:
+def with_memberships(df: DataFrame, sets: dict, key: str | list[str],
+                     tagged: tuple[DataFrame, list[str]] | None = None) -> DataFrame:
     """Add one boolean per named key set (``name`` = df.key IN set), never
     NULL, with a single join: the sets are tagged, unioned and collapsed to
-    one row per key first (partial aggregation removes duplicates before the
-    shuffle). ``tagged`` adds rows (key, _set) of several sets at once, and
+    one row per key (of one or more columns) first (partial aggregation removes
+    duplicates before the shuffle). ``tagged`` adds rows (key, _set) of several sets at once, and
     the names of those sets."""
     rows, more = tagged or (None, [])
-    parts = [ks.select(key).where(F.col(key).isNotNull()).withColumn("_set", F.lit(name))
-             for name, ks in sets.items()]
+    keys = [key] if isinstance(key, str) else list(key)
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    parts = [ks.select(*keys).where(known).withColumn("_set", F.lit(name)) for name, ks in sets.items()]
     if rows is not None:
-        parts.append(rows.where(F.col(key).isNotNull()).select(key, "_set"))
+        parts.append(rows.where(known).select(*keys, "_set"))
     names = [*sets, *more]
     together = parts[0]
     for part in parts[1:]:
         together = together.unionByName(part)
-    flags = together.groupBy(key).agg(*[F.max(F.col("_set") == name).alias(name) for name in names])
-    out = df.join(flags, key, "left")
+    flags = together.groupBy(*keys).agg(*[F.max(F.col("_set") == name).alias(name) for name in names])
+    out = df.join(flags, keys, "left")
     return out.select(*[F.coalesce(F.col(c), F.lit(False)).alias(c) if c in names else F.col(c)
                         for c in out.columns])
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 
 def month_start(d: _dt.date | str) -> _dt.date:
@@ -77,5 +77,9 @@ class RunParams:
         months), clamped, to the first day of the next month."""
         return add_months(self.month_end, -2), self.next_month
 
+    def at(self, month: _dt.date | str) -> RunParams:
+        """The same parameters for another month."""
+        return replace(self, month=month)
+
     def shift(self, n: int) -> _dt.date:
         return add_months(self.month, n)

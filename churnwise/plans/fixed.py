@@ -14,10 +14,11 @@ Plan shape (why it scales):
   is a ``max_by(value, dt)`` in that aggregation; the month-end and last-three-
   days involuntary tests are conditional aggregates, so no daily row is joined
   back to a per-account table.
-* All month-M joins are keyed on the account alone, so the joined table keeps
+* All joins of the base are on (account, month), so the joined table keeps
   one hash partitioning and only the (small) right sides move; the
   single-valued per-account facts (rejoiner, order reasons, 0P, transfers)
-  arrive in one join.
+  arrive in one join. ``label_months`` labels any number of months at once
+  (see ``plans.months``).
 """
 
 from __future__ import annotations
@@ -75,10 +76,18 @@ def account_month_summary(snapshot: DataFrame, p: RunParams) -> DataFrame:
     source logic's working set. ``ok`` rows are main rows not yet at the
     disconnect threshold.
     """
+    res = snapshot_window(snapshot, p).where(F.col("cust_typ_sbb") == "RES")
+    return res.groupBy(F.col("sub_acct_no_sbb").alias(ACCOUNT), F.trunc("dt", "month").alias("month")).agg(*month_facts(p))
+
+
+def month_facts(p: RunParams, counts: Column | None = None) -> list[Column]:
+    """The aggregates of ``account_month_summary``, over the rows for which
+    ``counts`` holds (all, if not given)."""
     thr = p.overdue_days
     dt, ovd = F.col("dt"), F.col("delinquency_days")
-    res = snapshot_window(snapshot, p).where(F.col("cust_typ_sbb") == "RES")
-    main = F.col("play_type") != L.PLAY_NONE
+    main, none = F.col("play_type") != L.PLAY_NONE, F.col("play_type") == L.PLAY_NONE
+    if counts is not None:
+        main, none = main & counts, none & counts
     ok = main & ((ovd <= thr) | ovd.isNull())
     at_end = dt == F.last_day(dt)
     before_end = dt == F.date_sub(F.last_day(dt), 1)
@@ -86,7 +95,7 @@ def account_month_summary(snapshot: DataFrame, p: RunParams) -> DataFrame:
     # the mix as a small number: a text value would make the aggregation buffer
     # of variable width, and Spark would sort the whole snapshot for it
     mix = C.mix_number("hsd", "video", "voice")
-    return res.groupBy(F.col("sub_acct_no_sbb").alias(ACCOUNT), F.trunc(dt, "month").alias("month")).agg(
+    return [
         F.max(mdt).alias("last_dt"),                                   # last record of the month
         F.max_by(ovd, mdt).alias("last_overdue"),                      # overdue on that record
         F.max_by(F.to_date("connect_dte_sbb"), mdt).alias("last_connect"),
@@ -96,8 +105,8 @@ def account_month_summary(snapshot: DataFrame, p: RunParams) -> DataFrame:
         F.max(F.when(main & at_end & (ovd < thr), 1)).alias("ok_at_end"),
         F.max(F.when(main & before_end & (ovd < thr), 1)).alias("ok_before_end"),
         F.max(F.when(main & (ovd >= thr), dt)).alias("last_over_dt"),  # last record at/over threshold
-        F.max(F.when(F.col("play_type") == L.PLAY_NONE, 1)).alias("seen_0p"),
-    )
+        F.max(F.when(none, 1)).alias("seen_0p"),
+    ]
 
 
 def account_facts(summary: DataFrame) -> DataFrame:
@@ -271,35 +280,50 @@ def fixed_table(src, p: RunParams, summary: DataFrame | None = None) -> DataFram
                              .where((F.col(MONTH) == F.lit(M)) | left_prev).distinct(), "status")
     status = with_movements(status_all.where(F.col(MONTH) == F.lit(M)))
 
-    # churn populations of month M (an account in both keeps two rows)
-    orders = disconnect_orders(src.service_orders(), (M,))
-    vol = voluntary_churners(status, orders, summary.where(F.col("month") == F.lit(M)))
-    invol = involuntary_churners(summary.where(F.col("month").isin(prev, M)), p).where(F.col("month") == F.lit(M))
+    return label_months(status, status_all.where(F.col(MONTH) == F.lit(prev)), src.service_orders(), summary, (M,), p)
+
+
+def label_months(status: DataFrame, leavers: DataFrame, service_orders: DataFrame, summary: DataFrame, months,
+                 p: RunParams) -> DataFrame:
+    """Churners, overrides and final flags of the base of the given months.
+
+    ``leavers``: (month, account) that left the base in the month before one of
+    them. ``summary``: the months of ``account_month_summary`` and those before
+    them, whole. Every join is on (account, month), so the months do not meet."""
+    months = tuple(months)
+    of = F.col("month").isin(*months)
+    # churn populations of a month (an account in both keeps two rows)
+    orders = disconnect_orders(service_orders, months).where(of)
+    before = tuple({add_months(m, -1) for m in months} | set(months))
+    vol = voluntary_churners(status, orders, summary.where(of))
+    invol = involuntary_churners(summary.where(F.col("month").isin(*before)), p).where(of)
     churners = (vol.unionByName(invol).distinct()
-                .select(ACCOUNT, "churn_type", F.lit(1).alias("_churner")))
+                .select(F.col("month").alias(MONTH), ACCOUNT, "churn_type", F.lit(1).alias("_churner")))
     mv = F.col("fix_s_fla_main_movement")
-    flagged = status.join(churners, ACCOUNT, "left").select(
+    flagged = status.join(churners, [ACCOUNT, MONTH], "left").select(
         *status.columns,
         F.when(F.col("_churner").isNotNull() & (mv == L.NULL_LAST_DAY), L.FIX_CHURNER)
          .otherwise(L.FIX_NONCHURNER).alias("fix_s_fla_ChurnFlag"),
         F.when(F.col("_churner").isNotNull(), F.col("churn_type")).alias("fix_s_fla_churn_type"))
 
-    # every single-valued per-account fact of month M, attached with one join:
-    # left the base in M-1 (rejoiners), disconnect-order reason classes,
-    # seen with no product (0P) and completed relocation orders
-    so = src.service_orders()
+    # every single-valued per-account fact of a month, attached with one join:
+    # left the base the month before (rejoiners), disconnect-order reason
+    # classes, seen with no product (0P) and completed relocation orders
     dx = F.col("dx_type")
+    dx_of = lambda cond: orders.where(cond).withColumnRenamed("month", MONTH)
+    moved = F.trunc(F.to_date("dt"), "month")
     flagged = with_memberships(flagged, {
-        "_left_prev": status_all.where(F.col(MONTH) == F.lit(prev)),
-        "_inv": orders.where(dx == L.DX_INVOLUNTARY),
-        "_mig": orders.where(dx == L.DX_MIGRATION),
-        "_oth": orders.where(~dx.isin(L.DX_INVOLUNTARY, L.DX_MIGRATION)),
-        "_0p": summary.where((F.col("month") == F.lit(M)) & (F.col("seen_0p") == 1)),
-        "_transfer": so.where((F.trim("order_type") == L.RELOCATION) & (F.col("account_type") == "RES")
-                              & (F.col("order_status") == "COMPLETE")
-                              & (F.to_date("dt") >= F.lit(M)) & (F.to_date("dt") < F.lit(nxt)))
-                       .select(F.col("account_id").alias(ACCOUNT)),
-    }, ACCOUNT)
+        "_left_prev": leavers.withColumn(MONTH, F.add_months(MONTH, 1)),
+        "_inv": dx_of(dx == L.DX_INVOLUNTARY),
+        "_mig": dx_of(dx == L.DX_MIGRATION),
+        "_oth": dx_of(~dx.isin(L.DX_INVOLUNTARY, L.DX_MIGRATION)),
+        "_0p": summary.where(of & (F.col("seen_0p") == 1)).withColumnRenamed("month", MONTH),
+        "_transfer": service_orders.where((F.trim("order_type") == L.RELOCATION) & (F.col("account_type") == "RES")
+                                          & (F.col("order_status") == "COMPLETE")
+                                          & (F.to_date("dt") >= F.lit(min(months)))
+                                          & (F.to_date("dt") < F.lit(add_months(max(months), 1))))
+                                   .select(F.col("account_id").alias(ACCOUNT), moved.alias(MONTH)),
+    }, [ACCOUNT, MONTH])
     flagged = flagged.withColumn("fix_s_fla_Rejoiner", C.flag(F.col("_left_prev") & (mv == L.COME_BACK)))
 
     # early-disconnect / migration flags: one row per distinct flag pair over
