@@ -79,3 +79,33 @@ def test_repeated_rows_are_documents(spark):
     rows = mix.report(docs).collect()
     assert sum(r["taken"] for r in rows) == 36 and len(rows) == 6
     assert sum(r["words_taken"] for r in mix.materialize(docs).collect()) == 36
+
+
+@pytest.mark.parametrize("hot", [5, None])
+def test_one_id_in_a_third_of_all_rows(spark, hot, monkeypatch):
+    """Rows that share an id, or have none: each is a document, the mix is exact, and no task orders them all."""
+    monkeypatch.setattr(mix, "DEALT", 7)
+    rng = random.Random(9)
+    texts = [prose(rng, 20) for _ in range(400)] + ["same text of six words here"] * 200 + [prose(rng, rng.randrange(1, 9)) for _ in range(300)]
+    ids = [hot] * 600 + list(range(1000, 1300))
+    sources = [rng.choice(["a", "b"]) for _ in texts]
+    docs = documents(spark, texts, sources, ids=ids)
+    assert docs.where("doc_id is null").count() == (600 if hot is None else 0)
+    rows = mix.plan(docs, range_rows=10).collect()
+    assert len(rows) == 900
+    placed = mix.entries(docs, range_rows=10).collect()
+    assert sum(r["n"] for r in placed) == 900 and sum(r["doc_id"] == hot for r in placed) < 40
+    mixed = mix.materialize(docs).collect()
+    for source in ("a", "b"):
+        own = [r for r in rows if r["source"] == source]
+        assert sum(r["taken"] for r in own) == int(own[0]["target"]) == sum(r["words_taken"] for r in mixed if r["source"] == source)
+    # no document is taken more often than the plan says one of its size is, and none is lost from whole epochs
+    most = {}
+    for r in mixed:
+        most[(r["doc_id"], r["source"], r["text"])] = most.get((r["doc_id"], r["source"], r["text"]), 0) + 1
+    copies = {}
+    for t, i, s in zip(texts, ids, sources):
+        copies[(i, s, t)] = copies.get((i, s, t), 0) + 1
+    assert all(most[k] <= 2 * copies[k] for k in most if k in copies)
+    again = mix.materialize(docs.repartition(5)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, mixed))
