@@ -303,6 +303,8 @@ QUERIES = {
     "orders_in_sets": primitives.orders_in_sets,
     "orders_not_in_set": primitives.orders_not_in_set,
     "customer_order_state": primitives.customer_order_state,
+    "orders_distinct_totals": primitives.orders_distinct_totals,
+    "orders_soon_after": primitives.orders_soon_after,
 }
 
 
@@ -363,4 +365,6 @@ ORACLE = {
     "orders_in_sets": primitives_sql.ORDERS_IN_SETS,
     "orders_not_in_set": primitives_sql.ORDERS_NOT_IN_SET,
     "customer_order_state": primitives_sql.CUSTOMER_ORDER_STATE,
+    "orders_distinct_totals": primitives_sql.ORDERS_DISTINCT_TOTALS,
+    "orders_soon_after": primitives_sql.ORDERS_SOON_AFTER,
 }

@@ -71,3 +71,20 @@ SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderd
        first(o_totalprice ORDER BY CAST(o_orderdate AS DATE), o_totalprice) AS first_total,
        last(o_totalprice ORDER BY CAST(o_orderdate AS DATE), o_totalprice) AS last_total
 FROM orders GROUP BY o_custkey"""
+
+ORDERS_DISTINCT_TOTALS = """
+SELECT o_orderstatus, o_orderpriority, year,
+       concat_ws(',', CASE WHEN grouping(o_orderstatus) = 0 THEN 'o_orderstatus' END,
+                 CASE WHEN grouping(o_orderpriority) = 0 THEN 'o_orderpriority' END,
+                 CASE WHEN grouping(year) = 0 THEN 'year' END) AS dims_used,
+       count(DISTINCT o_custkey) AS customers,
+       count(DISTINCT CASE WHEN o_totalprice >= 100000.0 THEN o_custkey END) AS big_customers
+FROM (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
+GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority, year), (o_orderstatus, year), (o_orderpriority), (year), ())"""
+
+ORDERS_SOON_AFTER = """
+WITH o AS (SELECT o_custkey, o_orderpriority, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders)
+SELECT a.o_orderpriority, count(*) AS pairs, round(sum(b.o_totalprice), 2) AS later_total,
+       CAST(max(date_diff('day', a.day, b.day)) AS INTEGER) AS longest
+FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND b.day > a.day AND b.day <= a.day + 60
+GROUP BY a.o_orderpriority"""

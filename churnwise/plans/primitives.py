@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
+from churnwise.operators import bitmaps
+from churnwise.operators.bands import band_join
 from churnwise.operators.existence import not_in, with_in
+from churnwise.operators.materialize import materialize
 from churnwise.operators.rollup import distinct_flag_rollup
 from churnwise.operators.state import KeptState
 from churnwise.operators.temporal import first_by, last_in_month, open_close, top_k_per_group
@@ -111,3 +114,27 @@ def customer_order_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_totalprice")
     early, late = F.col("day") < F.lit(_dt.date(1996, 1, 1)), F.col("day") >= F.lit(_dt.date(1995, 1, 1))
     return ORDER_STATE.merge(ORDER_STATE.collapse(o.where(early)), ORDER_STATE.collapse(o.where(late)))
+
+
+ORDER_TOTALS = [["o_orderstatus", "o_orderpriority", "year"], ["o_orderstatus", "year"], ["o_orderpriority"], ["year"], []]
+
+
+def orders_distinct_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers by status, priority and year, and four totals of them,
+    all from one set of bitmaps."""
+    o = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    flags = {"customers": F.lit(True), "big_customers": F.col("o_totalprice") >= BIG_ORDER}
+    dims = ORDER_TOTALS[0]
+    kept = materialize(bitmaps.id_bitmaps(o, dims, "o_custkey", flags), "order_bitmaps")
+    return bitmaps.totals(kept, dims, ORDER_TOTALS, list(flags))
+
+
+def orders_soon_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and later ones of the same customer within 60 days, per priority
+    of the first: a band join of the whole table with itself."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    later = o.select("o_custkey", F.col("day").alias("later_day"), F.col("o_totalprice").alias("later_price"))
+    near = band_join(later, o, "o_custkey", "later_day", F.date_add("day", 1), F.date_add("day", 60))
+    return near.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("pairs"), F.round(F.sum("later_price"), 2).alias("later_total"),
+        F.max(F.datediff("later_day", "day")).alias("longest"))

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from churnwise.functions import columns as C
 from churnwise.functions import labels as L
+from churnwise.operators.bands import band_join
+from churnwise.operators.dictionary import label_texts
 from churnwise.operators.existence import with_memberships
 from churnwise.operators.materialize import materialize
 from churnwise.operators.rollup import distinct_flag_rollup
@@ -124,9 +126,8 @@ def payments_in_cycle(fc: DataFrame, payments: DataFrame, p: RunParams) -> DataF
     pay = payments.select(F.col("account_id").alias(ACCOUNT), F.to_date("dt").alias("pay_dt"),
                           F.col("payment_amt_usd").cast("double").alias("amt"))
     cycle = fc.select(ACCOUNT, "first_bill_created", "max_mrc_first_bill")
-    return (pay.join(cycle, ACCOUNT)
-            .where(F.col("pay_dt").between(F.date_sub(fb, p.payment_lookback_days), F.date_add(fb, p.payment_days)))
-            .withColumn("days", F.datediff("pay_dt", fb)))
+    both = band_join(pay, cycle, ACCOUNT, "pay_dt", F.date_sub(fb, p.payment_lookback_days), F.date_add(fb, p.payment_days))
+    return both.withColumn("days", F.datediff("pay_dt", fb))
 
 
 def first_cycle_payments(fc: DataFrame, payments: DataFrame, p: RunParams) -> DataFrame:
@@ -219,9 +220,11 @@ def interactions_in_window(interactions: DataFrame, truckrolls: DataFrame, p: Ru
              .distinct().withColumn("_roll", F.lit(True)))
     purpose = F.col("interaction_purpose_descrip")
     kept = one.where(~purpose.isin(*L.DROPPED_PURPOSES)).join(rolls, ["interaction_date", "account_id"], "left")
-    tech = C.lower_like_any(purpose, L.TECH_CALL_INCLUDE) & ~C.lower_like_any(purpose, L.TECH_CALL_EXCLUDE)
+    # the patterns run once a purpose
+    tech = lambda t: C.lower_like_any(t, L.TECH_CALL_INCLUDE) & ~C.lower_like_any(t, L.TECH_CALL_EXCLUDE)
+    kept = label_texts(kept, "interaction_purpose_descrip", {"_tech": tech})
     return kept.withColumn("interaction_type",
-                           F.when(F.col("_roll"), L.TRUCKROLL).when(tech, L.TECH_CALL)).drop("_roll")
+                           F.when(F.col("_roll"), L.TRUCKROLL).when(F.col("_tech"), L.TECH_CALL)).drop("_roll", "_tech")
 
 
 def early_tickets(new: DataFrame, typed: DataFrame, p: RunParams) -> DataFrame:
