@@ -13,6 +13,7 @@ rules in SQL for the DuckDB oracle; the two must stay in step.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,16 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).repartition(n, "k")
 
 
+def _spine(spark: SparkSession, sf_dir: str, n: int, nth: Callable[[Column], Column]) -> DataFrame:
+    """(k, dt): each customer key on the dates ``nth(0)`` .. ``nth(n - 1)``. A task
+    holds one date and one share of the keys, and tells so by an order of dt: the
+    rows of a date are made where they are written, so none is shuffled or sorted
+    once it is wide."""
+    dates = spark.range(0, n, 1, n).select(nth(F.col("id").cast("int")).alias("dt"))
+    both = _customers(spark, sf_dir).crossJoin(dates.hint("shuffle_replicate_nl"))
+    return both.sortWithinPartitions("dt")
+
+
 def _phone(k: Column) -> Column:
     return F.lit(PHONE_BASE).cast("long") + k
 
@@ -52,8 +63,7 @@ def daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per account per day, 1998-03-31 .. 1998-06-01."""
     k, dt = F.col("k"), F.col("dt")
     s = k % 10
-    spine = _customers(spark, sf_dir).select(
-        "k", F.explode(F.sequence(F.lit(SPINE_FIRST), F.lit(SPINE_LAST), F.expr("INTERVAL 1 DAY"))).alias("dt"))
+    spine = _spine(spark, sf_dir, (SPINE_LAST - SPINE_FIRST).days + 1, lambda i: F.date_add(F.lit(SPINE_FIRST), i))
     present = (F.when(s == 1, dt <= _d("1998-05-20"))
                .when(s == 2, ~dt.between(_d("1998-04-15"), _d("1998-05-09")))
                .when(s == 3, dt >= _d("1998-05-05"))
@@ -147,8 +157,8 @@ def postpaid_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, dt = F.col("k"), F.col("dt")
     q = k % 8
     m, m1, m2 = F.lit(FIXTURE_MONTH), _d("1998-04-01"), _d("1998-03-01")
-    rows = _customers(spark, sf_dir).select(
-        "k", F.explode(F.sequence(F.lit(MASTER_FIRST), m, F.expr("INTERVAL 1 MONTH"))).alias("dt"))
+    months = (FIXTURE_MONTH.year - MASTER_FIRST.year) * 12 + FIXTURE_MONTH.month - MASTER_FIRST.month + 1
+    rows = _spine(spark, sf_dir, months, lambda i: F.add_months(F.lit(MASTER_FIRST), i))
     # class 4 misses M-1 and M-2, except k % 16 = 4 which misses only M-1 (mobile rejoiners)
     present = (F.when(q == 2, dt != m).when(q == 3, dt == m)
                .when(q == 4, F.when(k % 16 == 4, dt != m1).otherwise(~dt.isin(m1, m2)))
@@ -281,6 +291,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MATERIALIZED = {"daily_snapshot": "dt", "postpaid_master": "dt", "service_orders": None,
                  "postpaid_cancellations": None, "postpaid_mrc": None, "prepaid_master": None,
                  "interactions": None, "truckrolls": None, "payments": "dt", "order_lines": None}
+#: Views whose rows are dealt by the partition column where they are made.
+_ON_SPINE = ("daily_snapshot", "postpaid_master")
 _WRITTEN: dict = {}
 
 
@@ -316,10 +328,11 @@ class FixtureSources:
         if key not in _WRITTEN:
             df = self._BUILDERS[name](self.spark, self.sf_dir)
             part = _MATERIALIZED[name]
-            # a day (or month) is dealt over several tasks, by a hash of its rows
-            tasks = max(2, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-            spread = F.pmod(F.xxhash64(*df.columns), F.lit(tasks))
-            w = (df.repartition(part, spread) if part else df).write.mode("overwrite")
+            if part and name not in _ON_SPINE:
+                # a day is dealt over several tasks, by a hash of its rows
+                tasks = max(2, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+                df = df.repartition(part, F.pmod(F.xxhash64(*df.columns), F.lit(tasks)))
+            w = df.write.mode("overwrite")
             (w.partitionBy(part) if part else w).parquet(path)
             # read back once (one file listing per session), in the view's column order
             _WRITTEN[key] = self.spark.read.parquet(path).select(*df.columns)
