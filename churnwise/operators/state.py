@@ -8,9 +8,10 @@ reading the newest one before it and the days since, never the history again.
 
 First and last values are chosen by (day, value), so that equal days have one
 result whatever the order of folding: the least value of the first day, the
-greatest of the last. Each end is reduced to one row for each key and day
-before ``min_by`` / ``max_by`` pick the day, so all steps are hash
-aggregates where the values have a fixed width.
+greatest of the last. The rows are reduced to one for each key and day before
+``min_by`` / ``max_by`` pick the days, both ends in the same two hash
+aggregates (where the values have a fixed width), so a fold reads its rows
+once.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from churnwise import sinks
 
 AS_OF = "as_of"
+_DAY = "_day"
 
 
 @dataclass(frozen=True)
@@ -43,11 +45,9 @@ class KeptState:
 
     def collapse(self, rows: DataFrame) -> DataFrame:
         """The state of ``rows`` (rows without a day take no part)."""
-        lo, hi = self.ends
         values = {**self.first, **self.last}
         return self._fold(rows.where(F.col(self.order).isNotNull()).select(
-            *self.keys, F.col(self.order).alias(lo), F.col(self.order).alias(hi),
-            *[F.col(c).alias(name) for name, c in values.items()]))
+            *self.keys, F.col(self.order).alias(_DAY), *[F.col(c).alias(name) for name, c in values.items()]))
 
     def merge(self, *states: DataFrame) -> DataFrame:
         """The state of the rows of all ``states`` together."""
@@ -55,22 +55,22 @@ class KeptState:
         together = states[0].select(*columns)
         for more in states[1:]:
             together = together.unionByName(more.select(*columns))
-        return self._fold(together)
+        # the two ends of a state as two rows, each with the values of its own end: the
+        # least day of a key begins a state and the greatest ends one
+        kinds = {f.name: f.dataType for f in together.schema}
+        end = lambda day, own: F.struct(F.col(day).alias(_DAY), *[
+            (F.col(c) if c in own else F.lit(None).cast(kinds[c])).alias(c) for c in (*self.first, *self.last)])
+        lo, hi = self.ends
+        return self._fold(together.select(*self.keys, F.inline(F.array(end(lo, self.first), end(hi, self.last)))))
 
-    def _fold(self, df: DataFrame) -> DataFrame:
+    def _fold(self, days: DataFrame) -> DataFrame:
+        """One pass over ``days``, which hold the keys, a day and the values of its rows."""
         lo, hi = self.ends
-        starts = df.groupBy(*self.keys, lo).agg(F.max(hi).alias(hi), *[F.min(c).alias(c) for c in self.first])
-        starts = starts.groupBy(*self.keys).agg(F.min(lo).alias(lo), F.max(hi).alias(hi), *[F.min_by(c, lo).alias(c) for c in self.first])
-        if not self.last:
-            return starts
-        stops = df.groupBy(*self.keys, hi).agg(*[F.max(c).alias(c) for c in self.last])
-        stops = stops.groupBy(*self.keys).agg(*[F.max_by(c, hi).alias(c) for c in self.last])
-        # one row a key on both sides, both dealt out by the key already
-        same = None
-        for k in self.keys:
-            this = F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-            same = this if same is None else same & this
-        return starts.alias("a").join(stops.alias("b"), same).select("a.*", *[F.col(f"b.{c}") for c in self.last])
+        values = [F.min(c).alias(c) for c in self.first] + [F.max(c).alias(c) for c in self.last]
+        per_day = days.groupBy(*self.keys, _DAY).agg(*values) if values else days.select(*self.keys, _DAY).distinct()
+        return per_day.groupBy(*self.keys).agg(
+            F.min(_DAY).alias(lo), F.max(_DAY).alias(hi),
+            *[F.min_by(c, _DAY).alias(c) for c in self.first], *[F.max_by(c, _DAY).alias(c) for c in self.last])
 
     def newest(self, spark: SparkSession, root: str, before: _dt.date) -> _dt.date | None:
         """The last date before ``before`` that a state is kept for."""
