@@ -18,6 +18,7 @@ from churnwise.oracle.fixtures_sql import FIXTURE_CTES
 from churnwise.oracle import converged_sql, fixed_sql, mobile_sql, primitives_sql, reports_sql
 from churnwise.params import RunParams
 from churnwise.operators.materialize import materialize
+from churnwise.operators.together import together
 from churnwise.plans import contracts, converged, fixed, involuntary, mobile, months, primitives, sales
 from churnwise.sources.fixtures import FIXTURE_MONTH, INSTALL_ORG, FixtureSources
 
@@ -64,13 +65,14 @@ def _app(spark: SparkSession):
 def stage_tables(spark: SparkSession, sf_dir: str, p: RunParams = P):
     """T1 (fixed) and T2 (mobile, converged names) of month ``p.month``: the
     stage tables the converged base reads. As in the monthly chain they are
-    written once (per session and data folder) and scanned by later steps."""
+    written once (per session and data folder) and scanned by later steps. They
+    read no table of each other, so they are made at once."""
     src = _src(spark, sf_dir)
     key = ("t1t2", _app(spark), sf_dir, p.month)
     if key not in _STAGES:
-        t1 = materialize(fixed.fixed_table(src, p), "fixed_table")
-        t2 = materialize(contracts.mobile_for_converged(mobile.mobile_table(src, p)), "mobile_table")
-        _STAGES[key] = (t1, t2)
+        _STAGES[key] = tuple(together(
+            spark, lambda: materialize(fixed.fixed_table(src, p), "fixed_table"),
+            lambda: materialize(contracts.mobile_for_converged(mobile.mobile_table(src, p)), "mobile_table")))
     return (src, *_STAGES[key])
 
 
