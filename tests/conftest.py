@@ -12,7 +12,8 @@ def spark():
     from churnwise.session import get_session
     scratch = tempfile.mkdtemp(prefix="churnwise-test-")
     s = get_session(master="local[4]", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": scratch + "/ckpt", "spark.driver.memory": "4g"})
+                    extra={"spark.checkpoint.dir": scratch + "/ckpt", "spark.driver.memory": "4g",
+                           "spark.sql.maxMetadataStringLength": "1000"})  # plans name scratch paths whole
     yield s
     s.stop()
 
